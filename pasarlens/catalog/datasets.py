@@ -225,9 +225,10 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def executions(events: DataFrame) -> DataFrame:
-    """Function runs with status and cost; works on a batch and on a stream of events."""
+    """Function runs with status and cost; works on a batch and on a stream of events. A watermark needs a
+    TIMESTAMP, so the zone-less event time is read in the session time zone, UTC."""
     status = F.when(F.col("event_type") == "error", "error").otherwise("ok")
-    return events.select("ts", status.alias("status"), F.col("value").alias("cost"))
+    return events.select(F.col("ts").cast("timestamp").alias("ts"), status.alias("status"), F.col("value").alias("cost"))
 
 
 def history(df: DataFrame, day: str = "sale_date") -> DataFrame:
@@ -248,12 +249,3 @@ def sql_sum(column: str, scale: int = 2) -> str:
 def sql_avg(column: str, scale: int = 2) -> str:
     return f"{sql_sum(column, scale)} / nullif(count({column}), 0)"
 
-
-def sql_round_ratio(total: str, count: str, digits: int) -> str:
-    """Half-up rounding of a ratio of non-negative whole numbers, without a binary fraction in between."""
-    factor = 10**digits
-    return (
-        f"CAST(({total}) * {2 * factor} + ({count}) AS HUGEINT) // CAST(2 * ({count}) AS HUGEINT) / {factor}.0"
-        if digits
-        else f"CAST(CAST(2 * ({total}) + ({count}) AS HUGEINT) // CAST(2 * ({count}) AS HUGEINT) AS DOUBLE)"
-    )

@@ -33,9 +33,14 @@ NUMBER_FIELDS = {
 
 
 def to_records(df: DataFrame, *keep: str) -> DataFrame:
-    """Turn rows into JSON records. Null columns become missing keys; ``keep`` columns stay beside the record."""
+    """Turn rows into JSON records. Null columns become missing keys; ``keep`` columns stay beside the record.
+
+    Exploding a one-element array keeps the parse in one place: as a plain column the optimizer would copy it
+    into every later filter on the record.
+    """
     body = [c for c in df.columns if c not in keep]
-    return df.select(*keep, F.parse_json(F.to_json(F.struct(*body))).alias("record"))
+    parsed = F.parse_json(F.to_json(F.struct(*body)))
+    return df.select(*keep, F.explode(F.array(parsed)).alias("record"))
 
 
 def has_keys(keys: list[str], record: Column | str = "record") -> Column:

@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    """Build a schema from ``name type`` pairs; a trailing ``!`` marks a required column."""
+    """Build a schema from ``name type`` pairs, without a session; a trailing ``!`` marks a required column."""
     fields = []
     for part in spec.split(","):
         name, kind = part.split()
-        fields.append(T.StructField(name, T.DataType.fromDDL(kind.rstrip("!")), not kind.endswith("!")))
+        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
     return T.StructType(fields)
 
 
