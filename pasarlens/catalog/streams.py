@@ -67,7 +67,8 @@ def stream_append_new(spark, sf):
 
 def _closed_buckets(spark, sf, seconds):
     events = f"{sf}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(events).schema).parquet(events)
+    # A file stream needs a folder or a pattern; the pattern fits a table kept as one file and as a folder.
+    stream = spark.readStream.schema(spark.read.parquet(events).schema).parquet(f"{events}*")
     table, checkpoint = fresh_path(spark, "buckets"), fresh_path(spark, "checkpoint")
     return alerts.stream_bucket_metrics(d.executions(stream), table, checkpoint, seconds)
 
