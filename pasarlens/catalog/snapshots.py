@@ -295,7 +295,7 @@ WITH {d.CLEANED_SQL}, {_BY_CATEGORY_SQL}
 SELECT summary_date, CAST(sum(total_sales) AS BIGINT) AS total_sales FROM by_category GROUP BY summary_date""",
     "dash_price": f"""
 WITH {d.CLEANED_SQL}, {_BY_CATEGORY_SQL}
-SELECT category, {sql_avg("avg_price", 4)} AS avg_price FROM by_category GROUP BY category""",
+SELECT category, {sql_avg("avg_price", 8)} AS avg_price FROM by_category GROUP BY category""",
     "dash_products": f"""
 WITH {d.CLEANED_SQL}, {_PERFORMANCE_SQL}
 SELECT product_name, category, total_sales, avg_rating FROM performance""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -44,33 +45,39 @@ def to_records(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def has_keys(keys: list[str], record: Column | str = "record") -> Column:
-    """True when the record carries every key, even with a null value."""
+    """True when the record carries every key, even with a null value.
+
+    A key with a value is settled by reading it as text; only otherwise is the raw element copied out.
+    """
     present = F.lit(True)
     for key in keys:
-        present = present & F.variant_get(record, f"$.{key}", "variant").isNotNull()
+        as_text = F.try_variant_get(record, f"$.{key}", "string")
+        present = present & (as_text.isNotNull() | F.variant_get(record, f"$.{key}", "variant").isNotNull())
     return present
 
 
-def _is_malformed(key: str, kind: str) -> Column:
+def _is_malformed(key: str, typed: Column) -> Column:
     """A value that is there but cannot be read as the type: a word for a price, '12.5' for a count."""
     raw = F.variant_get("record", f"$.{key}", "variant")
-    there = raw.isNotNull() & ~F.is_variant_null(raw)
-    return there & F.try_variant_get("record", f"$.{key}", kind).isNull()
+    return typed.isNull() & raw.isNotNull() & ~F.is_variant_null(raw)
 
 
-def _any_malformed(fields: dict[str, str]) -> Column:
-    bad = F.lit(False)
-    for key, kind in fields.items():
-        bad = bad | _is_malformed(key, kind)
-    return bad
+def _typed(records: DataFrame, fields: dict[str, str], *keep: str) -> DataFrame:
+    """``keep``, ``record`` and the typed fields; unreadable values are null.
 
-
-def _text(key: str, default: str) -> Column:
-    return F.coalesce(F.try_variant_get("record", f"$.{key}", "string"), F.lit(default))
+    The record is read once, as a struct. Expanding that struct with ``inline`` and not as plain columns stops the
+    optimizer from repeating the read in every later filter and expression.
+    """
+    struct_type = "struct<" + ", ".join(f"{key}: {kind}" for key, kind in fields.items()) + ">"
+    return records.select(*keep, "record", F.inline(F.array(F.try_variant_get("record", "$", struct_type))))
 
 
-def _number(key: str, kind: str) -> Column:
-    return F.coalesce(F.try_variant_get("record", f"$.{key}", kind), F.lit(0).cast(kind))
+def _any_malformed(keys: Iterable[str]) -> Column:
+    """Over the output of ``_typed``."""
+    bad = F.lit(False)
+    for key in keys:
+        bad = bad | _is_malformed(key, F.col(key))
+    return bad
 
 
 def validate_required(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -79,35 +86,42 @@ def validate_required(records: DataFrame, keys: list[str] | None = None) -> Data
 
 
 def quarantine(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The records ``validate_required`` and ``coerce_types`` turn away, with the reason."""
-    missing = ~has_keys(keys or REQUIRED_KEYS)
-    malformed = _any_malformed({"price": "double", "sales_count": "bigint"})
-    reason = F.when(missing, "missing key").when(malformed, "malformed number")
-    return records.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    """The records that loading turns away, with the reason: a missing key or a number that cannot be read."""
+    typed = _typed(records, NUMBER_FIELDS, *[c for c in records.columns if c != "record"])
+    reason = F.when(~has_keys(keys or REQUIRED_KEYS), "missing key").when(
+        _any_malformed(NUMBER_FIELDS), "malformed number"
+    )
+    return typed.select(*records.columns, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def coerce_types(records: DataFrame) -> DataFrame:
     """Add typed ``price`` and ``sales_count`` (0 when absent); rows with unreadable numbers are dropped."""
-    fields = {"price": "double", "sales_count": "bigint"}
-    return records.where(~_any_malformed(fields)).select(
-        "*", *[_number(key, kind).alias(key) for key, kind in fields.items()]
-    )
+    fields = {key: NUMBER_FIELDS[key] for key in ("price", "sales_count")}
+    typed = _typed(records, fields, *[c for c in records.columns if c != "record"])
+    return typed.where(~_any_malformed(fields)).fillna(0, list(fields))
 
 
 def normalize_records(records: DataFrame, as_of: date, *keep: str) -> DataFrame:
     """Typed, defaulted rows with revenue; both dates are the load day. Unreadable rows are left to quarantine."""
-    price = _number("price", "double")
-    quantity = _number("sales_count", "bigint")
-    listed = F.coalesce(F.try_variant_get("record", "$.original_price", "double"), price)
-    numbers = {key: _number(key, kind) for key, kind in NUMBER_FIELDS.items()}
-    numbers["original_price"] = listed
-    texts = {key: _text(key, default) for key, default in TEXT_FIELDS.items()}
-    texts["product_name"] = strip(texts["product_name"])
-    return records.where(~_any_malformed(NUMBER_FIELDS)).select(
+    fields = {**{key: "string" for key in TEXT_FIELDS}, **NUMBER_FIELDS}
+    rows = _typed(records, fields, *keep).where(~_any_malformed(NUMBER_FIELDS))
+    price, quantity = F.coalesce("price", F.lit(0.0)), F.coalesce("sales_count", F.lit(0))
+
+    def text(key: str) -> Column:
+        return F.coalesce(key, F.lit(TEXT_FIELDS[key])).alias(key)
+
+    def number(key: str) -> Column:
+        missing = price if key == "original_price" else F.lit(0)
+        return F.coalesce(F.col(key), missing.cast(NUMBER_FIELDS[key])).alias(key)
+
+    return rows.select(
         *keep,
-        *[texts[key].alias(key) for key in ("product_id", "product_name", "category")],
-        *[numbers[key].alias(key) for key in NUMBER_FIELDS],
-        *[texts[key].alias(key) for key in ("seller_name", "seller_location")],
+        text("product_id"),
+        strip(text("product_name")).alias("product_name"),
+        text("category"),
+        *[number(key) for key in NUMBER_FIELDS],
+        text("seller_name"),
+        text("seller_location"),
         F.lit(as_of).alias("ingestion_date"),
         F.lit(as_of).alias("sale_date"),
         (price * quantity).alias("revenue"),

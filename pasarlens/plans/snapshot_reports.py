@@ -173,7 +173,7 @@ def dash_trend(category_summary: DataFrame) -> DataFrame:
 
 
 def dash_price(category_summary: DataFrame) -> DataFrame:
-    return category_summary.groupBy("category").agg(exact_avg("avg_price", 4).alias("avg_price"))
+    return category_summary.groupBy("category").agg(exact_avg("avg_price", 8).alias("avg_price"))
 
 
 def dash_products(performance: DataFrame) -> DataFrame:
