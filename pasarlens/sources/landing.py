@@ -36,7 +36,7 @@ def envelope_records(envelopes: DataFrame) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as text, for structure checks that must see unreadable files too."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
