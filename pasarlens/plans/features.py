@@ -87,13 +87,14 @@ def ml_features(cleaned: DataFrame) -> DataFrame:
 def seq_split(rows: DataFrame, day: str = "sale_date", eval_fraction: float = 0.2) -> DataFrame:
     """Flag the latest part of the rows as evaluation data.
 
-    Rows are counted per day first. The running share then needs an ordered pass over one row per calendar day,
-    and the per-day flag goes back to the rows by an equi-join whose small side is broadcast at run time once its
-    measured size allows. All rows of a day land on the same side; the first day whose running share passes
-    ``1 - eval_fraction`` starts the evaluation part.
+    Rows are counted per day first, so the running share is taken over one row per calendar day. The flags go back
+    by an equi-join with the day table broadcast: it holds one date and one boolean per calendar day, a few
+    thousand rows for decades of data however many rows a day has, so the rows are not shuffled by day. All rows of
+    a day land on the same side; the first day whose running share passes ``1 - eval_fraction`` starts the
+    evaluation part.
     """
     per_day = rows.where(F.col(day).isNotNull()).groupBy(day).agg(F.count("*").alias("n"))
     all_days = W.partitionBy(F.lit(0))
     so_far = F.sum("n").over(all_days.orderBy(day))
     flags = per_day.select(day, (so_far > F.sum("n").over(all_days) * (1 - eval_fraction)).alias("is_eval"))
-    return rows.join(flags, day)
+    return rows.join(F.broadcast(flags), day)

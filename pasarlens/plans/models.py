@@ -74,15 +74,23 @@ def _fit(stages: list, training: DataFrame) -> PipelineModel:
         training.unpersist()
 
 
+def _bins(training: DataFrame, categories: list[str]) -> int:
+    """Tree bins: at least 64, and one per category plus one for unseen values, which trees require."""
+    counts = training.agg(*[F.countDistinct(c) for c in categories]).first()
+    return max(64, max(counts) + 2)
+
+
 def fit_linear(split: DataFrame) -> PipelineModel:
     stages = [*_inputs(SALES_NUMBERS, SALES_CATEGORIES, one_hot=True), LinearRegression(labelCol="label")]
     return _fit(stages, split.where(~F.col("is_eval")))
 
 
 def fit_boosted(split: DataFrame, iterations: int = 50, learning_rate: float = 0.1) -> PipelineModel:
-    trees = GBTRegressor(labelCol="label", maxIter=iterations, stepSize=learning_rate, maxBins=128, seed=42)
-    stages = [*_inputs(SALES_NUMBERS, SALES_CATEGORIES, one_hot=False), trees]
-    return _fit(stages, split.where(~F.col("is_eval")))
+    training = split.where(~F.col("is_eval")).persist()
+    trees = GBTRegressor(
+        labelCol="label", maxIter=iterations, stepSize=learning_rate, maxBins=_bins(training, SALES_CATEGORIES), seed=42
+    )
+    return _fit([*_inputs(SALES_NUMBERS, SALES_CATEGORIES, one_hot=False), trees], training)
 
 
 def predict_sales(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -195,7 +203,8 @@ def price_training(cleaned: DataFrame, as_of: date, months: int = 3) -> DataFram
 
 
 def fit_price(training: DataFrame) -> PipelineModel:
-    trees = GBTRegressor(labelCol="label", maxIter=20, maxBins=128, seed=42)
+    training = training.persist()
+    trees = GBTRegressor(labelCol="label", maxIter=20, maxBins=_bins(training, PRICE_CATEGORIES), seed=42)
     return _fit([*_inputs(PRICE_NUMBERS, PRICE_CATEGORIES, one_hot=False), trees], training)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,27 +80,28 @@ def refresh_daily_summary(
 ) -> None:
     """Append each batch to ``raw`` and recompute the summary of the months it touches.
 
-    The summary has one row per day and is stored by month, so a partition is a useful file and not one row. Raw
-    rows are read back by partition filter. The month list is bounded by the calendar.
+    The summary has one row per day and is stored by month, so a partition is a useful file and not one row. The
+    months of a batch are observed while it is written; only their folders of ``raw`` are listed and read back.
     """
     spark = batches.sparkSession
-    month = F.trunc("ingestion_date", "month").alias("month")
+    month = F.trunc("ingestion_date", "month")
     stored = T.StructType(
-        [*raw_schema, T.StructField("batch_id", T.LongType()), T.StructField("month", T.DateType())]
+        [*raw_schema, T.StructField("month", T.DateType()), T.StructField("batch_id", T.LongType())]
     )
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.select("*", F.lit(batch_id).alias("batch_id"), month)
+        seen = Observation()
+        observed = batch.observe(seen, F.collect_set(month).alias("months"))
+        stamped = observed.select("*", month.alias("month"), F.lit(batch_id).alias("batch_id"))
         stamped.hint("rebalance", F.col("month")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id", "month").parquet(raw)
-        table = spark.read.schema(stored).parquet(raw)
-        touched = [r[0] for r in table.where(F.col("batch_id") == batch_id).select("month").distinct().collect()]
-        if not touched:
+        ).partitionBy("month", "batch_id").parquet(raw)
+        folders = [f"{raw}/month={m}" for m in seen.get["months"]]  # bounded by the calendar
+        if not folders:
             return
-        totals = daily_totals(table.where(F.col("month").isin(touched)))
-        by_month = totals.withColumn("month", F.trunc("summary_date", "month"))
-        by_month.repartition("month").write.mode("overwrite").option(
+        table = spark.read.schema(stored).option("basePath", raw).parquet(*folders)
+        by_month = daily_totals(table).withColumn("month", F.trunc("summary_date", "month"))
+        by_month.hint("rebalance", F.col("month")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("month").parquet(summary)
 

@@ -63,3 +63,8 @@ def test_day_totals_ship_one_row_per_category(spark):
     text = plan(snapshot_reports.daily_totals(df))
     assert text.count("Exchange hashpartitioning(ingestion_date") == 2
     assert "partial_sum" in text
+
+
+def test_split_flags_do_not_shuffle_the_rows(spark):
+    text = plan(registry.queries()["seq_split"](spark, SF_DIR))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin [sale_date" not in text
