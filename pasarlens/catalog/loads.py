@@ -9,12 +9,15 @@ from pyspark.sql import types as T
 
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog.datasets import AS_OF, EVENTS_AS_OF, sql_sum
+from pasarlens.catalog.snapshots import PERFORMANCE_SQL
 from pasarlens.operators import keys as k
 from pasarlens.operators.cleaning import coerce_reviews
-from pasarlens.operators.quality import envelope_structure, file_validation
+from pasarlens.operators.quality import envelope_structure, file_validation, required_rules, run_rules
 from pasarlens.operators.records import normalize_records
+from pasarlens.plans import daily_job
 from pasarlens.plans import snapshot_reports as r
 from pasarlens.plans.sales_reports import category_revenue
+from pasarlens.schemas import REVIEWS, SNAPSHOTS
 from pasarlens.session import fresh_path
 from pasarlens.sources import delimited, landing, tables
 
@@ -204,7 +207,38 @@ def backup_export(spark, sf):
     return tables.backup_report(spark, live, root, stamp)
 
 
+def run_day(spark, sf):
+    """The whole batch run over landed snapshots; returns the product table it stored."""
+    landed, warehouse, staging = (fresh_path(spark, n) for n in ("landed", "warehouse", "staging"))
+    snapshots = d.snapshots(spark, sf)
+    snapshots.write.json(landed)
+    daily_job.run_day(spark, landed, warehouse, staging, snapshots.schema, AS_OF, partition=None)
+    return spark.read.parquet(f"{warehouse}/product_performance")
+
+
+def refresh_reports(spark, sf):
+    """Both stored summaries, as (table, rows, total)."""
+    warehouse = fresh_path(spark, "warehouse")
+    daily_job.refresh_reports(d.sales(spark, sf), d.reviews(spark, sf), warehouse, d.CREATED_AT)
+    daily, sentiment = (spark.read.parquet(f"{warehouse}/{t}") for t in ("sales_daily_summary", "sentiment_summary"))
+    return daily.agg(
+        F.lit("sales_daily_summary").alias("table_name"),
+        F.count("*").alias("rows"),
+        F.sum("total_transactions").alias("total"),
+    ).unionByName(
+        sentiment.agg(
+            F.lit("sentiment_summary").alias("table_name"),
+            F.count("*").alias("rows"),
+            F.sum("review_count").alias("total"),
+        )
+    )
+
+
 QUERIES = {
+    "conform_reviews": lambda spark, sf: tables.conform(d.reviews(spark, sf), REVIEWS),
+    "required_columns": lambda spark, sf: run_rules(d.snapshots(spark, sf), required_rules(SNAPSHOTS)),
+    "run_day": run_day,
+    "refresh_reports": refresh_reports,
     "append_new": lambda spark, sf: k.append_new(d.sales(spark, sf), d.history(d.sales(spark, sf)), KEY),
     "append_new_stats": lambda spark, sf: k.append_new_stats(d.sales(spark, sf), d.history(d.sales(spark, sf)), KEY),
     "upsert": upsert,
@@ -263,6 +297,23 @@ _REVENUE = f"category, count(*) AS transactions, {sql_sum('total_amount')} AS re
 _CSV_COLUMNS = "* EXCLUDE (ingestion_date)"
 
 ORACLE = {
+    "conform_reviews": f"""
+WITH {d.REVIEWS_SQL}
+SELECT *, CAST(NULL AS VARCHAR) AS product_variant, CAST(NULL AS VARCHAR) AS product_url,
+       CAST(NULL AS DATE) AS ingestion_date
+FROM reviews""",
+    "required_columns": f"WITH {d.SNAPSHOTS_SQL}\n"
+    + "\nUNION ALL\n".join(
+        f"""SELECT 'null_{c}' AS check_name, count(*) FILTER (WHERE "{c}" IS NULL) AS bad_rows,
+       count(*) FILTER (WHERE "{c}" IS NULL) = 0 AS passed FROM snapshots"""
+        for c in ("product_id", "product_name", "category", "price", "timestamp", "ingestion_date")
+    ),
+    "run_day": f"WITH {d.CLEANED_SQL}, {PERFORMANCE_SQL} SELECT * FROM performance",
+    "refresh_reports": f"""
+WITH {d.SALES_SQL}, {d.REVIEWS_SQL}
+SELECT 'sales_daily_summary' AS table_name, count(DISTINCT sale_date) AS "rows", count(*) AS total FROM sales
+UNION ALL
+SELECT 'sentiment_summary', count(DISTINCT (product_category, sentiment_label)), count(*) FROM reviews""",
     "append_new": f"""
 WITH {d.SALES_SQL}
 SELECT * FROM sales b

@@ -21,7 +21,7 @@ def _records(spark, sf_dir):
     return to_records(d.snapshots(spark, sf_dir).drop("ingestion_date").withColumn("sid", F.lit("snapshot")), "sid")
 
 
-def _with_revenue(spark, sf_dir):
+def with_revenue(spark, sf_dir):
     return d.snapshots(spark, sf_dir).withColumn("revenue", F.col("price") * F.col("sales_count"))
 
 
@@ -76,8 +76,8 @@ QUERIES = {
     "price_category": lambda spark, sf: r.price_category_by_product(
         d.cleaned(spark, sf), price_category(F.col("avg_price"))
     ),
-    "daily_summary_snapshot": lambda spark, sf: r.daily_summary_snapshot(_with_revenue(spark, sf), AS_OF),
-    "daily_totals": lambda spark, sf: r.daily_totals(_with_revenue(spark, sf)),
+    "daily_summary_snapshot": lambda spark, sf: r.daily_summary_snapshot(with_revenue(spark, sf), AS_OF),
+    "daily_totals": lambda spark, sf: r.daily_totals(with_revenue(spark, sf)),
     "daily_category_summary": _by_category,
     "scheduled_rollup": lambda spark, sf: r.scheduled_rollup(d.cleaned(spark, sf)),
     "product_performance": _performance,
@@ -126,7 +126,7 @@ by_category AS (
   FROM cleaned WHERE {_DAYS_30} GROUP BY sale_date, category
 )"""
 
-_PERFORMANCE_SQL = f"""
+PERFORMANCE_SQL = f"""
 performance AS (
   SELECT product_id, product_name, category, {sql_avg("price")} AS avg_price,
          CAST(sum(sales_count) AS BIGINT) AS total_sales, {sql_avg("rating")} AS avg_rating,
@@ -134,7 +134,7 @@ performance AS (
   FROM cleaned WHERE {_DAYS_30} GROUP BY product_id, product_name, category HAVING sum(sales_count) > 0
 )"""
 
-_PER_DAY_SQL = """
+PER_DAY_SQL = """
 per_category AS (
   SELECT ingestion_date, category, sum(CAST(price * sales_count AS DECIMAL(18,2))) AS revenue,
          sum(sales_count) AS units, sum(CAST(price AS DECIMAL(18,2))) AS price_sum, count(price) AS priced,
@@ -226,16 +226,16 @@ prices AS (SELECT product_id, {sql_avg("price")} AS avg_price FROM cleaned GROUP
 SELECT *, CASE WHEN avg_price < 50000 THEN 'LOW' WHEN avg_price < 200000 THEN 'MEDIUM' ELSE 'HIGH' END
        AS price_category FROM prices""",
     "daily_summary_snapshot": f"""
-WITH {d.SNAPSHOTS_SQL}, {_PER_DAY_SQL}
+WITH {d.SNAPSHOTS_SQL}, {PER_DAY_SQL}
 SELECT x.summary_date, total_sales, total_quantity, avg_price, top_category
 FROM (SELECT DATE '2001-08-01' AS summary_date) x LEFT JOIN per_day ON x.summary_date = per_day.summary_date""",
-    "daily_totals": f"WITH {d.SNAPSHOTS_SQL}, {_PER_DAY_SQL} SELECT * FROM per_day",
+    "daily_totals": f"WITH {d.SNAPSHOTS_SQL}, {PER_DAY_SQL} SELECT * FROM per_day",
     "daily_category_summary": f"WITH {d.CLEANED_SQL}, {_BY_CATEGORY_SQL} SELECT * FROM by_category",
     "scheduled_rollup": f"""
 WITH {d.CLEANED_SQL}
 SELECT sale_date, category, count(*) AS "count", CAST(sum(sales_count) AS BIGINT) AS total_sales
 FROM cleaned GROUP BY sale_date, category""",
-    "product_performance": f"WITH {d.CLEANED_SQL}, {_PERFORMANCE_SQL} SELECT * FROM performance",
+    "product_performance": f"WITH {d.CLEANED_SQL}, {PERFORMANCE_SQL} SELECT * FROM performance",
     "summary_stats": f"""
 WITH {d.CLEANED_SQL}
 SELECT count(DISTINCT product_id) AS unique_products, count(*) AS total_records, {sql_avg("price")} AS avg_price,
@@ -276,7 +276,7 @@ WITH {d.CLEANED_SQL}, {_BY_CATEGORY_SQL}
 SELECT summary_date, CAST(sum(total_sales) AS BIGINT) AS daily_sales FROM by_category
 GROUP BY summary_date ORDER BY summary_date DESC LIMIT 30""",
     "top_products": f"""
-WITH {d.CLEANED_SQL}, {_PERFORMANCE_SQL}
+WITH {d.CLEANED_SQL}, {PERFORMANCE_SQL}
 SELECT product_name, total_sales, avg_rating FROM performance
 ORDER BY total_sales DESC, product_id, product_name, category LIMIT 10""",
     "job_cost_report": """
@@ -297,7 +297,7 @@ SELECT summary_date, CAST(sum(total_sales) AS BIGINT) AS total_sales FROM by_cat
 WITH {d.CLEANED_SQL}, {_BY_CATEGORY_SQL}
 SELECT category, {sql_avg("avg_price", 8)} AS avg_price FROM by_category GROUP BY category""",
     "dash_products": f"""
-WITH {d.CLEANED_SQL}, {_PERFORMANCE_SQL}
+WITH {d.CLEANED_SQL}, {PERFORMANCE_SQL}
 SELECT product_name, category, total_sales, avg_rating FROM performance""",
     "table_counts": f"""
 WITH {d.CLEANED_SQL}, {_BY_CATEGORY_SQL}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog.datasets import AS_OF
 from pasarlens.catalog.loads import KEY, envelope_folder
-from pasarlens.catalog.snapshots import _PER_DAY_SQL, _with_revenue
+from pasarlens.catalog.snapshots import PER_DAY_SQL, with_revenue
 from pasarlens.session import fresh_path
 from pasarlens.streaming import alerts, ingest
 
@@ -43,7 +43,7 @@ def _run_twice(spark, df, day, job):
 
 def stream_daily_summary(spark, sf):
     raw, summary, checkpoint = (fresh_path(spark, n) for n in ("raw", "summary", "checkpoint"))
-    rows = _with_revenue(spark, sf)
+    rows = with_revenue(spark, sf)
     _run_twice(
         spark,
         rows,
@@ -113,7 +113,7 @@ WITH {d.SNAPSHOTS_SQL}
 SELECT true AS is_valid, count(*) FILTER (WHERE product_id IS NOT NULL AND price IS NOT NULL) AS valid_records,
        count(*) FILTER (WHERE product_id IS NULL OR price IS NULL) AS invalid_records
 FROM snapshots""",
-    "stream_daily_summary": f"WITH {d.SNAPSHOTS_SQL}, {_PER_DAY_SQL} SELECT * FROM per_day",
+    "stream_daily_summary": f"WITH {d.SNAPSHOTS_SQL}, {PER_DAY_SQL} SELECT * FROM per_day",
     "stream_append_new": f"""
 WITH {d.SALES_SQL}
 SELECT * FROM sales WHERE sale_date < DATE '2000-01-01'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,13 +11,17 @@ from pyspark.sql import functions as F
 from pasarlens.functions import discounted, month_text, stock_status, strip, weekday_name
 
 
-def clean_sales(raw: DataFrame, day: date | None = None) -> DataFrame:
-    """Cleaned, distinct snapshot rows; ``day`` restricts the run to one ingestion day."""
+def clean_sales(raw: DataFrame, day: date | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Cleaned, distinct snapshot rows; ``day`` restricts the run to one ingestion day.
+
+    ``keep`` columns stay beside the row and count towards its distinctness.
+    """
     if day is not None:
         raw = raw.where(F.col("ingestion_date") == F.lit(day))
     return (
         raw.where((F.col("price") > 0) & F.col("product_id").isNotNull())
         .select(
+            *keep,
             "product_id",
             strip(F.col("product_name")).alias("product_name"),
             F.upper(strip(F.col("category"))).alias("category"),
@@ -36,6 +41,17 @@ def clean_sales(raw: DataFrame, day: date | None = None) -> DataFrame:
     )
 
 
+def rebuild_sale_days(raw: DataFrame, day: date) -> DataFrame:
+    """All cleaned rows of the sale days an ingestion day touches, also those other ingestion days brought.
+
+    Replacing those days by this result repeats a run without losing or doubling rows. The day list is broadcast:
+    it holds at most one row per calendar day.
+    """
+    touched = raw.where(F.col("ingestion_date") == F.lit(day)).select(F.to_date("timestamp").alias("_day")).distinct()
+    same_days = raw.join(F.broadcast(touched), F.to_date(raw["timestamp"]) == touched["_day"], "left_semi")
+    return clean_sales(same_days, keep=["ingestion_date"]).drop("ingestion_date")
+
+
 def coerce_reviews(reviews: DataFrame, as_of: date) -> DataFrame:
     """Read numbers and dates from text, unreadable ones as null; columns that are absent stay absent."""
     coerced = {

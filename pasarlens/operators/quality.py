@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pasarlens.operators.records import FILE_CHECK_KEYS, has_keys
 
@@ -40,6 +41,11 @@ def standard_rules() -> dict[str, Column]:
     return {**negative_prices(), **null_product_ids()}
 
 
+def required_rules(schema: T.StructType) -> dict[str, Column]:
+    """One rule per required column of a declared table: it must not be null."""
+    return {f"null_{field.name}": F.col(field.name).isNull() for field in schema if not field.nullable}
+
+
 def quality_score(rule_results: DataFrame) -> DataFrame:
     """Passed and total rules, whole percent, and the band: all, most (80 and up) or attention."""
     passed, total = F.count_if("passed"), F.count("*")

@@ -1,4 +1,4 @@
-"""Declared table schemas."""
+"""Declared table schemas. Timestamps are instants; the session time zone, UTC, decides their day."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ _TYPES = {
     "double": T.DoubleType(),
     "bigint": T.LongType(),
     "date": T.DateType(),
-    "timestamp_ntz": T.TimestampNTZType(),
+    "timestamp": T.TimestampType(),
 }
 
 
@@ -38,13 +38,13 @@ REVIEWS = _schema(
 SNAPSHOTS = _schema(
     "product_id string!, product_name string!, category string!, price double!, original_price double, "
     "discount_percent double, sales_count bigint, rating double, review_count bigint, stock bigint, "
-    "seller_name string, seller_location string, timestamp timestamp_ntz!, ingestion_date date!"
+    "seller_name string, seller_location string, timestamp timestamp!, ingestion_date date!"
 )
 
 CLEANED = _schema(
     "product_id string!, product_name string!, category string!, price double!, discount_price double, "
     "discount_percent double, sales_count bigint!, rating double, review_count bigint, stock_status string, "
-    "seller_name string, seller_location string, sale_date date!, sale_timestamp timestamp_ntz!"
+    "seller_name string, seller_location string, sale_date date!, sale_timestamp timestamp!"
 )
 
 CATALOGUE = _schema(

@@ -73,7 +73,10 @@ def write_envelopes(df: DataFrame, path: str, at: datetime, source: str, max_rec
 
 
 def write_landing(df: DataFrame, path: str, at: datetime, source: str) -> dict[str, object]:
-    """Append one batch as newline-delimited JSON and return its metadata; the count comes from the same pass."""
+    """Append one batch as newline-delimited JSON and return its metadata.
+
+    The count is observed in the stage that writes, where a repeated task is counted once.
+    """
     seen = Observation()
     batch = _batch_id(at)
     stamped = df.observe(seen, F.count("*").alias("record_count")).withColumns(

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pasarlens.operators.keys import upsert
 
@@ -16,6 +17,23 @@ def stamp_ingestion(df: DataFrame, as_of: date) -> DataFrame:
     return df.withColumn("ingestion_date", F.lit(as_of))
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a declared table, in order and typed; absent optional columns become null.
+
+    Unreadable values raise, as a load into a typed table does. Nulls in required columns are data and are counted
+    by ``quality.required_rules``.
+    """
+    absent = [field.name for field in schema if field.name not in df.columns and not field.nullable]
+    if absent:
+        raise ValueError(f"required columns are missing: {', '.join(absent)}")
+    return df.select(
+        *[
+            (F.col(field.name) if field.name in df.columns else F.lit(None)).cast(field.dataType).alias(field.name)
+            for field in schema
+        ]
+    )
+
+
 def _laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str]) -> DataFrame:
     """Rows gathered by partition value and sorted by the cluster columns inside each file.
 

@@ -1,10 +1,12 @@
+import json
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pasarlens.schemas import CATALOGUE
+from pasarlens.plans import daily_job
+from pasarlens.schemas import CATALOGUE, REVIEWS, SNAPSHOTS
 from pasarlens.sources import delimited, landing, tables
 
 AT = datetime(2024, 1, 2, 3, 4, 5)
@@ -119,3 +121,46 @@ def test_backup_counts(spark, tmp_path):
 
 def test_stamp(spark):
     assert tables.stamp_ingestion(spark.range(1), date(2024, 1, 1)).first().ingestion_date == date(2024, 1, 1)
+
+
+def test_conform_fills_optional_and_refuses_missing_required(spark):
+    out = tables.conform(spark.createDataFrame([("1", "2")], "review_id string, rating string"), REVIEWS)
+    assert out.columns == REVIEWS.names
+    assert (out.first().rating, out.first().product_url) == (2, None)
+    with pytest.raises(ValueError, match="review_id"):
+        tables.conform(spark.range(1), REVIEWS)
+
+
+def record(day, moment, **changes):
+    row = {"product_id": "a", "product_name": "Kopi", "category": "food", "price": 10.0, "sales_count": 4,
+           "timestamp": moment, "ingestion_date": day}
+    return json.dumps({**row, **changes})
+
+
+def test_run_day_keeps_steps_in_tables(spark, tmp_path):
+    warehouse, staging = str(tmp_path / "w"), str(tmp_path / "s")
+    first, second = date(2024, 5, 2), date(2024, 5, 3)
+    late = "2024-05-02T23:30:00.5+00:00"
+    loads = {
+        first: [record("2024-05-02", late), record("2024-05-02", late, price=-1.0)],
+        second: [record("2024-05-03", late), record("2024-05-03", "2024-05-03T08:00:00+00:00", sales_count=1)],
+    }
+    for day, lines in loads.items():
+        (tmp_path / f"{day}").mkdir()
+        (tmp_path / f"{day}" / "x.json").write_text("\n".join(lines))
+        found = daily_job.run_day(spark, str(tmp_path / f"{day}"), warehouse, staging, SNAPSHOTS, day, day)
+        if day == first:
+            assert {tuple(r) for r in found["quality"].collect()} == {("duplicates", 1, "warning"), ("nulls", 0, "ok")}
+            assert tuple(found["stats"].first()) == (1, 1, 10.0, 4)
+
+    def stored():
+        columns = ["sale_date", "sale_timestamp", "sales_count"]
+        return sorted(tuple(r) for r in spark.read.parquet(f"{warehouse}/cleaned_sales_data").select(columns).collect())
+
+    before = stored()
+    assert [r[2] for r in before] == [4, 4, 1]
+    assert spark.read.parquet(f"{warehouse}/product_performance").first().total_sales == 9
+    daily_job.run_day(spark, "", warehouse, staging, SNAPSHOTS, second, second, rerun=True)
+    assert stored() == before
+    with pytest.raises(ValueError):
+        daily_job.run_day(spark, "", warehouse, staging, SNAPSHOTS, second, rerun=True)
