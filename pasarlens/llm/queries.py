@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pasarlens.llm import byte_bpe, licenses, packing, pii, quality_rules
+from pasarlens.llm import byte_bpe, language_id, licenses, packing, pii, quality_gam, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return quality_gam.score_quality(documents, quality_gam.fit_quality(documents, _table(spark, sf_dir, "labels")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return language_id.label_languages(documents, language_id.fit_languages(documents))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -64,9 +74,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_gam": op1_quality_gam,
     "op2_packing": op2_packing,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_pii": op5_pii,
+    "op8_language_id": op8_language_id,
     "op9_licenses": op9_licenses,
     "op10_quality_rules": op10_quality_rules,
 }
