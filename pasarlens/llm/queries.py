@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pasarlens.llm import byte_bpe, language_id, licenses, packing, pii, quality_gam, quality_rules
+from pasarlens.llm import byte_bpe, exact_topk, language_id, licenses, packing, pii, quality_gam, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.exact_topk(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return language_id.label_languages(documents, language_id.fit_languages(documents))
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_pii": op5_pii,
+    "op6_exact_topk": op6_exact_topk,
     "op8_language_id": op8_language_id,
     "op9_licenses": op9_licenses,
     "op10_quality_rules": op10_quality_rules,
@@ -87,6 +92,19 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 _STOP_SQL = ", ".join("'" + w + "'" for w in quality_rules.STOP_FORMS)
 
 ORACLE: dict[str, str] = {
+    "op6_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+            FROM pairs)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op10_quality_rules": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
         w AS (
