@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pasarlens.llm import byte_bpe, exact_topk, language_id, licenses, packing, pii, quality_gam, quality_rules
+from pasarlens.llm import byte_bpe, exact_topk, language_id, licenses, packing, pii, quality_gam, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,11 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.exact_topk(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return language_id.label_languages(documents, language_id.fit_languages(documents))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_pii": op5_pii,
     "op6_exact_topk": op6_exact_topk,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_language_id": op8_language_id,
     "op9_licenses": op9_licenses,
     "op10_quality_rules": op10_quality_rules,

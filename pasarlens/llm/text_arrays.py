@@ -186,6 +186,13 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix((sums[width:] - sums[: n - width + 1]) * _power("down", n + 1)[: n - width + 1])
 
 
+def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the values in each range."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _power("up", len(hashes)), dtype=np.uint64, out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _power("down", len(hashes) + 1)[starts])
+
+
 def window_places(offsets: np.ndarray, width: int) -> np.ndarray:
     """For each place of ``window_hashes`` over all words: whether the window lies in one text."""
     total = int(offsets[-1])
