@@ -285,7 +285,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "repeated_paths",
     )
 
-    sources = texts.mapInArrow(_pack, "doc_id bigint, copy bigint, packed binary")
+    # both joins ask for the same rows, so the texts are dealt out once and the exchange is used again
+    kinds = "doc_id bigint, copy bigint, packed binary"
+    nameless = texts.where("doc_id IS NULL").mapInArrow(_pack, kinds)
+    nameless = nameless.withColumn("spans", F.array().cast("array<bigint>"))
+    sources = texts.where("doc_id IS NOT NULL").mapInArrow(_pack, kinds).where("doc_id IS NOT NULL AND copy IS NOT NULL")
     apart = repeated.where("branches").groupBy("doc_id", "copy").agg(F.collect_list("span").alias("paths"))
     edges = (
         sources.join(apart, ["doc_id", "copy"])
@@ -301,5 +305,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return (
         sources.join(spans, ["doc_id", "copy"], "left")
         .select("doc_id", "packed", "spans")
+        .unionByName(nameless.select("doc_id", "packed", "spans"))
         .mapInArrow(_cut, "doc_id bigint, n_words bigint, n_removed bigint, kept string, text string")
     )
