@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pasarlens.llm import byte_bpe, exact_topk, language_id, licenses, packing, pii, quality_gam, quality_rules, substring_dedup
+from pasarlens.llm import byte_bpe, exact_topk, language_id, licenses, ngram_join, packing, pii, quality_gam, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_packing": op2_packing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_ngram_join": op4_ngram_join,
     "op5_pii": op5_pii,
     "op6_exact_topk": op6_exact_topk,
     "op7_substring_dedup": op7_substring_dedup,
@@ -98,6 +103,23 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 _STOP_SQL = ", ".join("'" + w + "'" for w in quality_rules.STOP_FORMS)
 
 ORACLE: dict[str, str] = {
+    "op4_ngram_join": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (
+            SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 10 * k >= 8 * (x.n + y.n - k)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(node, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+        SELECT node AS doc_id, min(root) AS class_id,
+            (SELECT count(*) FROM e WHERE e.a = node)::BIGINT AS n_links
+        FROM r GROUP BY node""",
     "op6_exact_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
