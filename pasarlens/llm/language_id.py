@@ -233,23 +233,46 @@ def fit_languages(df: DataFrame, **names: str) -> Network:
     return train(windows, labels[row], languages)
 
 
+def _labels(net: Network, column: pa.Array) -> Iterator[tuple[int, list[str], np.ndarray]]:
+    """First row, languages and their probabilities for slices of a column of texts."""
+    names = np.array([*net.languages, UNKNOWN], object)
+    for a, b, data, offsets in pieces(column):
+        texts = column.slice(a, b - a).to_pylist()
+        if not net.languages:
+            yield a, [UNKNOWN] * len(texts), np.zeros(len(texts))
+            continue
+        p = probabilities(net, data, offsets)
+        known = np.array([bool(t and _LETTER.search(t)) for t in texts])
+        best = np.where(known, p.argmax(1), len(net.languages))
+        yield a, names[best].tolist(), np.where(known, np.clip(p.max(1), 0, 1), 0.0)
+
+
 def label_languages(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text: id, whether it is held out, language and its probability. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*net.languages, UNKNOWN], object)
         for batch in batches:
-            for a, b, data, offsets in pieces(batch.column(1)):
-                p = np.zeros((b - a, 0)) if not net.languages else probabilities(net, data, offsets)
-                texts = batch.column(1).slice(a, b - a).to_pylist()
-                known = np.array([bool(net.languages and t and _LETTER.search(t)) for t in texts], bool)
-                best = np.where(known, p.argmax(1) if net.languages else 0, len(net.languages))
-                score = np.where(known, np.clip(p.max(1), 0, 1) if net.languages else 0.0, 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
-                    ["doc_id", "lang_pred", "score"],
-                )
+            for a, languages, score in _labels(net, batch.column(1)):
+                own = [batch.column(0).slice(a, len(score)), pa.array(languages, pa.string()), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(own, ["doc_id", "lang_pred", "score"])
 
     labelled = _rows(df, id_col, text_col).mapInArrow(run, "doc_id bigint, lang_pred string, score double")
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
     return labelled.select("doc_id", held_out, "lang_pred", "score")
+
+
+def keep_known(df: DataFrame, net: Network, least: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose language is known with probability ``least`` or more, with all columns; a null language is filled in."""
+    text, lang = df.columns.index(text_col), df.columns.index(lang_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, languages, score in _labels(net, batch.column(text)):
+                rows = batch.slice(a, len(score))
+                filled = pa.array(
+                    [own or found for own, found in zip(rows.column(lang).to_pylist(), languages, strict=True)], pa.string()
+                )
+                rows = rows.set_column(lang, batch.schema.field(lang), filled)
+                yield rows.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(languages, score, strict=True)]))
+
+    return df.mapInArrow(run, df.schema)

@@ -177,12 +177,11 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text compressed, other columns as they are."""
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         blobs = [pack.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], ["doc_id", "copy", "packed"]
-        )
+        yield batch.set_column(2, "packed", pa.array(blobs, pa.binary()))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +226,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(removed),
                     _strings(joined, bounds),
                     _strings(text, left),
+                    *[column.slice(a, b - a) for column in batch.columns[3:]],
                 ],
-                ["doc_id", "n_words", "n_removed", "kept", "text"],
+                ["doc_id", "n_words", "n_removed", "kept", "text", *batch.schema.names[3:]],
             )
 
 
@@ -237,22 +237,27 @@ def _strings(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(bounds) - 1, buffers)
 
 
-def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id, ``copy`` (0, or a hash of the text where several rows share the id) and text."""
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _keyed(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """Id, ``copy`` (0, or a hash of the text where several rows share the id) and text; the whole row too, if asked for."""
+    rows = df.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        *[F.struct(*[c for c in df.columns if c != text_col]).alias("rest")] * carry,
+    )
+    more = ["rest"] * carry
     shared = rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if shared.isEmpty():
-        return rows.select("doc_id", F.lit(0).cast("long").alias("copy"), "text")
+        return rows.select("doc_id", F.lit(0).cast("long").alias("copy"), "text", *more)
     marked = rows.join(shared.withColumn("shared", F.lit(True)), "doc_id", "left")
     return marked.select(
-        "doc_id", F.when(F.col("shared"), F.xxhash64("text")).otherwise(0).cast("long").alias("copy"), "text"
+        "doc_id", F.when(F.col("shared"), F.xxhash64("text")).otherwise(0).cast("long").alias("copy"), "text", *more
     )
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per text: ``n_words``, ``n_removed``, the words that stay joined by one space (``kept``), and the text without the
-    others (``text``)."""
-    texts = _keyed(df, id_col, text_col)
+    others (``text``). With ``carry``, also the row's other columns, as the struct ``rest``."""
+    texts = _keyed(df, id_col, text_col, carry)
     usable = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
     size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(MOST_BUCKETS, max(64, size // BUCKET_BYTES)))
@@ -286,7 +291,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
     # both joins ask for the same rows, so the texts are dealt out once and the exchange is used again
-    kinds = "doc_id bigint, copy bigint, packed binary"
+    rest = f", rest {texts.schema['rest'].dataType.simpleString()}" if carry else ""
+    kinds = "doc_id bigint, copy bigint, packed binary" + rest
+    wanted = ["doc_id", "packed", "spans"] + ["rest"] * carry
     nameless = texts.where("doc_id IS NULL").mapInArrow(_pack, kinds)
     nameless = nameless.withColumn("spans", F.array().cast("array<bigint>"))
     sources = texts.where("doc_id IS NOT NULL").mapInArrow(_pack, kinds).where("doc_id IS NOT NULL AND copy IS NOT NULL")
@@ -304,7 +311,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = covered.groupBy("doc_id", "copy").agg(F.collect_list("span").alias("spans"))
     return (
         sources.join(spans, ["doc_id", "copy"], "left")
-        .select("doc_id", "packed", "spans")
-        .unionByName(nameless.select("doc_id", "packed", "spans"))
-        .mapInArrow(_cut, "doc_id bigint, n_words bigint, n_removed bigint, kept string, text string")
+        .select(*wanted)
+        .unionByName(nameless.select(*wanted))
+        .mapInArrow(_cut, "doc_id bigint, n_words bigint, n_removed bigint, kept string, text string" + rest)
     )
