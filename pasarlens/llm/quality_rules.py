@@ -45,10 +45,10 @@ class Rule:
 
 #: The threshold table. Ratios are per word or per line; a ratio over nothing counts as 0.
 RULES = (
-    Rule("mean_word_length", "word_chars / n_words", 2.0, 15.0),
-    Rule("symbols_per_word", "n_symbols / n_words", None, 0.1),
-    Rule("stop_word_share", "n_stop_words / n_words", 0.02, None),
-    Rule("repeated_line_share", "n_dup_lines / n_lines", None, 0.5),
+    Rule("mean_word_length", "try_divide(word_chars, n_words)", 2.0, 15.0),
+    Rule("symbols_per_word", "try_divide(n_symbols, n_words)", None, 0.1),
+    Rule("stop_word_share", "try_divide(n_stop_words, n_words)", 0.02, None),
+    Rule("repeated_line_share", "try_divide(n_dup_lines, n_lines)", None, 0.5),
 )
 
 #: Fewer words, or a larger share of words in repeated three-word windows, always fail.
