@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,51 +130,54 @@ def _stack(table: pa.Table, name: str) -> np.ndarray:
     return np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raw)).reshape(len(raw), width // 8)
 
 
-def _search_cell(queries: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
+def _search_cell(cell: pa.Table, k: int) -> pa.Table:
     """The k best rows of the shard's blocks for each query of the group (fewer, if the rest can't be among its best)."""
+    kinds = pa.schema([(c, pa.int64()) for c in ("number", "query_id", "vec_id", "score")])
+    queries, blocks = (cell.filter(pc.equal(cell.column("kind"), kind)) for kind in ("query", "block"))
+    if not queries.num_rows or not blocks.num_rows:
+        return kinds.empty_table()
     q = _stack(queries, "vectors")
     own_id, kth = queries.column("id").to_numpy(), queries.column("least").to_numpy().copy()
     m, n = len(q), blocks.num_rows
     out_q, out_s, out_i = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if m and n:
-        ids = [np.frombuffer(b, np.int64) for b in blocks.column("ids").to_pylist()]
-        vectors = [
-            np.frombuffer(b).reshape(len(i), -1) for b, i in zip(blocks.column("vectors").to_pylist(), ids, strict=True)
-        ]
-        high, low = _stack(blocks, "highest"), _stack(blocks, "lowest")
-        width = max(q.shape[1], high.shape[1])
-        high, low, wide = (np.pad(a, ((0, 0), (0, width - a.shape[1]))) for a in (high, low, q))
-        # a block whose vectors are shorter than the query has zeros there, and so have its bounds; shorter vectors in a block
-        # were filled up with zeros before the bounds were taken
-        bound = np.maximum(wide, 0) @ high.T + np.minimum(wide, 0) @ low.T
-        bound += np.abs(bound) * 1e-12
-        order = np.argsort(-bound, axis=1, kind="stable")
-        going = np.arange(m)
-        for step in range(n):
-            block = order[going, step]
-            going = going[bound[going, block] >= kth[going]]
-            if not len(going):
-                break
-            block = order[going, step]
-            by_block = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[by_block], prepend=-1))
-            found = [(out_q, out_s, out_i)]
-            for a, b in zip(cuts, [*cuts[1:], len(by_block)], strict=True):
-                rows, one = going[by_block[a:b]], int(block[by_block[a]])
-                score = _products(q[rows], vectors[one])
-                keep = (score >= kth[rows, None]) & (ids[one] != own_id[rows, None])
-                r, c = np.nonzero(keep)
-                found.append((rows[r], score[r, c], ids[one][c]))
-            out_q, out_s, out_i = (np.concatenate(x) for x in zip(*found, strict=True))
-            best = _best(out_q, out_s, out_i, k)
-            out_q, out_s, out_i = out_q[best], out_s[best], out_i[best]
-            full = np.flatnonzero(np.bincount(out_q, minlength=m) == k)
-            last = np.searchsorted(out_q, full, "right") - 1
-            kth[full] = np.maximum(kth[full], out_s[last])
+    ids = [np.frombuffer(b, np.int64) for b in blocks.column("ids").to_pylist()]
+    vectors = [
+        np.frombuffer(b).reshape(len(i), -1) for b, i in zip(blocks.column("vectors").to_pylist(), ids, strict=True)
+    ]
+    high, low = _stack(blocks, "highest"), _stack(blocks, "lowest")
+    width = max(q.shape[1], high.shape[1])
+    high, low, wide = (np.pad(a, ((0, 0), (0, width - a.shape[1]))) for a in (high, low, q))
+    # a block whose vectors are shorter than the query has zeros there, and so have its bounds; shorter vectors in a block
+    # were filled up with zeros before the bounds were taken
+    bound = np.maximum(wide, 0) @ high.T + np.minimum(wide, 0) @ low.T
+    bound += np.abs(bound) * 1e-12
+    order = np.argsort(-bound, axis=1, kind="stable")
+    going = np.arange(m)
+    for step in range(n):
+        block = order[going, step]
+        going = going[bound[going, block] >= kth[going]]
+        if not len(going):
+            break
+        block = order[going, step]
+        by_block = np.argsort(block, kind="stable")
+        cuts = np.flatnonzero(np.diff(block[by_block], prepend=-1))
+        found = [(out_q, out_s, out_i)]
+        for a, b in zip(cuts, [*cuts[1:], len(by_block)], strict=True):
+            rows, one = going[by_block[a:b]], int(block[by_block[a]])
+            score = _products(q[rows], vectors[one])
+            keep = (score >= kth[rows, None]) & (ids[one] != own_id[rows, None])
+            r, c = np.nonzero(keep)
+            found.append((rows[r], score[r, c], ids[one][c]))
+        out_q, out_s, out_i = (np.concatenate(x) for x in zip(*found, strict=True))
+        best = _best(out_q, out_s, out_i, k)
+        out_q, out_s, out_i = out_q[best], out_s[best], out_i[best]
+        full = np.flatnonzero(np.bincount(out_q, minlength=m) == k)
+        last = np.searchsorted(out_q, full, "right") - 1
+        kth[full] = np.maximum(kth[full], out_s[last])
     number = queries.column("number").to_numpy()
     return pa.table(
         {"number": number[out_q], "query_id": own_id[out_q], "vec_id": out_i, "score": out_s},
-        schema=pa.schema([(c, pa.int64()) for c in ("number", "query_id", "vec_id", "score")]),
+        schema=kinds,
     )
 
 
@@ -193,16 +197,12 @@ def exact_topk(
         return F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias(name)
 
     # the stated queries against all rows, in blocks: a block goes to every group of queries, a query to every shard
-    blocks = rows.where("kind = 'block'").select("ids", "vectors", "highest", "lowest", spread(shards, "shard"), each(groups, "grp"))
-    queries = rows.where("kind = 'query'").select(
-        "number", "id", "least", "vectors", spread(groups, "grp"), each(shards, "shard")
-    )
+    blocks = rows.where("kind = 'block'").select("*", spread(shards, "shard"), each(groups, "grp"))
+    queries = rows.where("kind = 'query'").select("*", each(shards, "shard"), spread(groups, "grp"))
     found = (
-        queries.groupBy("shard", "grp")
-        .cogroup(blocks.groupBy("shard", "grp"))
-        .applyInArrow(
-            lambda q, b: _search_cell(q, b, k), "number bigint, query_id bigint, vec_id bigint, score bigint"
-        )
+        queries.unionByName(blocks)
+        .groupBy("shard", "grp")
+        .applyInArrow(lambda cell: _search_cell(cell, k), "number bigint, query_id bigint, vec_id bigint, score bigint")
     )
     best = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     return (
