@@ -129,7 +129,7 @@ CLEANED_SQL = (
     + """,
 cleaned AS (
   SELECT DISTINCT product_id, trim(product_name) AS product_name, upper(trim(category)) AS category, price,
-         CAST(round(CAST(price AS DECIMAL(14,2)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(5,2)))
+         CAST(round(CAST(price AS DECIMAL(18,6)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(9,6)))
                     * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS discount_price,
          discount_percent, coalesce(sales_count, 0) AS sales_count, rating,
          coalesce(review_count, 0) AS review_count,
@@ -242,10 +242,10 @@ def arriving(df: DataFrame, day: str = "sale_date") -> DataFrame:
 
 
 # Exact sums and means in SQL, as in pasarlens.functions.money.
-def sql_sum(column: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def sql_sum(column: str, scale: int = 6) -> str:
+    return f"CAST(sum(CAST({column} AS DECIMAL({22 + scale},{scale}))) AS DOUBLE)"
 
 
-def sql_avg(column: str, scale: int = 2) -> str:
+def sql_avg(column: str, scale: int = 6) -> str:
     return f"{sql_sum(column, scale)} / nullif(count({column}), 0)"
 

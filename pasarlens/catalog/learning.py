@@ -42,11 +42,12 @@ def _products(spark, sf):
 
 
 def _clusters(spark, sf):
-    return _once(spark, sf, "clusters", lambda: m.fit_clusters(_products(spark, sf)))
+    products = m.cluster_features(d.cleaned(spark, sf), AS_OF, keys=("product_id",))
+    return _once(spark, sf, "clusters", lambda: m.fit_clusters(products))
 
 
 def _price_rows(spark, sf):
-    return m.price_training(d.cleaned(spark, sf), AS_OF)
+    return m.price_rows(d.cleaned(spark, sf), AS_OF)
 
 
 def _price(spark, sf):
@@ -54,7 +55,7 @@ def _price(spark, sf):
 
 
 def _forecast(spark, sf):
-    return m.sales_forecast(_boosted(spark, sf), _features(spark, sf), AS_OF)
+    return m.sales_forecast(_boosted(spark, sf), f.feature_history(d.cleaned(spark, sf)), AS_OF)
 
 
 def _expected_prices(spark, sf):

@@ -88,7 +88,7 @@ def structure(spark, sf):
 
 
 def validate_files(spark, sf):
-    files = file_validation(landing.read_envelopes(spark, envelope_folder(spark, sf)))
+    files = file_validation(landing.read_documents(spark, envelope_folder(spark, sf)))
     return files.groupBy("is_valid").agg(
         F.sum("valid_records").alias("valid_records"), F.sum("invalid_records").alias("invalid_records")
     )
@@ -161,6 +161,17 @@ def new_files(spark, sf):
     return landing.new_files(spark, path, date(2001, 8, 1))
 
 
+def new_files_gate(spark, sf):
+    """Whether there are files since a day: one day before all of them, one after."""
+    path = fresh_path(spark, "raw")
+    _two_batches(spark, sf, path)
+    days = [date(2001, 8, 1), date(2999, 1, 1)]
+    counts = [
+        landing.new_files(spark, path, day).agg(F.lit(day).alias("since"), (F.count("*") > 0).alias("any_new")) for day in days
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 def append_load(spark, sf):
     path, sales = fresh_path(spark, "sales"), d.sales(spark, sf)
     for part in (d.history(sales), d.arriving(sales)):
@@ -203,17 +214,40 @@ def backup_export(spark, sf):
         "product_performance": r.product_performance(cleaned, AS_OF),
     }
     root, stamp = fresh_path(spark, "backup"), f"{SECOND_LOAD:%Y%m%d_%H%M%S}"
-    tables.backup_tables(live, root, stamp)
-    return tables.backup_report(spark, live, root, stamp)
+    rows = tables.backup_tables(live, root, stamp)
+    return tables.backup_report(spark, rows, {name: df.schema for name, df in live.items()}, root, stamp)
 
 
-def run_day(spark, sf):
-    """The whole batch run over landed snapshots; returns the product table it stored."""
+RUN_DAY = date(2001, 7, 20)
+
+
+def _run_day(spark, sf, times=1):
+    """The daily run over all landed snapshots, cleaning one ingestion day; returns the warehouse folder."""
     landed, warehouse, staging = (fresh_path(spark, n) for n in ("landed", "warehouse", "staging"))
     snapshots = d.snapshots(spark, sf)
     snapshots.write.json(landed)
-    daily_job.run_day(spark, landed, warehouse, staging, snapshots.schema, AS_OF, partition=None)
-    return spark.read.parquet(f"{warehouse}/product_performance")
+    for _ in range(times):
+        daily_job.run_day(spark, landed, warehouse, staging, SNAPSHOTS, AS_OF, RUN_DAY)
+    return warehouse
+
+
+def run_day(spark, sf):
+    return spark.read.parquet(f"{_run_day(spark, sf)}/product_performance")
+
+
+def run_day_quality(spark, sf):
+    return spark.read.parquet(f"{_run_day(spark, sf)}/quality_report").drop("ingestion_date")
+
+
+def run_day_twice(spark, sf):
+    """Rows of the tables after a second run over the same landing folder."""
+    warehouse = _run_day(spark, sf, times=2)
+    names = ("raw_sales_data", "cleaned_sales_data")
+    counts = [
+        spark.read.parquet(f"{warehouse}/{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"))
+        for name in names
+    ]
+    return counts[0].unionByName(counts[1])
 
 
 def refresh_reports(spark, sf):
@@ -238,6 +272,9 @@ QUERIES = {
     "conform_reviews": lambda spark, sf: tables.conform(d.reviews(spark, sf), REVIEWS),
     "required_columns": lambda spark, sf: run_rules(d.snapshots(spark, sf), required_rules(SNAPSHOTS)),
     "run_day": run_day,
+    "run_day_quality": run_day_quality,
+    "run_day_twice": run_day_twice,
+    "new_files_gate": new_files_gate,
     "refresh_reports": refresh_reports,
     "append_new": lambda spark, sf: k.append_new(d.sales(spark, sf), d.history(d.sales(spark, sf)), KEY),
     "append_new_stats": lambda spark, sf: k.append_new_stats(d.sales(spark, sf), d.history(d.sales(spark, sf)), KEY),
@@ -266,6 +303,7 @@ QUERIES = {
     "backup_export": backup_export,
 }
 
+_DAY_SQL = d.CLEANED_SQL.replace("WHERE price > 0", f"WHERE ingestion_date = DATE '{RUN_DAY}' AND price > 0")
 _SPLIT = "DATE '2000-01-01'"
 _REST = (
     "product_name, category, price, discount_percent, actual_price, quantity, seller_location, sale_month, day_of_week"
@@ -308,7 +346,24 @@ FROM reviews""",
        count(*) FILTER (WHERE "{c}" IS NULL) = 0 AS passed FROM snapshots"""
         for c in ("product_id", "product_name", "category", "price", "timestamp", "ingestion_date")
     ),
-    "run_day": f"WITH {d.CLEANED_SQL}, {PERFORMANCE_SQL} SELECT * FROM performance",
+    "run_day": f"WITH {_DAY_SQL}, {PERFORMANCE_SQL} SELECT * FROM performance",
+    "run_day_quality": f"""
+WITH {d.SNAPSHOTS_SQL},
+rows_of_day AS (SELECT * FROM snapshots WHERE ingestion_date = DATE '{RUN_DAY}'),
+counts AS (
+  SELECT (SELECT count(*) FROM (SELECT 1 FROM rows_of_day GROUP BY product_id, "timestamp" HAVING count(*) > 1)) AS duplicates,
+         (SELECT count(*) FILTER (WHERE product_id IS NULL) + count(*) FILTER (WHERE price IS NULL)
+                 + count(*) FILTER (WHERE category IS NULL) FROM rows_of_day) AS nulls
+)
+SELECT 'duplicates' AS metric, duplicates AS bad_rows, CASE WHEN duplicates > 0 THEN 'warning' ELSE 'ok' END AS status FROM counts
+UNION ALL SELECT 'nulls', nulls, CASE WHEN nulls > 0 THEN 'warning' ELSE 'ok' END FROM counts""",
+    "run_day_twice": f"""
+WITH {_DAY_SQL}
+SELECT 'raw_sales_data' AS table_name, count(*) AS "rows" FROM snapshots
+UNION ALL SELECT 'cleaned_sales_data', count(*) FROM cleaned""",
+    "new_files_gate": """
+SELECT DATE '2001-08-01' AS since, count(*) > 0 AS any_new FROM lineitem
+UNION ALL SELECT DATE '2999-01-01', false""",
     "refresh_reports": f"""
 WITH {d.SALES_SQL}, {d.REVIEWS_SQL}
 SELECT 'sales_daily_summary' AS table_name, count(DISTINCT sale_date) AS "rows", count(*) AS total FROM sales

@@ -72,7 +72,7 @@ ORACLE = {
     "category_sales": f"""
 WITH {d.SALES_SQL}
 SELECT category, count(transaction_id) AS total_transactions, CAST(sum(quantity) AS BIGINT) AS total_quantity,
-       {sql_sum("total_amount")} AS total_revenue, round({sql_avg("actual_price", 4)}, 0) AS avg_price,
+       {sql_sum("total_amount")} AS total_revenue, round({sql_avg("actual_price")}, 0) AS avg_price,
        count(DISTINCT seller_name) AS unique_sellers
 FROM sales GROUP BY category""",
     "top_sellers": f"""

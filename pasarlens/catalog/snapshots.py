@@ -136,8 +136,8 @@ performance AS (
 
 PER_DAY_SQL = """
 per_category AS (
-  SELECT ingestion_date, category, sum(CAST(price * sales_count AS DECIMAL(18,2))) AS revenue,
-         sum(sales_count) AS units, sum(CAST(price AS DECIMAL(18,2))) AS price_sum, count(price) AS priced,
+  SELECT ingestion_date, category, sum(CAST(price * sales_count AS DECIMAL(28,6))) AS revenue,
+         sum(sales_count) AS units, sum(CAST(price AS DECIMAL(28,6))) AS price_sum, count(price) AS priced,
          row_number() OVER (PARTITION BY ingestion_date ORDER BY sum(sales_count) DESC NULLS LAST, category) AS place
   FROM snapshots GROUP BY ingestion_date, category
 ),
@@ -217,7 +217,7 @@ FROM snapshots GROUP BY 1""",
     "discount_price": f"""
 WITH {d.SNAPSHOTS_SQL}
 SELECT product_id, price, discount_percent,
-       CAST(round(CAST(price AS DECIMAL(14,2)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(5,2)))
+       CAST(round(CAST(price AS DECIMAL(18,6)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(9,6)))
                   * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS discount_price
 FROM snapshots WHERE price > 0""",
     "price_category": f"""

@@ -21,10 +21,27 @@ def stream_ingest(spark, sf):
     return spark.read.parquet(table).drop("batch_id")
 
 
+def stream_rejected(spark, sf):
+    """What the ingest turns away, and what it loads, when one file per region is cut short and one holds no data."""
+    landed = envelope_folder(spark, sf)
+    for kind, text in (("cut", '{"metadata": {"source": "%s"'), ("bare", '{"metadata": {"source": "%s"}}')):
+        files = d.table(spark, sf, "region").select(
+            F.concat(F.lit(f"{kind}_"), F.col("r_name")).alias("ingestion_id"), F.format_string(text, "r_name").alias("value")
+        )
+        files.write.mode("append").partitionBy("ingestion_id").text(landed)
+    table, rejected, checkpoint = (fresh_path(spark, n) for n in ("table", "rejected", "checkpoint"))
+    ingest.ingest(ingest.stream_envelopes(spark, landed), table, rejected, checkpoint, AS_OF)
+    reasons = spark.read.parquet(rejected).groupBy("reason").agg(
+        F.count("*").alias("rows"), F.count("record").alias("with_text")
+    )
+    loaded = spark.read.parquet(table).agg(F.lit("loaded").alias("reason"), F.count("*").alias("rows"))
+    return reasons.unionByName(loaded.withColumn("with_text", F.col("rows")))
+
+
 def stream_validate(spark, sf):
     results = fresh_path(spark, "results")
     ingest.validate(
-        ingest.stream_envelopes(spark, envelope_folder(spark, sf)), results, fresh_path(spark, "checkpoint")
+        ingest.stream_documents(spark, envelope_folder(spark, sf)), results, fresh_path(spark, "checkpoint")
     )
     return (
         spark.read.parquet(results)
@@ -65,39 +82,50 @@ def stream_append_new(spark, sf):
     return spark.read.parquet(table).drop("batch_id")
 
 
-def _closed_buckets(spark, sf, seconds):
-    events = f"{sf}/events.parquet"
-    # A file stream needs a folder or a pattern; the pattern fits a table kept as one file and as a folder.
-    stream = spark.readStream.schema(spark.read.parquet(events).schema).parquet(f"{events}*")
+def _buckets(spark, sf, seconds):
+    # A file stream needs a folder or a pattern; this one fits the table alone, kept as one file or as a folder.
+    stream = spark.readStream.schema(d.table(spark, sf, "events").schema).parquet(f"{sf}/events.parque[t]")
     table, checkpoint = fresh_path(spark, "buckets"), fresh_path(spark, "checkpoint")
     return alerts.stream_bucket_metrics(d.executions(stream), table, checkpoint, seconds)
 
 
+def late_rows(spark, sf):
+    """The newer half of the events arrives first, so the older half is late."""
+    table, checkpoint, arrivals = (fresh_path(spark, n) for n in ("buckets", "checkpoint", "arrivals"))
+    events = d.table(spark, sf, "events")
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (events.where(F.col("ts") >= middle), events.where(F.col("ts") < middle)):
+        part.write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(events.schema).parquet(arrivals)
+        alerts.stream_bucket_metrics(d.executions(stream), table, checkpoint, HOUR)
+    return alerts.late_rows(spark, table)
+
+
 QUERIES = {
     "stream_ingest": stream_ingest,
+    "stream_rejected": stream_rejected,
     "stream_validate": stream_validate,
+    "late_rows": late_rows,
     "stream_daily_summary": stream_daily_summary,
     "stream_append_new": stream_append_new,
-    "error_alerts": lambda spark, sf: alerts.error_alerts(_closed_buckets(spark, sf, HOUR), HOUR, ALERT_ERRORS),
-    "cost_alerts": lambda spark, sf: alerts.cost_alerts(_closed_buckets(spark, sf, DAY)),
-    "execution_rate": lambda spark, sf: alerts.execution_rate(_closed_buckets(spark, sf, 60), 60),
-    "error_rate": lambda spark, sf: alerts.error_rate(_closed_buckets(spark, sf, HOUR)),
+    "error_alerts": lambda spark, sf: alerts.error_alerts(_buckets(spark, sf, HOUR), HOUR, ALERT_ERRORS),
+    "cost_alerts": lambda spark, sf: alerts.cost_alerts(_buckets(spark, sf, DAY)),
+    "execution_rate": lambda spark, sf: alerts.execution_rate(_buckets(spark, sf, 60), 60),
+    "error_rate": lambda spark, sf: alerts.error_rate(_buckets(spark, sf, HOUR)),
 }
 
 
 def _buckets_sql(seconds: int) -> str:
-    """Closed buckets: those that ended ten minutes or more before the newest event."""
     width = f"INTERVAL {seconds} SECOND"
     return f"""
-all_buckets AS (
+counted AS (
   SELECT time_bucket({width}, ts, TIMESTAMP '1970-01-01') AS bucket_start, count(*) AS executions,
          count(*) FILTER (WHERE event_type = 'error') AS errors,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS cost
+         CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS cost
   FROM events GROUP BY 1
 ),
 buckets AS (
-  SELECT *, bucket_start + {width} AS bucket_end FROM all_buckets
-  WHERE bucket_start + {width} <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+  SELECT *, bucket_start + {width} AS bucket_end FROM counted
 )"""
 
 
@@ -108,6 +136,14 @@ SELECT product_id, product_name, category, price, original_price, CAST(discount_
        sales_count, rating, review_count, stock, seller_name, seller_location, DATE '2001-08-01' AS ingestion_date,
        DATE '2001-08-01' AS sale_date, price * sales_count AS revenue
 FROM snapshots WHERE product_id IS NOT NULL AND price IS NOT NULL""",
+    "stream_rejected": f"""
+WITH {d.SNAPSHOTS_SQL}
+SELECT CASE WHEN product_id IS NOT NULL AND price IS NOT NULL THEN 'loaded' ELSE 'missing key' END AS reason,
+       count(*) AS "rows", count(*) AS with_text FROM snapshots GROUP BY 1
+UNION ALL SELECT 'unreadable file', count(*), count(*) FROM region
+UNION ALL SELECT 'no data', count(*), 0 FROM region""",
+    "late_rows": """
+SELECT count(*) AS "rows", count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS late FROM events""",
     "stream_validate": f"""
 WITH {d.SNAPSHOTS_SQL}
 SELECT true AS is_valid, count(*) FILTER (WHERE product_id IS NOT NULL AND price IS NOT NULL) AS valid_records,

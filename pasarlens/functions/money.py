@@ -2,7 +2,8 @@
 
 A sum of doubles depends on the order in which partial sums meet, so a retried task could change the last
 digits. Sums therefore run on decimals (still a hash aggregate with map-side partials) and only the final
-value becomes a double again.
+value becomes a double again. Six decimals are kept, and 22 digits before the point: prices, ratings and percentages
+are not rounded on the way in, and no plausible value overflows.
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ def _as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    return F.sum(_as_column(value).cast(T.DecimalType(18, scale))).cast("double")
+def as_exact(value: Column | str, scale: int = 6) -> Column:
+    return _as_column(value).cast(T.DecimalType(22 + scale, scale))
 
 
-def exact_avg(value: Column | str, scale: int = 2) -> Column:
+def exact_sum(value: Column | str, scale: int = 6) -> Column:
+    return F.sum(as_exact(value, scale)).cast("double")
+
+
+def exact_avg(value: Column | str, scale: int = 6) -> Column:
     """Mean of the non-null values; null when there are none."""
     return F.try_divide(exact_sum(value, scale), F.count(_as_column(value)))
 
@@ -35,7 +40,8 @@ def exact_stddev(count: Column, total: Column, squares: Column) -> Column:
 
 
 def discounted(price: Column, discount_percent: Column) -> Column:
-    """Price after discount, rounded half up to cents; a missing discount counts as none."""
-    kept = 100 - F.coalesce(discount_percent, F.lit(0.0)).cast("decimal(5,2)")
-    exact = price.cast("decimal(14,2)") * kept * F.lit(0.01).cast("decimal(3,2)")
+    """Price after discount, rounded half up to cents; a missing discount counts as none. Price and discount enter with six
+    decimals; a discount above 100 gives a negative price, as it says."""
+    kept = 100 - F.coalesce(discount_percent, F.lit(0.0)).cast("decimal(14,6)")
+    exact = price.cast("decimal(18,6)") * kept * F.lit(0.01).cast("decimal(2,2)")
     return F.round(exact, 2).cast("double")

@@ -92,11 +92,14 @@ def quality_report(raw: DataFrame, day: date | None = None) -> DataFrame:
     return _as_rows(totals, "metric", "bad_rows").withColumn("status", status)
 
 
+def _has_key(key: str) -> Column:
+    """Whether a document's text is a JSON object with the key, whatever its value."""
+    return F.coalesce(F.array_contains(F.json_object_keys("value"), key), F.lit(False))
+
+
 def envelope_structure(documents: DataFrame) -> DataFrame:
     """Per landed file: is it JSON with both a metadata and a data key? Expects ``file_path`` and ``value``."""
-    keys = F.json_object_keys("value")
-    has_metadata = F.coalesce(F.array_contains(keys, "metadata"), F.lit(False))
-    has_data = F.coalesce(F.array_contains(keys, "data"), F.lit(False))
+    has_metadata, has_data = _has_key("metadata"), _has_key("data")
     return documents.select(
         "file_path",
         has_metadata.alias("has_metadata"),
@@ -105,15 +108,21 @@ def envelope_structure(documents: DataFrame) -> DataFrame:
     )
 
 
-def file_validation(envelopes: DataFrame) -> DataFrame:
-    """Per landed file: structure, and how many records carry the checked keys.
+def file_validation(documents: DataFrame) -> DataFrame:
+    """Per landed file: structure by the keys of its text, and how many records carry the checked keys.
 
-    A file is one row with an array of records, so the counts need neither an explode nor a shuffle.
+    Expects ``file_path`` and ``value``. A file is one row with an array of records, so the counts need neither an
+    explode nor a shuffle.
     """
+    parsed = documents.select(
+        "file_path",
+        (_has_key("metadata") & _has_key("data")).alias("is_valid"),
+        F.from_json("value", "data array<variant>")["data"].alias("data"),
+    )
     good = F.size(F.filter("data", lambda record: has_keys(FILE_CHECK_KEYS, record)))
-    return envelopes.select(
+    return parsed.select(
         "file_path",
-        (F.col("metadata").isNotNull() & F.col("data").isNotNull()).alias("is_valid"),
-        F.coalesce(good, F.lit(0)).cast("bigint").alias("valid_records"),
-        F.coalesce(F.size("data") - good, F.lit(0)).cast("bigint").alias("invalid_records"),
+        "is_valid",
+        F.coalesce(F.when(F.col("data").isNotNull(), good), F.lit(0)).cast("bigint").alias("valid_records"),
+        F.coalesce(F.when(F.col("data").isNotNull(), F.size("data") - good), F.lit(0)).cast("bigint").alias("invalid_records"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pasarlens.functions import exact_avg, in_window, is_weekend, segment_name
 from pasarlens.plans.features import seq_split
 
+# The columns the models learn from.
 SALES_NUMBERS = [
     "avg_price",
     "avg_discount",
@@ -151,11 +153,14 @@ def feature_weights(model: PipelineModel, training: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, weight double").orderBy(F.desc(F.abs("weight")), "feature")
 
 
-def cluster_features(cleaned: DataFrame, as_of: date, months: int = 3) -> DataFrame:
-    """Per product: mean price, units, rating, discount and number of rows."""
+def cluster_features(
+    cleaned: DataFrame, as_of: date, months: int = 3, keys: Sequence[str] = ("product_id", "product_name", "category")
+) -> DataFrame:
+    """Per product: mean price, units, rating, discount and number of rows. Segments are learned with the product id as
+    the only key, so that a renamed product counts once, and given to the finer rows."""
     return (
         cleaned.where(in_window("sale_date", as_of, months=months))
-        .groupBy("product_id", "product_name", "category")
+        .groupBy(*keys)
         .agg(
             exact_avg("price").alias("avg_price"),
             F.avg("sales_count").alias("avg_sales"),
@@ -197,19 +202,22 @@ def product_segments(model: PipelineModel, products: DataFrame) -> DataFrame:
     return product_clusters(model, products).withColumn("segment_name", segment_name(F.col("segment")))
 
 
-def price_training(cleaned: DataFrame, as_of: date, months: int = 3) -> DataFrame:
+def price_rows(cleaned: DataFrame, as_of: date, months: int = 3, scored_days: int = 30) -> DataFrame:
+    """Price rows of the last months. Those of the last ``scored_days`` are to be scored (``is_new``); the model learns from
+    the earlier ones, so that an odd price does not pull its own expectation."""
     recent = cleaned.where(in_window("sale_date", as_of, months=months))
-    return _doubles(recent, PRICE_NUMBERS).withColumn("label", F.col("price"))
+    new = in_window("sale_date", as_of, days=scored_days)
+    return _doubles(recent, PRICE_NUMBERS).withColumns({"label": F.col("price"), "is_new": new})
 
 
-def fit_price(training: DataFrame) -> PipelineModel:
-    training = training.persist()
+def fit_price(rows: DataFrame) -> PipelineModel:
+    training = rows.where(~F.col("is_new")).persist()
     trees = GBTRegressor(labelCol="label", maxIter=20, maxBins=_bins(training, PRICE_CATEGORIES), seed=42)
     return _fit([*_inputs(PRICE_NUMBERS, PRICE_CATEGORIES, one_hot=False), trees], training)
 
 
 def predict_price(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).select(
+    return model.transform(rows.where("is_new")).select(
         "product_id",
         "product_name",
         "category",

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.functions import exact_avg, exact_sum
+from pasarlens.functions import as_exact, exact_avg, exact_sum
 
 
 def category_sales(sales: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def category_sales(sales: DataFrame) -> DataFrame:
             F.count("transaction_id").alias("total_transactions"),
             F.sum("quantity").alias("total_quantity"),
             exact_sum("total_amount").alias("total_revenue"),
-            F.round(exact_avg("actual_price", 4), 0).alias("avg_price"),
+            F.round(exact_avg("actual_price"), 0).alias("avg_price"),
             F.countDistinct("seller_name").alias("unique_sellers"),
         )
         .orderBy(F.desc("total_revenue"), "category")
@@ -105,7 +105,7 @@ def transaction_profile(sales: DataFrame) -> DataFrame:
     both on the raw rows would copy every row once per count.
     """
     pairs = sales.groupBy("product_id", "category").agg(
-        F.count("*").alias("rows"), F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("amount")
+        F.count("*").alias("rows"), F.sum(as_exact("total_amount")).alias("amount")
     )
     return pairs.agg(
         F.countDistinct("product_id").alias("total_products"),

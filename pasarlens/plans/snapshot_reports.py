@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.functions import discount_range, exact_avg, exact_stddev, exact_sum, in_window, week_start
+from pasarlens.functions import as_exact, discount_range, exact_avg, exact_stddev, exact_sum, in_window, week_start
 
 
 def daily_totals(raw: DataFrame) -> DataFrame:
@@ -18,9 +18,9 @@ def daily_totals(raw: DataFrame) -> DataFrame:
     A day may hold any share of the rows without one task having to see them all.
     """
     per_category = raw.groupBy("ingestion_date", "category").agg(
-        F.sum(F.col("revenue").cast("decimal(18,2)")).alias("revenue"),
+        F.sum(as_exact("revenue")).alias("revenue"),
         F.sum("sales_count").alias("units"),
-        F.sum(F.col("price").cast("decimal(18,2)")).alias("price_sum"),
+        F.sum(as_exact("price")).alias("price_sum"),
         F.count("price").alias("priced"),
     )
     best = F.min(F.struct(F.col("units").isNull(), -F.col("units"), "category"))

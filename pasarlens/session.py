@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -11,10 +12,12 @@ _local_roots: dict[str, str] = {}
 
 
 def build_session(app: str = "pasarlens", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session; on a cluster the submitted session is used instead."""
+    """A local session; a session that exists or a submitted master is used instead."""
+    builder = SparkSession.builder.appName(app)
+    if "PYSPARK_GATEWAY_PORT" not in os.environ and SparkSession.getActiveSession() is None:
+        builder = builder.master(f"local[{cores}]")
     return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
+        builder
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pasarlens.schemas import ENVELOPE
+from pasarlens.sources.tables import append_table
 
 CORRUPT = "_corrupt"
 
@@ -34,6 +36,15 @@ def envelope_records(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_files(envelopes: DataFrame) -> DataFrame:
+    """Files that give no records, as ``file_path``, ``record`` (the text, where it is no JSON) and ``reason``."""
+    broken = F.col(CORRUPT).isNotNull()
+    reason = F.when(broken, "unreadable file").when(F.col("data").isNull(), "no data")
+    return envelopes.select("file_path", F.col(CORRUPT).alias("record"), reason.alias("reason")).where(
+        F.col("reason").isNotNull()
+    )
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as text, for structure checks that must see unreadable files too."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
@@ -120,7 +131,14 @@ class TooManyBadRecords(RuntimeError):
 
 
 def load_ndjson(
-    spark: SparkSession, source: str, target: str, staging: str, schema: T.StructType, max_bad_records: int = 10
+    spark: SparkSession,
+    source: str,
+    target: str,
+    staging: str,
+    schema: T.StructType,
+    max_bad_records: int = 10,
+    partition: str | None = None,
+    cluster: Sequence[str] = (),
 ) -> dict[str, int]:
     """Append newline-delimited JSON to a Parquet table, skipping at most ``max_bad_records`` bad lines.
 
@@ -141,7 +159,7 @@ def load_ndjson(
     counts = seen.get
     if counts["bad"] > max_bad_records:
         raise TooManyBadRecords(f"{counts['bad']} bad records, {max_bad_records} allowed")
-    spark.read.schema(schema).parquet(staging).write.mode("append").parquet(target)
+    append_table(spark.read.schema(schema).parquet(staging), target, partition, cluster)
     return {"loaded": counts["lines"] - counts["bad"], "bad": counts["bad"]}
 
 

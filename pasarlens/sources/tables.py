@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date, timedelta
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,17 +91,39 @@ def _folder_api(spark: SparkSession, path: str):
     return path_class, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _folder_values(spark: SparkSession, path: str, partition: str) -> list[str]:
-    """Partition values of a table as text, from one folder listing: one entry per folder, no file is opened."""
+def _folders(spark: SparkSession, path: str, partition: str) -> dict[str, object]:
+    """Partition values of a table as text, each with its folder, from one listing: no file is opened.
+
+    Spark escapes characters that a folder name cannot hold as ``%XX``; the values here are unescaped.
+    """
+    _, root, fs = _folder_api(spark, path)
+    listed = [status.getPath() for status in fs.listStatus(root)]
+    prefix = f"{partition}="
+    return {unquote(p.getName()[len(prefix) :]): p for p in listed if p.getName().startswith(prefix)}
+
+
+def waiting_files(spark: SparkSession, path: str) -> list[object]:
+    """The files and folders directly below a landing folder that are not marked as unfinished; none if it is missing."""
     _, root, fs = _folder_api(spark, path)
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
-    return [name.split("=", 1)[1] for name in names if name.startswith(f"{partition}=")]
+    if not fs.exists(root):
+        return []
+    found = [status.getPath() for status in fs.listStatus(root)]
+    return [p for p in found if not p.getName().startswith(("_", "."))]
+
+
+def archive_files(spark: SparkSession, files: Iterable[object], archive: str) -> None:
+    """Move landed files to the archive folder, by name only; a name that is taken there is an error."""
+    path_class, root, fs = _folder_api(spark, archive)
+    fs.mkdirs(root)
+    for file in files:
+        if not fs.rename(file, path_class(root, file.getName())):
+            raise OSError(f"cannot archive {file}")
 
 
-def _drop_folders(spark: SparkSession, path: str, partition: str, values: Sequence[str]) -> None:
-    path_class, root, fs = _folder_api(spark, path)
-    for value in values:
-        fs.delete(path_class(root, f"{partition}={value}"), True)
+def _drop_folders(spark: SparkSession, path: str, folders: Iterable[object]) -> None:
+    _, _, fs = _folder_api(spark, path)
+    for folder in folders:
+        fs.delete(folder, True)
 
 
 def _touched_values(df: DataFrame, partition: str) -> list[object]:
@@ -120,7 +143,7 @@ def upsert_table(
     """Merge a batch into a partitioned table, rewriting only the partitions it touches.
 
     A partition is touched if it holds a matched row or receives a row. Rows that move to another partition
-    leave the old one; a partition that ends up empty is removed.
+    leave the old one; a partition that ends up empty is removed. Partition values are texts, dates or whole numbers.
     """
     table = spark.read.parquet(path)
     keys = source.where(F.col(key).isNotNull()).select(key).distinct()
@@ -133,8 +156,9 @@ def upsert_table(
     merged = upsert(table.where(F.col(partition).isin(touched)), source, key, update_columns)
     write_table(merged.select(*table.columns), staging, "overwrite", partition)
     replace_partitions(spark.read.schema(table.schema).parquet(staging), path, partition)
-    emptied = {str(value) for value in touched} - set(_folder_values(spark, staging, partition))
-    _drop_folders(spark, path, partition, sorted(emptied))
+    filled, stored = _folders(spark, staging, partition), _folders(spark, path, partition)
+    emptied = {str(value) for value in touched} - set(filled)
+    _drop_folders(spark, path, [stored[value] for value in sorted(emptied) if value in stored])
     return touched
 
 
@@ -146,27 +170,32 @@ def unexpired(df: DataFrame, day: str, keep_days: int, as_of: date) -> DataFrame
 def expire_partitions(spark: SparkSession, path: str, day: str, keep_days: int, as_of: date) -> int:
     """Remove the day folders older than the limit; returns how many. No file is read."""
     cutoff = (as_of - timedelta(days=keep_days)).isoformat()
-    old = [value for value in _folder_values(spark, path, day) if value[:1].isdigit() and value < cutoff]
-    _drop_folders(spark, path, day, old)
+    old = [folder for value, folder in _folders(spark, path, day).items() if value[:1].isdigit() and value < cutoff]
+    _drop_folders(spark, path, old)
     return len(old)
 
 
-def backup_tables(tables: dict[str, DataFrame], root: str, stamp: str) -> None:
-    """Export each table as newline-delimited JSON below ``root/stamp/table``."""
+def backup_tables(tables: dict[str, DataFrame], root: str, stamp: str) -> dict[str, int]:
+    """Export each table as newline-delimited JSON below ``root/stamp/table``; rows per table, counted while written."""
+    rows = {}
     for name, df in tables.items():
-        df.write.mode("errorifexists").json(f"{root}/{stamp}/{name}")
+        seen = Observation()
+        df.observe(seen, F.count("*").alias("rows")).write.mode("errorifexists").json(f"{root}/{stamp}/{name}")
+        rows[name] = seen.get["rows"]
+    return rows
 
 
-def backup_report(spark: SparkSession, tables: dict[str, DataFrame], root: str, stamp: str) -> DataFrame:
-    """Rows per table beside the rows read back from its export."""
+def backup_report(
+    spark: SparkSession, rows: dict[str, int], schemas: dict[str, T.StructType], root: str, stamp: str
+) -> DataFrame:
+    """Rows per table as exported, beside the rows read back from its export."""
 
-    def counts(name: str, df: DataFrame) -> DataFrame:
-        exported = spark.read.schema(df.schema).json(f"{root}/{stamp}/{name}")
-        both = df.select(F.lit("live").alias("side")).unionAll(exported.select(F.lit("export").alias("side")))
-        return both.agg(
+    def counts(name: str) -> DataFrame:
+        exported = spark.read.schema(schemas[name]).json(f"{root}/{stamp}/{name}")
+        return exported.agg(
             F.lit(name).alias("table_name"),
-            F.count_if(F.col("side") == "live").alias("live_rows"),
-            F.count_if(F.col("side") == "export").alias("exported_rows"),
+            F.lit(rows[name]).cast("bigint").alias("live_rows"),
+            F.count("*").alias("exported_rows"),
         )
 
-    return reduce(DataFrame.unionByName, [counts(name, df) for name, df in tables.items()])
+    return reduce(DataFrame.unionByName, [counts(name) for name in rows])

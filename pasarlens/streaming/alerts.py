@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,12 +21,25 @@ BUCKET_METRICS = T.StructType(
 )
 
 
-def bucket_metrics(executions: DataFrame, seconds: int) -> DataFrame:
-    """Executions, errors and cost per bucket; the same for a batch and for a watermarked stream."""
+#: Bucket counts of one micro-batch, before they are added up; the cost stays a decimal so that the sum is exact.
+PARTIAL_METRICS = T.StructType(
+    [
+        *BUCKET_METRICS.fields[:4],
+        T.StructField("cost", T.DecimalType(38, 6)),
+        T.StructField("late", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
+def _partial_metrics(executions: DataFrame, seconds: int, newest: datetime | None = None, grace: int = 600) -> DataFrame:
+    """Counts per bucket. ``late`` rows are those more than ``grace`` seconds older than the ``newest`` seen before."""
+    late = F.lit(False) if newest is None else F.col("ts") < F.lit(newest - timedelta(seconds=grace))
     counted = executions.groupBy(F.window("ts", f"{seconds} seconds").alias("bucket")).agg(
         F.count("*").alias("executions"),
         F.count_if(F.col("status") != "ok").alias("errors"),
-        F.sum(F.col("cost").cast("decimal(18,2)")).cast("double").alias("cost"),
+        F.sum(F.col("cost").cast("decimal(28,6)")).alias("cost"),
+        F.count_if(late).alias("late"),
     )
     return counted.select(
         F.col("bucket.start").cast("timestamp_ntz").alias("bucket_start"),
@@ -32,26 +47,51 @@ def bucket_metrics(executions: DataFrame, seconds: int) -> DataFrame:
         "executions",
         "errors",
         "cost",
+        "late",
     )
 
 
-def stream_bucket_metrics(
-    executions: DataFrame, table: str, checkpoint: str, seconds: int, watermark: str = "10 minutes"
-) -> DataFrame:
-    """Store the metrics of every closed bucket and return the table.
+def _added_up(partial: DataFrame) -> DataFrame:
+    return partial.groupBy("bucket_start", "bucket_end").agg(
+        F.sum("executions").alias("executions"),
+        F.sum("errors").alias("errors"),
+        F.sum("cost").cast("double").alias("cost"),
+    )
 
-    Append mode emits a bucket once, when the watermark has passed its end; state holds open buckets only.
+
+def bucket_metrics(executions: DataFrame, seconds: int) -> DataFrame:
+    """Executions, errors and cost per bucket of a batch."""
+    return _added_up(_partial_metrics(executions, seconds))
+
+
+def stream_bucket_metrics(executions: DataFrame, table: str, checkpoint: str, seconds: int) -> DataFrame:
+    """Store each micro-batch's counts per bucket and return the buckets, open ones included.
+
+    A micro-batch is reduced to one row per bucket; buckets are the sums over batches. So a bucket is up to date after every
+    batch, a late row still counts, and nothing is held in state. How many rows came late is in ``late_rows``.
     """
+    spark = executions.sparkSession
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        newest = None
+        if batch_id > 0:
+            earlier = spark.read.schema(PARTIAL_METRICS).parquet(table).where(F.col("batch_id") < batch_id)
+            newest = earlier.agg(F.max("bucket_end")).first()[0]
+        counts = _partial_metrics(batch, seconds, newest)
+        counts.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
-    run_available(bucket_metrics(executions.withWatermark("ts", watermark), seconds), checkpoint, one_batch)
-    return read_bucket_metrics(executions.sparkSession, table)
+    run_available(executions, checkpoint, one_batch)
+    return read_bucket_metrics(spark, table)
 
 
 def read_bucket_metrics(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(BUCKET_METRICS).parquet(table)
+    return _added_up(spark.read.schema(PARTIAL_METRICS).parquet(table))
+
+
+def late_rows(spark: SparkSession, table: str) -> DataFrame:
+    """One row: how many rows have arrived, and how many of them late."""
+    stored = spark.read.schema(PARTIAL_METRICS).parquet(table)
+    return stored.agg(F.coalesce(F.sum("executions"), F.lit(0)).alias("rows"), F.coalesce(F.sum("late"), F.lit(0)).alias("late"))
 
 
 def error_alerts(metrics: DataFrame, seconds: int, threshold: int = 5, held: int = 5) -> DataFrame:

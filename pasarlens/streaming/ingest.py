@@ -12,25 +12,49 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from pasarlens.operators.keys import append_new
 from pasarlens.operators.quality import file_validation
 from pasarlens.operators.records import normalize_records, quarantine, validate_required
 from pasarlens.plans.snapshot_reports import daily_totals
-from pasarlens.sources.landing import CORRUPT, envelope_records, envelope_schema
+from pasarlens.sources.landing import CORRUPT, envelope_records, envelope_schema, unreadable_files
 
 
-def stream_envelopes(spark: SparkSession, path: str, archive: str | None = None) -> DataFrame:
-    """A stream of landed batch files. With ``archive`` a finished file is moved there after its batch."""
+#: Files of one micro-batch: a backlog is worked off in several, none is left out.
+FILES_PER_BATCH = 1000
+
+
+def _file_stream(spark: SparkSession, archive: str | None, files_per_batch: int) -> DataStreamReader:
     reader = (
-        spark.readStream.schema(envelope_schema())
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.readStream.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "[!._]*")
+        .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias("file_path"))
+    return reader
+
+
+def stream_envelopes(
+    spark: SparkSession, path: str, archive: str | None = None, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """A stream of landed batch files. With ``archive`` a finished file is moved there after its batch."""
+    reader = _file_stream(spark, archive, files_per_batch).schema(envelope_schema()).option("multiLine", True)
+    documents = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return documents.select("*", F.col("_metadata.file_path").alias("file_path"))
+
+
+def stream_documents(
+    spark: SparkSession, path: str, archive: str | None = None, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """A stream of landed files as whole texts, for checks that must see unreadable files too."""
+    files = _file_stream(spark, archive, files_per_batch).text(path, wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("file_path"), "value")
+
+
+#: Fixed value: the name Spark gives to the folder of a null partition value.
+NO_VALUE_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
@@ -49,29 +73,27 @@ def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def ingest(envelopes: DataFrame, table: str, rejected: str, checkpoint: str, as_of: date) -> None:
-    """Parse, validate, normalise and append; turned-away records go to ``rejected`` with the reason."""
+    """Parse, validate, normalise and append; turned-away records and unreadable files go to ``rejected`` with the
+    reason, so every record of every file is in one of the two tables."""
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             records = envelope_records(batch)
             _replace_batch(normalize_records(validate_required(records), as_of), table, batch_id)
-            _replace_batch(
-                quarantine(records).select("file_path", F.to_json("record").alias("record"), "reason"),
-                rejected,
-                batch_id,
-            )
+            turned_away = quarantine(records).select("file_path", F.to_json("record").alias("record"), "reason")
+            _replace_batch(turned_away.unionByName(unreadable_files(batch)), rejected, batch_id)
         finally:
             batch.unpersist()
 
     run_available(envelopes, checkpoint, one_batch)
 
 
-def validate(envelopes: DataFrame, results: str, checkpoint: str) -> None:
+def validate(documents: DataFrame, results: str, checkpoint: str) -> None:
     """Per arriving file: structure check and valid and invalid record counts."""
 
     run_available(
-        envelopes, checkpoint, lambda batch, batch_id: _replace_batch(file_validation(batch), results, batch_id)
+        documents, checkpoint, lambda batch, batch_id: _replace_batch(file_validation(batch), results, batch_id)
     )
 
 
@@ -81,7 +103,8 @@ def refresh_daily_summary(
     """Append each batch to ``raw`` and recompute the summary of the months it touches.
 
     The summary has one row per day and is stored by month, so a partition is a useful file and not one row. The
-    months of a batch are observed while it is written; only their folders of ``raw`` are listed and read back.
+    months of a batch are observed while it is written; only their folders of ``raw`` are listed and read back. Rows
+    without a day have a folder and a summary row of their own.
     """
     spark = batches.sparkSession
     month = F.trunc("ingestion_date", "month")
@@ -91,12 +114,15 @@ def refresh_daily_summary(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
-        observed = batch.observe(seen, F.collect_set(month).alias("months"))
+        observed = batch.observe(seen, F.collect_set(month).alias("months"), F.count_if(month.isNull()).alias("undated"))
         stamped = observed.select("*", month.alias("month"), F.lit(batch_id).alias("batch_id"))
         stamped.hint("rebalance", F.col("month")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("month", "batch_id").parquet(raw)
-        folders = [f"{raw}/month={m}" for m in seen.get["months"]]  # bounded by the calendar
+        touched = seen.get  # bounded by the calendar
+        folders = [f"{raw}/month={m}" for m in touched["months"]]
+        if touched["undated"]:
+            folders.append(f"{raw}/month={NO_VALUE_FOLDER}")
         if not folders:
             return
         table = spark.read.schema(stored).option("basePath", raw).parquet(*folders)
@@ -108,15 +134,37 @@ def refresh_daily_summary(
     run_available(batches, checkpoint, one_batch)
 
 
-def append_new_keys(batches: DataFrame, table: str, checkpoint: str, key: str, schema: T.StructType) -> None:
-    """Append the rows of each micro-batch whose key no earlier batch has stored."""
+#: Folders over which stored keys are spread; a batch reads only those its own keys fall into.
+KEY_BUCKETS = 64
+
+
+def append_new_keys(
+    batches: DataFrame, table: str, checkpoint: str, key: str, schema: T.StructType, buckets: int = KEY_BUCKETS
+) -> None:
+    """Append the rows of each micro-batch whose key no earlier batch has stored.
+
+    Rows are stored by batch; their keys beside them, in ``table``_keys, by a hash bucket, so that a batch reads the key
+    folders it touches and not every row stored so far. Both are replaced when a batch is replayed.
+    """
     spark = batches.sparkSession
-    stored = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+    keys = f"{table}_keys"
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
+    stored = T.StructType([schema[key], T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())])
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        earlier = None
-        if batch_id > 0:
-            earlier = spark.read.schema(stored).parquet(table).where(F.col("batch_id") < batch_id)
-        _replace_batch(append_new(batch, earlier, key), table, batch_id)
+        batch = batch.persist()
+        try:
+            fresh = batch
+            if batch_id > 0:
+                touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
+                known = spark.read.schema(stored).parquet(keys).where(F.col("bucket").isin(touched))
+                fresh = append_new(batch, known.where(F.col("batch_id") < batch_id), key)
+            _replace_batch(fresh, table, batch_id)
+            own = batch.select(key).distinct().select(key, bucket, F.lit(batch_id).cast("long").alias("batch_id"))
+            own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(
+                keys
+            )
+        finally:
+            batch.unpersist()
 
     run_available(batches, checkpoint, one_batch)

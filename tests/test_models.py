@@ -77,6 +77,6 @@ def test_price_irregularities(spark, split):
     odd = cleaned.limit(1).withColumns({"price": F.lit(9e6), "product_id": F.lit("odd"), "category": F.lit("A")})
     rows = cleaned.unionByName(odd)
     assert [r.product_id for r in models.price_zscore(rows, 3.0).collect()] == ["odd"]
-    training = models.price_training(rows, AS_OF)
-    found = models.price_anomalies(models.predict_price(models.fit_price(models.price_training(cleaned, AS_OF)), training))
+    scored = models.price_rows(rows, AS_OF)
+    found = models.price_anomalies(models.predict_price(models.fit_price(scored), scored))
     assert {r.product_id for r in found.collect()} == {"odd"}

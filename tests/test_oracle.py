@@ -7,7 +7,6 @@ import __spark_entry__ as registry
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
-SLOW = {"sales_gbt_predictions", "model_evaluation", "feature_weights", "sales_forecast", "prediction_insights"}
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +20,9 @@ def test_equals_sql(spark, db, name):
     assert difference(QUERIES[name](spark, SF_DIR), db, ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - SLOW - {"prediction_check"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_runs(spark, name):
-    assert QUERIES[name](spark, SF_DIR).columns
+    QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
 
 
 def test_every_sql_belongs_to_a_query():

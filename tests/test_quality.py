@@ -41,14 +41,17 @@ def test_landed_files(spark, tmp_path):
     structure = q.envelope_structure(landing.read_documents(spark, str(tmp_path)))
     valid = {r.file_path.rsplit("/", 1)[1] for r in structure.collect() if r.is_valid}
     assert valid == {"good.json", "null_metadata.json"}
-    envelopes = landing.read_envelopes(spark, str(tmp_path))
+    documents = landing.read_documents(spark, str(tmp_path))
     counts = {
         r.file_path.rsplit("/", 1)[1]: (r.is_valid, r.valid_records, r.invalid_records)
-        for r in q.file_validation(envelopes).collect()
+        for r in q.file_validation(documents).collect()
     }
     assert counts["good.json"] == (True, 1, 1)
     assert counts["no_data.json"] == counts["broken.json"] == (False, 0, 0)
+    envelopes = landing.read_envelopes(spark, str(tmp_path))
     assert landing.envelope_records(envelopes).count() == 2
+    turned_away = {r.file_path.rsplit("/", 1)[1]: r.reason for r in landing.unreadable_files(envelopes).collect()}
+    assert turned_away == {"broken.json": "unreadable file", "no_data.json": "no data"}
 
 
 def test_profile_counts_rows_without_label_or_category(spark):

@@ -95,6 +95,17 @@ def test_expiry_drops_old_days_only(spark, tmp_path):
     assert left.count() == 30 == tables.unexpired(daily(spark, 40), "d", 2, date(2024, 1, 4)).count()
 
 
+def test_merge_moves_rows_between_partitions_with_escaped_names(spark, tmp_path):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    odd = ["x/1", "x:1", "a b", "50%", "y"]
+    rows = [(str(i), v, 0) for i, v in enumerate(odd)]
+    tables.replace_table(spark.createDataFrame(rows, "id string, p string, v int"), path, "p")
+    moved = spark.createDataFrame([(str(i), "y", 1) for i in range(4)] + [("new", "x/1", 1)], "id string, p string, v int")
+    tables.upsert_table(spark, path, staging, moved, "id", ("p", "v"), "p")
+    found = sorted((r.id, r.p, r.v) for r in spark.read.parquet(path).collect())
+    assert found == [("0", "y", 1), ("1", "y", 1), ("2", "y", 1), ("3", "y", 1), ("4", "y", 0), ("new", "x/1", 1)]
+
+
 def test_replace_partitions_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.replace_table(daily(spark, 40), path, "d")
@@ -114,8 +125,9 @@ def test_rewrite_in_place(spark, tmp_path):
 
 def test_backup_counts(spark, tmp_path):
     live = {"a": spark.range(3), "b": spark.range(0)}
-    tables.backup_tables(live, str(tmp_path), "20240101_000000")
-    report = tables.backup_report(spark, live, str(tmp_path), "20240101_000000")
+    rows = tables.backup_tables(live, str(tmp_path), "20240101_000000")
+    schemas = {name: df.schema for name, df in live.items()}
+    report = tables.backup_report(spark, rows, schemas, str(tmp_path), "20240101_000000")
     assert {tuple(r) for r in report.collect()} == {("a", 3, 3), ("b", 0, 0)}
 
 
@@ -149,6 +161,8 @@ def test_run_day_keeps_steps_in_tables(spark, tmp_path):
         (tmp_path / f"{day}").mkdir()
         (tmp_path / f"{day}" / "x.json").write_text("\n".join(lines))
         found = daily_job.run_day(spark, str(tmp_path / f"{day}"), warehouse, staging, SNAPSHOTS, day, day)
+        again = daily_job.run_day(spark, str(tmp_path / f"{day}"), warehouse, staging, SNAPSHOTS, day, day)
+        assert found["loaded"] == 2 and again["loaded"] == 0
         if day == first:
             assert {tuple(r) for r in found["quality"].collect()} == {("duplicates", 1, "warning"), ("nulls", 0, "ok")}
             assert tuple(found["stats"].first()) == (1, 1, 10.0, 4)
@@ -157,6 +171,12 @@ def test_run_day_keeps_steps_in_tables(spark, tmp_path):
         columns = ["sale_date", "sale_timestamp", "sales_count"]
         return sorted(tuple(r) for r in spark.read.parquet(f"{warehouse}/cleaned_sales_data").select(columns).collect())
 
+    raw = daily_job.raw_table(spark, warehouse, SNAPSHOTS)
+    assert raw.count() == 4 and spark.read.parquet(f"{warehouse}/cleaned_sales_data").columns[-1] == "sale_date"
+    plan = raw.where(F.col("ingestion_date") == F.lit(first))._jdf.queryExecution().executedPlan().toString()
+    assert "ingestion_date" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert {p.name for p in (tmp_path / "w" / "archive").rglob("x.json")} == {"x.json"}
+
     before = stored()
     assert [r[2] for r in before] == [4, 4, 1]
     assert spark.read.parquet(f"{warehouse}/product_performance").first().total_sales == 9

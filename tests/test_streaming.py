@@ -30,8 +30,10 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     run()
     rows = spark.read.parquet(table).collect()
     assert [(r.product_id, r.revenue) for r in rows] == [("a", 6.0), ("a", 6.0)]
-    reasons = sorted(r.reason for r in spark.read.parquet(rejected).collect())
-    assert reasons == ["malformed number", "missing key"]
+    turned_away = spark.read.parquet(rejected).collect()
+    assert sorted(r.reason for r in turned_away) == ["malformed number", "missing key", "unreadable file"]
+    broken = next(r for r in turned_away if r.reason == "unreadable file")
+    assert broken.file_path.endswith("broken.json") and broken.record == '{"metadata": {'
 
 
 def test_ingest_archives_finished_files(spark, tmp_path):
@@ -49,23 +51,33 @@ def test_validate(spark, tmp_path):
     land(tmp_path / "raw", "one", [RECORD, {"product_id": "b"}])
     (tmp_path / "raw" / "bad.json").write_text('{"metadata": {}}')
     results = str(tmp_path / "results")
-    ingest.validate(ingest.stream_envelopes(spark, str(tmp_path / "raw")), results, str(tmp_path / "checkpoint"))
-    found = {(r.is_valid, r.valid_records, r.invalid_records) for r in spark.read.parquet(results).collect()}
-    assert found == {(True, 1, 1), (False, 0, 0)}
+    (tmp_path / "raw" / "null.json").write_text('{"metadata": null, "data": [{"product_id": "a", "price": 1}, null]}')
+    (tmp_path / "raw" / "cut.json").write_text('{"metadata": {}, "data": [')
+    ingest.validate(ingest.stream_documents(spark, str(tmp_path / "raw")), results, str(tmp_path / "checkpoint"))
+    found = {
+        r.file_path.rsplit("/", 1)[1]: (r.is_valid, r.valid_records, r.invalid_records)
+        for r in spark.read.parquet(results).collect()
+    }
+    assert found == {
+        "one.json": (True, 1, 1), "null.json": (True, 1, 1), "bad.json": (False, 0, 0), "cut.json": (False, 0, 0)
+    }
 
 
 def test_summary_of_a_touched_month_is_replaced(spark, tmp_path):
     raw, summary, checkpoint = (str(tmp_path / n) for n in ("raw", "summary", "checkpoint"))
     schema = "ingestion_date date, category string, price double, sales_count bigint, revenue double"
     days = [date(2024, 1, 1), date(2024, 1, 2), date(2024, 2, 1)]
-    batches = [[(days[0], "a", 1.0, 1, 1.0), (days[2], "a", 1.0, 5, 5.0)], [(days[0], "b", 3.0, 9, 27.0)]]
+    batches = [
+        [(days[0], "a", 1.0, 1, 1.0), (days[2], "a", 1.0, 5, 5.0), (None, "a", 2.0, 1, 2.0)],
+        [(days[0], "b", 3.0, 9, 27.0), (None, "c", 2.0, 2, 4.0)],
+    ]
     for rows in batches:
         df = spark.createDataFrame(rows, schema)
         df.write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
         ingest.refresh_daily_summary(stream, raw, summary, checkpoint, df.schema)
     found = {r.summary_date: (r.total_sales, r.total_quantity, r.top_category) for r in spark.read.parquet(summary).collect()}
-    assert found == {days[0]: (28.0, 10, "b"), days[2]: (5.0, 5, "a")}
+    assert found == {days[0]: (28.0, 10, "b"), days[2]: (5.0, 5, "a"), None: (6.0, 3, "c")}
 
 
 def test_append_new_keys_over_batches(spark, tmp_path):
@@ -111,14 +123,14 @@ def test_threshold_must_not_be_negative(spark):
 
 def test_stream_of_buckets_equals_batch(spark, tmp_path):
     rows = [(START + timedelta(seconds=20 * i), "ok" if i % 3 else "error", 0.5) for i in range(300)]
-    df = spark.createDataFrame(rows, "ts timestamp, status string, cost double")
-    df.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    closed = alerts.stream_bucket_metrics(stream, str(tmp_path / "t"), str(tmp_path / "c"), MINUTE)
-    last = max(r[0] for r in rows) - timedelta(minutes=10)
-    batch = alerts.bucket_metrics(df, MINUTE)
-    expected = {tuple(r) for r in batch.collect() if r.bucket_end <= last}
-    assert {tuple(r) for r in closed.select(batch.columns).collect()} == expected and expected
+    schema = "ts timestamp, status string, cost double"
+    for part in (rows[100:], rows[:100]):  # the oldest come last, and still count
+        spark.createDataFrame(part, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        found = alerts.stream_bucket_metrics(stream, str(tmp_path / "t"), str(tmp_path / "c"), MINUTE)
+    batch = alerts.bucket_metrics(spark.createDataFrame(rows, schema), MINUTE)
+    assert {tuple(r) for r in found.select(batch.columns).collect()} == {tuple(r) for r in batch.collect()}
+    assert tuple(alerts.late_rows(spark, str(tmp_path / "t")).first()) == (300, 100)
 
 
 def test_rates_and_costs(spark):
