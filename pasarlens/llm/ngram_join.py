@@ -23,13 +23,22 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.graphs import connected_components
 from pasarlens.llm.scratch import stored
-from pasarlens.llm.text_arrays import SPACED, find_words, mix, pieces, range_hashes, window_hashes, window_places
+from pasarlens.llm.text_arrays import (
+    SPACED,
+    find_words,
+    mix,
+    packed_texts,
+    pieces,
+    range_hashes,
+    unpacked_pieces,
+    window_hashes,
+    window_places,
+)
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -233,11 +242,9 @@ def _cells(rows: DataFrame, key: str) -> DataFrame:
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Text to the bytes of its sorted shingles, other columns as they are."""
-    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         place = batch.schema.get_field_index("packed")
-        texts = pa.array([unpack.decompress(p) for p in batch.column(place).to_pylist()], pa.binary()).cast(pa.string())
-        for a, b, data, offsets in pieces(texts):
+        for a, b, data, offsets in unpacked_pieces(batch.column(place)):
             row, value = shingles(data, offsets)
             cuts = np.searchsorted(row, np.arange(b - a + 1)).tolist()
             sets = [value[x:y].astype("<u8").tobytes() for x, y in zip(cuts, cuts[1:], strict=False)]
@@ -245,10 +252,8 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        blobs = [pack.compress(t.encode()) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["node", "packed"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), packed_texts(batch.column(1))], ["node", "packed"])
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,13 +25,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pasarlens.llm.scratch import stored
-from pasarlens.llm.text_arrays import SPACED, Words, find_words, mix, pieces, range_hashes, window_hashes, window_places
+from pasarlens.llm.text_arrays import (
+    SPACED,
+    Words,
+    find_words,
+    mix,
+    packed_texts,
+    pieces,
+    range_hashes,
+    unpacked_pieces,
+    window_hashes,
+    window_places,
+)
 
 WINDOW = 13
 ANCHOR = 5
@@ -150,11 +160,9 @@ def _met(rows: DataFrame, key: str, values: list) -> DataFrame:
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The single edges of paths that branch, hashed from the text at their coordinates."""
-    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        texts = pa.array([unpack.decompress(b) for b in batch.column(2).to_pylist()], pa.binary()).cast(pa.string())
         paths = batch.column(3)
-        for a, b, data, offsets in pieces(texts):
+        for a, b, data, offsets in unpacked_pieces(batch.column(2)):
             words = find_words(data, offsets, SPACED)
             edges = window_hashes(words.hashes, WINDOW)
             own = paths.slice(a, b - a)
@@ -178,25 +186,21 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text compressed, other columns as they are."""
-    pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        blobs = [pack.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
-        yield batch.set_column(2, "packed", pa.array(blobs, pa.binary()))
+        yield batch.set_column(2, "packed", packed_texts(batch.column(2)))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words that stay joined by single spaces, and the text without the covered words and what follows each."""
-    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        texts = pa.array([unpack.decompress(b) for b in batch.column(1).to_pylist()], pa.binary()).cast(pa.string())
         spans = batch.column(2).fill_null(pa.scalar([], batch.column(2).type))
-        for a, b, data, offsets in pieces(texts):
-            words = find_words(data, offsets, SPACED)
+        for a, b, data, offsets in unpacked_pieces(batch.column(1)):
+            words = find_words(data, offsets, SPACED, hashed=False)
             own = spans.slice(a, b - a)
             packed = own.flatten().to_numpy()
             row = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
             first = words.offsets[row] + (packed >> 6)
-            steps = np.zeros(len(words.hashes) + 1, np.int64)
+            steps = np.zeros(len(words.starts) + 1, np.int64)
             np.add.at(steps, first, 1)
             np.add.at(steps, first + ((packed >> 1) & 31) + WINDOW - 1, -1)
             covered = np.cumsum(steps[:-1]) > 0

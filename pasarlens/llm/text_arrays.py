@@ -12,10 +12,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 
 #: Bytes of text handled at once; a longer text is handled alone, whole.
-PIECE_BYTES = 1 << 21
-_HASH_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
+_HASH_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -72,6 +73,30 @@ def pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
+def packed_texts(column: pa.Array) -> pa.Array:
+    """Each text compressed (Zstandard); null is the empty text. Smaller shuffles for texts that are only carried."""
+    pack = zstandard.ZstdCompressor(level=3)
+    _, offsets = texts_of(column)
+    parts = [
+        pa.array([pack.compress((t or "").encode()) for t in column.slice(a, b - a).to_pylist()], pa.binary())
+        for a, b in slices(offsets)
+    ]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+
+def unpacked_pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """As ``pieces``, of compressed texts; no more than a piece is held uncompressed."""
+    unpack = zstandard.ZstdDecompressor()
+    first, held, size = 0, [], 0
+    for i, blob in enumerate(column):
+        held.append(unpack.decompress(blob.as_buffer()))
+        size += len(held[-1])
+        if size >= most or i + 1 == len(column):
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t in held])]).astype(np.int64)
+            yield first, i + 1, np.frombuffer(b"".join(held), np.uint8), offsets
+            first, held, size = i + 1, [], 0
+
+
 def byte_class(separators: bytes) -> np.ndarray:
     """True for the bytes that belong to words."""
     inside = np.ones(256, bool)
@@ -145,7 +170,9 @@ class Words:
     hashes: np.ndarray
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None) -> Words:
+def find_words(
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None, hashed: bool = True
+) -> Words:
     """Maximal runs of ``inside`` bytes, never across texts. ``fold`` maps bytes before hashing."""
     n = len(data)
     within = np.zeros(n + 2, bool)
@@ -156,7 +183,8 @@ def find_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold:
     ends = np.flatnonzero(within[1:-1] & (~within[2:] | edge[1:])) + 1
     row = np.searchsorted(offsets, starts, "right") - 1
     words = np.searchsorted(starts, offsets, "left")
-    return Words(starts, ends, row, words, hash_ranges(data, starts, ends, fold))
+    hashes = hash_ranges(data, starts, ends, fold) if hashed else np.zeros(0, np.uint64)
+    return Words(starts, ends, row, words, hashes)
 
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
