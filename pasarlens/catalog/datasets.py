@@ -129,7 +129,7 @@ CLEANED_SQL = (
     + """,
 cleaned AS (
   SELECT DISTINCT product_id, trim(product_name) AS product_name, upper(trim(category)) AS category, price,
-         CAST(round(CAST(price AS DECIMAL(18,6)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(9,6)))
+         CAST(round(CAST(price AS DECIMAL(20,6)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(9,6)))
                     * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS discount_price,
          discount_percent, coalesce(sales_count, 0) AS sales_count, rating,
          coalesce(review_count, 0) AS review_count,

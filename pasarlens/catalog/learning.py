@@ -5,11 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import functions as F
+
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog.datasets import AS_OF
-from pasarlens.catalog.snapshots import Z_LIMIT
+from pasarlens.catalog.snapshots import FEATURES_SQL, Z_LIMIT
 from pasarlens.plans import features as f
+from pasarlens.plans import model_store
 from pasarlens.plans import models as m
+from pasarlens.session import fresh_path
 
 _fitted: dict[tuple[str, str, str], object] = {}
 
@@ -62,7 +66,50 @@ def _expected_prices(spark, sf):
     return m.predict_price(_price(spark, sf), _price_rows(spark, sf))
 
 
+def model_refresh(spark, sf):
+    """The weekly refresh; rows of the tables whose size does not depend on what a model says."""
+    warehouse = fresh_path(spark, "warehouse")
+    model_store.refresh_models(spark, d.cleaned(spark, sf), warehouse, AS_OF, Z_LIMIT)
+    return model_store.stored_rows(
+        spark, warehouse, ("feature_history", "model_evaluation", "product_segments", "sales_predictions")
+    )
+
+
+def _naive(split):
+    """Units of the row before as the prediction, for the rows held out."""
+    return split.where("is_eval").select(
+        "product_id", "sale_date", "daily_sales", F.col("sales_lag_1").cast("double").alias("predicted_daily_sales")
+    )
+
+
+def naive_evaluation(spark, sf):
+    """The metrics of a prediction that SQL can make too; the median is a sketch and is left out."""
+    return m.evaluation_metrics(_naive(_split(spark, sf)), "Last value").drop("median_absolute_error").select(
+        "model_name", *[F.round(c, 6).alias(c) for c in _METRICS]
+    )
+
+
+def fixed_price_anomalies(spark, sf):
+    """Price anomalies against a fixed expectation: the price before, as the snapshot states it."""
+    rows = d.cleaned(spark, sf).select(
+        "product_id", "product_name", "category", "sale_date", "price", F.lit(50000.0).alias("expected_price")
+    )
+    return m.price_anomalies(rows, Z_LIMIT).select("product_id", "category", "sale_date", "price", "residual")
+
+
+_METRICS = ["mean_absolute_error", "mean_squared_error", "mean_squared_log_error", "r2_score", "explained_variance"]
+
 QUERIES = {
+    "model_refresh": model_refresh,
+    "training_rows": lambda spark, sf: _split(spark, sf).select("product_id", "category", "sale_date", "label", "is_eval"),
+    "naive_evaluation": naive_evaluation,
+    "fixed_price_anomalies": fixed_price_anomalies,
+    "forecast_grid": lambda spark, sf: _forecast(spark, sf).select("prediction_date", "product_id", "product_name", "category"),
+    "segment_inputs": lambda spark, sf: m.cluster_features(d.cleaned(spark, sf), AS_OF, keys=("product_id",)),
+    "segment_rows": lambda spark, sf: m.product_segments(_clusters(spark, sf), _products(spark, sf)).select(
+        "product_id", "product_name", "category", F.col("segment").between(1, 5).alias("known_segment")
+    ),
+    "price_rows": lambda spark, sf: _expected_prices(spark, sf).select("product_id", "category", "sale_date", "price"),
     "sales_lr_predictions": lambda spark, sf: m.predict_sales(_linear(spark, sf), _split(spark, sf).where("is_eval")),
     "sales_gbt_predictions": lambda spark, sf: m.predict_sales(
         _boosted(spark, sf), _split(spark, sf).where("is_eval")
@@ -81,4 +128,76 @@ QUERIES = {
     "prediction_check": lambda spark, sf: m.prediction_check(_forecast(spark, sf), AS_OF),
 }
 
-ORACLE: dict[str, str] = {}
+_TODAY = "DATE '2001-08-01'"
+_SPLIT_SQL = f"""
+recent AS (
+  SELECT * FROM features
+  WHERE sale_date >= CAST({_TODAY} - INTERVAL 6 MONTH AS DATE) AND sale_date < {_TODAY}
+),
+per_day AS (SELECT sale_date, count(*) AS n FROM recent GROUP BY sale_date),
+flags AS (
+  SELECT sale_date, sum(n) OVER (ORDER BY sale_date) > sum(n) OVER () * (1 - 0.2) AS is_eval FROM per_day
+),
+split AS (SELECT * FROM recent JOIN flags USING (sale_date))"""
+_LAST_MONTHS = f"sale_date BETWEEN CAST({_TODAY} - INTERVAL 3 MONTH AS DATE) AND {_TODAY}"
+
+ORACLE: dict[str, str] = {
+    "training_rows": f"""
+WITH {d.CLEANED_SQL}, {FEATURES_SQL}, {_SPLIT_SQL}
+SELECT product_id, category, sale_date, CAST(daily_sales AS DOUBLE) AS label, is_eval FROM split""",
+    "naive_evaluation": f"""
+WITH {d.CLEANED_SQL}, {FEATURES_SQL}, {_SPLIT_SQL},
+e AS (
+  SELECT CAST(daily_sales AS DOUBLE) AS y, CAST(sales_lag_1 AS DOUBLE) AS p,
+         CAST(daily_sales AS DOUBLE) - sales_lag_1 AS err FROM split WHERE is_eval
+)
+SELECT 'Last value' AS model_name, round(avg(abs(err)), 6) AS mean_absolute_error,
+       round(avg(err * err), 6) AS mean_squared_error,
+       round(avg((ln(1 + y) - ln(1 + p)) * (ln(1 + y) - ln(1 + p))), 6) AS mean_squared_log_error,
+       round(1 - avg(err * err) / nullif(var_pop(y), 0), 6) AS r2_score,
+       round(1 - var_pop(err) / nullif(var_pop(y), 0), 6) AS explained_variance
+FROM e""",
+    "fixed_price_anomalies": f"""
+WITH {d.CLEANED_SQL},
+r AS (SELECT *, round(price - 50000.0, 2) AS residual FROM cleaned),
+sums AS (
+  SELECT category, count(residual) AS n, CAST(sum(CAST(residual AS DECIMAL(14,2))) AS DOUBLE) AS total,
+         CAST(sum(CAST(residual AS DECIMAL(14,2)) * CAST(residual AS DECIMAL(14,2))) AS DOUBLE) AS squares
+  FROM r GROUP BY category
+),
+moments AS (
+  SELECT category, total / n AS mean, sqrt((squares - total * (total / n)) / nullif(n - 1, 0)) AS deviation FROM sums
+)
+SELECT product_id, category, sale_date, price, residual FROM r JOIN moments USING (category)
+WHERE abs((residual - mean) / deviation) > {Z_LIMIT}""",
+    "forecast_grid": f"""
+WITH {d.CLEANED_SQL}, {FEATURES_SQL},
+latest AS (
+  SELECT * FROM (
+    SELECT product_id, product_name, category,
+           row_number() OVER (PARTITION BY product_id ORDER BY sale_date DESC, product_name, category) AS place
+    FROM history WHERE sale_date <= {_TODAY})
+  WHERE place = 1
+)
+SELECT CAST({_TODAY} + CAST(i AS INTEGER) AS DATE) AS prediction_date, product_id, product_name, category
+FROM latest, range(8) t(i)""",
+    "segment_inputs": f"""
+WITH {d.CLEANED_SQL}
+SELECT product_id, {d.sql_avg("price")} AS avg_price, CAST(sum(sales_count) AS DOUBLE) / count(*) AS avg_sales,
+       {d.sql_avg("rating")} AS avg_rating, {d.sql_avg("discount_percent")} AS avg_discount, count(*) AS frequency
+FROM cleaned WHERE {_LAST_MONTHS} GROUP BY product_id""",
+    "segment_rows": f"""
+WITH {d.CLEANED_SQL}
+SELECT product_id, product_name, category, true AS known_segment
+FROM cleaned WHERE {_LAST_MONTHS} GROUP BY product_id, product_name, category""",
+    "price_rows": f"""
+WITH {d.CLEANED_SQL}
+SELECT product_id, category, sale_date, price FROM cleaned WHERE sale_date BETWEEN {_TODAY} - 30 AND {_TODAY}""",
+    "model_refresh": f"""
+WITH {d.CLEANED_SQL}, {FEATURES_SQL}
+SELECT 'feature_history' AS table_name, count(*) AS "rows" FROM history
+UNION ALL SELECT 'model_evaluation', 2 FROM (SELECT count(*) FROM cleaned)
+UNION ALL SELECT 'product_segments', count(*) FROM (
+  SELECT 1 FROM cleaned WHERE {_LAST_MONTHS} GROUP BY product_id, product_name, category)
+UNION ALL SELECT 'sales_predictions', 8 * count(DISTINCT product_id) FROM history WHERE sale_date <= {_TODAY}""",
+}

@@ -172,7 +172,7 @@ _PRODUCT_DAY = f"""product_id, product_name, category, sale_date, {sql_avg("pric
 _WEEKDAY = "CAST(dayofweek(sale_date) + 1 AS INTEGER) AS day_of_week, CAST(month(sale_date) AS INTEGER) AS month"
 _WEEKEND = "CASE WHEN dayofweek(sale_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend"
 
-_FEATURES_SQL = f"""
+FEATURES_SQL = f"""
 daily AS (
   SELECT {_PRODUCT_DAY}, max(review_count) AS review_count, {_WEEKDAY}, {_WEEKEND},
          CAST(day(sale_date) AS INTEGER) AS day_of_month, CAST(year(sale_date) AS INTEGER) AS year,
@@ -217,7 +217,7 @@ FROM snapshots GROUP BY 1""",
     "discount_price": f"""
 WITH {d.SNAPSHOTS_SQL}
 SELECT product_id, price, discount_percent,
-       CAST(round(CAST(price AS DECIMAL(18,6)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(9,6)))
+       CAST(round(CAST(price AS DECIMAL(20,6)) * (100 - CAST(coalesce(discount_percent, 0) AS DECIMAL(9,6)))
                   * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS discount_price
 FROM snapshots WHERE price > 0""",
     "price_category": f"""
@@ -339,13 +339,13 @@ found AS (
 SELECT metric, bad_rows, CASE WHEN bad_rows > 0 THEN 'warning' ELSE 'ok' END AS status FROM found""",
     "sales_lags": f"WITH {d.CLEANED_SQL}, {_DAYS_SQL} SELECT *, {_lag(1)}, {_lag(7)}, {_lag(30)} FROM days",
     "moving_averages": f"WITH {d.CLEANED_SQL}, {_DAYS_SQL} SELECT *, {_mean(7)}, {_mean(30)} FROM days",
-    "ml_features": f"WITH {d.CLEANED_SQL}, {_FEATURES_SQL} SELECT * FROM features",
+    "ml_features": f"WITH {d.CLEANED_SQL}, {FEATURES_SQL} SELECT * FROM features",
     "calendar_features": f"""
 WITH {d.CLEANED_SQL}
 SELECT {_PRODUCT_DAY}, {_WEEKDAY}, {_WEEKEND}
 FROM cleaned GROUP BY product_id, product_name, category, sale_date""",
     "seq_split": f"""
-WITH {d.CLEANED_SQL}, {_FEATURES_SQL},
+WITH {d.CLEANED_SQL}, {FEATURES_SQL},
 per_day AS (SELECT sale_date, count(*) AS n FROM features GROUP BY sale_date),
 flags AS (
   SELECT sale_date, sum(n) OVER (ORDER BY sale_date) > sum(n) OVER () * (1 - 0.2) AS is_eval FROM per_day

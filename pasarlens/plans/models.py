@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pasarlens.functions import exact_avg, in_window, is_weekend, segment_name
 from pasarlens.plans.features import seq_split
+from pasarlens.sources.tables import stored
 
 # The columns the models learn from.
 SALES_NUMBERS = [
@@ -230,14 +231,18 @@ def predict_price(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def _with_zscore(rows: DataFrame, value: str) -> DataFrame:
     """Add the z-score of a column within its category.
 
-    The two moments per category are an aggregate with map-side partials, joined back by category, so a category
-    with most of the rows is neither sorted nor gathered. Exact sums keep the score the same on every run.
+    The two moments per category are an aggregate with map-side partials. They are stored first, one row per category: then
+    their size is known and Spark broadcasts them while they are small, so the rows do not move, and a category with most of
+    the rows is neither sorted nor gathered. Exact sums keep the score the same on every run.
     """
     x = F.col(value).cast("decimal(14,2)")
     n, total, squares = F.count(x), F.sum(x).cast("double"), F.sum(x * x).cast("double")
     mean = total / n
-    moments = rows.groupBy("category").agg(
-        mean.alias("mean"), F.sqrt(F.try_divide(squares - total * mean, n - 1)).alias("deviation")
+    moments = stored(
+        rows.groupBy("category").agg(
+            mean.alias("mean"), F.sqrt(F.try_divide(squares - total * mean, n - 1)).alias("deviation")
+        ),
+        "moments",
     )
     score = F.try_divide(F.col(value) - F.col("mean"), F.col("deviation"))
     return rows.join(moments, "category").withColumn("z_score", score).drop("mean", "deviation")

@@ -56,10 +56,11 @@ def _batch_id(at: datetime) -> str:
 
 
 def write_envelopes(df: DataFrame, path: str, at: datetime, source: str, max_records: int = 5000) -> None:
-    """Store rows as batch documents of at most ``max_records`` records, one document per file.
+    """Store rows as batch documents of at most ``max_records`` records, one document per file, all in one folder.
 
     A document is built from rows of one partition only, cut by position, so neither a hot key nor many equal
-    rows can make it grow. Sorting the partition first makes the cut the same on a retried task.
+    rows can make it grow. Sorting the partition first makes the cut the same on a retried task. The writer starts a
+    new file after each document.
     """
     numbered = df.sortWithinPartitions(*df.columns).select(
         F.expr(f"monotonically_increasing_id() div {max_records}").alias("_cut"),
@@ -67,7 +68,6 @@ def write_envelopes(df: DataFrame, path: str, at: datetime, source: str, max_rec
     )
     batch = F.concat(F.lit(_batch_id(at) + "_"), F.col("_cut").cast("string"))
     documents = numbered.groupBy("_cut").agg(F.collect_list("_record").alias("data")).select(
-        batch.alias("ingestion_id"),
         F.to_json(
             F.struct(
                 F.struct(
@@ -80,7 +80,7 @@ def write_envelopes(df: DataFrame, path: str, at: datetime, source: str, max_rec
             )
         ).alias("value"),
     )
-    documents.write.mode("append").partitionBy("ingestion_id").text(path)
+    documents.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(f"{path}/{_batch_id(at)}")
 
 
 def write_landing(df: DataFrame, path: str, at: datetime, source: str) -> dict[str, object]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pasarlens.operators.keys import upsert
+from pasarlens.session import fresh_path
 
 
 def stamp_ingestion(df: DataFrame, as_of: date) -> DataFrame:
@@ -102,6 +103,13 @@ def _folders(spark: SparkSession, path: str, partition: str) -> dict[str, object
     return {unquote(p.getName()[len(prefix) :]): p for p in listed if p.getName().startswith(prefix)}
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to a fresh folder and read back: cut lineage, and a size that the optimizer knows."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def waiting_files(spark: SparkSession, path: str) -> list[object]:
     """The files and folders directly below a landing folder that are not marked as unfinished; none if it is missing."""
     _, root, fs = _folder_api(spark, path)
