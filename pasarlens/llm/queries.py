@@ -103,6 +103,23 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 _STOP_SQL = ", ".join("'" + w + "'" for w in quality_rules.STOP_FORMS)
 
 ORACLE: dict[str, str] = {
+    "op7_substring_dedup": rf"""
+        WITH w AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws FROM documents),
+        win AS (
+            SELECT r, doc_id, i, array_to_string(ws[i : i + 12], ' ') AS g
+            FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+        f AS (SELECT g, min(doc_id) AS first FROM win GROUP BY g),
+        gone AS (
+            SELECT DISTINCT r, p
+            FROM (SELECT r, unnest(range(i, i + 13)) AS p FROM win JOIN f USING (g) WHERE first < doc_id)),
+        every AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w WHERE len(ws) > 0),
+        kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY p) AS t
+            FROM every ANTI JOIN gone USING (r, p) GROUP BY r)
+        SELECT doc_id, len(ws)::BIGINT AS n_words,
+            (SELECT count(*) FROM gone WHERE gone.r = w.r)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (r)""",
     "op4_ngram_join": rf"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws FROM documents),
         s AS (
