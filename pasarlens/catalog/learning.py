@@ -25,6 +25,11 @@ def _once(spark, sf, name: str, fit: Callable[[], object]):
     return _fitted[key]
 
 
+def forget() -> None:
+    """Drop the fitted models, so that the next query fits its own."""
+    _fitted.clear()
+
+
 def _features(spark, sf):
     return f.ml_features(d.cleaned(spark, sf))
 

@@ -87,6 +87,22 @@ def structure(spark, sf):
     return files.groupBy("has_metadata", "has_data", "is_valid").agg(F.count("*").alias("files"))
 
 
+def structure_flags(spark, sf):
+    """One file of each kind per region: whole, without data, with a null value, cut short, and no JSON at all."""
+    path = fresh_path(spark, "landing")
+    kinds = {
+        "whole": '{"metadata": {"source": "%s"}, "data": [{}]}', "bare": '{"metadata": {"source": "%s"}}',
+        "null": '{"metadata": null, "data": ["%s"]}', "cut": '{"metadata": {"source": "%s"}, "data": [', "text": "%s",
+    }
+    regions = d.table(spark, sf, "region")
+    for kind, text in kinds.items():
+        files = regions.select(F.format_string(text, "r_name").alias("value"), F.concat(F.lit(kind), "r_name").alias("batch"))
+        files.write.mode("append").partitionBy("batch").text(path)
+    found = envelope_structure(landing.read_documents(spark, path))
+    kind = F.regexp_extract("file_path", r"batch=([a-z]+)", 1)
+    return found.groupBy(kind.alias("kind"), "has_metadata", "has_data", "is_valid").agg(F.count("*").alias("files"))
+
+
 def validate_files(spark, sf):
     files = file_validation(landing.read_documents(spark, envelope_folder(spark, sf)))
     return files.groupBy("is_valid").agg(
@@ -287,6 +303,7 @@ QUERIES = {
     "check_duplicates": lambda spark, sf: k.check_duplicates(d.sales(spark, sf), KEY),
     "envelope_records": envelope_records,
     "envelope_structure": structure,
+    "structure_flags": structure_flags,
     "file_validation": validate_files,
     "load_ndjson": load_ndjson,
     "schema_growing_append": schema_growing_append,
@@ -403,6 +420,11 @@ WITH {d.SNAPSHOTS_SQL}
 SELECT 'snapshots' AS source, coalesce(product_id, '') AS product_id, product_name, category,
        coalesce(price, 0) AS price, sales_count, rating, stock
 FROM snapshots""",
+    "structure_flags": """
+SELECT kind, has_metadata, has_data, has_metadata AND has_data AS is_valid, count(*) AS files
+FROM region, (VALUES ('whole', true, true), ('bare', true, false), ('null', true, true), ('cut', false, false),
+                     ('text', false, false)) t(kind, has_metadata, has_data)
+GROUP BY ALL""",
     "file_validation": f"""
 WITH {d.SNAPSHOTS_SQL},
 counts AS (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog.datasets import AS_OF, CREATED_AT, sql_avg, sql_sum
 from pasarlens.operators.cleaning import derive_transactions, enrich_sales
@@ -28,6 +30,7 @@ QUERIES = {
     "daily_summary": _summary,
     "summary_preview": lambda spark, sf: r.summary_preview(_summary(spark, sf)),
     "summary_sample": lambda spark, sf: r.summary_sample(_summary(spark, sf)),
+    "summary_sample_size": lambda spark, sf: r.summary_sample(_summary(spark, sf)).agg(F.count("*").alias("rows")),
     "category_revenue": lambda spark, sf: r.category_revenue(d.sales(spark, sf)),
     "transaction_profile": lambda spark, sf: r.transaction_profile(d.sales(spark, sf)),
     "derive_transactions": lambda spark, sf: derive_transactions(
@@ -69,6 +72,9 @@ def _window_sql(name: str, since: str) -> str:
 
 
 ORACLE = {
+    "summary_sample_size": f"""
+WITH {d.SALES_SQL}
+SELECT least(100, count(DISTINCT sale_date)) AS "rows" FROM sales""",
     "category_sales": f"""
 WITH {d.SALES_SQL}
 SELECT category, count(transaction_id) AS total_transactions, CAST(sum(quantity) AS BIGINT) AS total_quantity,

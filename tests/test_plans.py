@@ -65,6 +65,13 @@ def test_day_totals_ship_one_row_per_category(spark):
     assert "partial_sum" in text
 
 
+def test_price_scores_move_no_rows(spark):
+    df = registry.queries()["price_zscore"](spark, SF_DIR)
+    df.write.format("noop").mode("overwrite").save()
+    text = plan(df)
+    assert "BroadcastHashJoin [category" in text and "Exchange hashpartitioning(category" not in text
+
+
 def test_split_flags_do_not_shuffle_the_rows(spark):
     text = plan(registry.queries()["seq_split"](spark, SF_DIR))
     assert "BroadcastHashJoin" in text and "SortMergeJoin [sale_date" not in text
