@@ -7,7 +7,8 @@ of smallest hash in the window) form a path; equal windows always have equal min
    of a table of fixed size. The table lets through every repeated minimizer and few others; frequent ones have a second bit.
 2. The remaining paths meet at their minimizer. Where all of them are equal the path does not branch, and the smallest id
    among its source coordinates decides for all its edges at once: these paths stay compact.
-3. Paths that branch are taken apart: their edges are read again from the source text at their coordinates and meet one by one.
+3. Paths that branch are taken apart: their edges are read again from the source text at their coordinates and are reduced to
+   one row per edge, which is joined back.
 4. Covered spans are joined to their text and cut out.
 
 Minimizers met up to ``FREQUENT`` times are compared in windows over one shuffle, so a group is bounded; frequent ones are first
@@ -150,7 +151,8 @@ def _repeated_table(texts: DataFrame, buckets: int) -> DataFrame:
 
 
 def _met(rows: DataFrame, key: str, values: list) -> DataFrame:
-    """Rows with aggregates over those of equal key: a window where the key is rare, one row per key joined back where not."""
+    """Rows with aggregates over those of equal key: a window where the key is rare, one row per key joined back where
+    it is not."""
     window = Window.partitionBy(key)
     rare = rows.where("NOT frequent").select("*", *[f(c).over(window).alias(name) for name, f, c in values])
     often = rows.where("frequent")
@@ -168,9 +170,9 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = paths.slice(a, b - a)
             packed = own.flatten().to_numpy()
             row = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
-            count = (packed >> 1) & 31
-            row, often = np.repeat(row, count), np.repeat(packed & 1, count)
-            start = np.repeat(packed >> 6, count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            count = packed & 31
+            row = np.repeat(row, count)
+            start = np.repeat(packed >> 5, count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             who = pa.array(a + row)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -178,9 +180,8 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column(0).take(who),
                     batch.column(1).take(who),
                     pa.array(start.astype(np.int32)),
-                    pa.array(often.astype(bool)),
                 ],
-                ["edge", "doc_id", "copy", "start", "frequent"],
+                ["edge", "doc_id", "copy", "start"],
             )
 
 
@@ -199,10 +200,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = spans.slice(a, b - a)
             packed = own.flatten().to_numpy()
             row = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
-            first = words.offsets[row] + (packed >> 6)
+            first = words.offsets[row] + (packed >> 5)
             steps = np.zeros(len(words.starts) + 1, np.int64)
             np.add.at(steps, first, 1)
-            np.add.at(steps, first + ((packed >> 1) & 31) + WINDOW - 1, -1)
+            np.add.at(steps, first + (packed & 31) + WINDOW - 1, -1)
             covered = np.cumsum(steps[:-1]) > 0
             gone = np.zeros(len(data) + 1, np.int64)
             follow = np.minimum(np.append(words.starts[1:], len(data)), offsets[words.row + 1])
@@ -286,7 +287,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         [("first", F.min, "doc_id"), ("last", F.max, "doc_id"), ("low", F.min, "content"), ("high", F.max, "content")],
     )
     branches = F.col("low") != F.col("high")
-    packed = (F.shiftleft(F.col("start").cast("long"), 6) + 2 * F.col("count") + F.col("frequent").cast("long")).alias("span")
+    packed = (F.shiftleft(F.col("start").cast("long"), 5) + F.col("count")).alias("span")
     repeated = stored(
         met.where((F.col("first") < F.col("last")) & (branches | (F.col("doc_id") > F.col("first")))).select(
             "doc_id", "copy", packed, branches.alias("branches")
@@ -298,17 +299,20 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = f", rest {texts.schema['rest'].dataType.simpleString()}" if carry else ""
     kinds = "doc_id bigint, copy bigint, packed binary" + rest
     wanted = ["doc_id", "packed", "spans"] + ["rest"] * carry
-    nameless = texts.where("doc_id IS NULL").mapInArrow(_pack, kinds)
-    nameless = nameless.withColumn("spans", F.array().cast("array<bigint>"))
+    nameless = texts.where("doc_id IS NULL").withColumns(
+        {"packed": F.coalesce("text", F.lit("")).cast("binary"), "spans": F.array().cast("array<bigint>")}
+    )
     sources = texts.where("doc_id IS NOT NULL").mapInArrow(_pack, kinds).where("doc_id IS NOT NULL AND copy IS NOT NULL")
     apart = repeated.where("branches").groupBy("doc_id", "copy").agg(F.collect_list("span").alias("paths"))
     edges = (
         sources.join(apart, ["doc_id", "copy"])
         .select("doc_id", "copy", "packed", "paths")
-        .mapInArrow(_expand, "edge bigint, doc_id bigint, copy bigint, start int, frequent boolean")
+        .mapInArrow(_expand, "edge bigint, doc_id bigint, copy bigint, start int")
     )
-    later = _met(edges, "edge", [("first", F.min, "doc_id")]).where("doc_id > first")
-    single = (F.shiftleft(F.col("start").cast("long"), 6) + 2).alias("span")
+    # one row for each edge that several documents have, joined back: the join splits where an edge is frequent
+    shared = edges.groupBy("edge").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    later = edges.join(shared.select("edge", "first"), "edge").where("doc_id > first")
+    single = (F.shiftleft(F.col("start").cast("long"), 5) + 1).alias("span")
     covered = repeated.where("NOT branches").select("doc_id", "copy", "span").unionByName(
         later.select("doc_id", "copy", single)
     )

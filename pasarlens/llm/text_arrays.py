@@ -73,6 +73,10 @@ def pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
+#: Fixed value: the first bytes of a Zstandard frame.
+_PACKED = b"\x28\xb5\x2f\xfd"
+
+
 def packed_texts(column: pa.Array) -> pa.Array:
     """Each text compressed (Zstandard); null is the empty text. Smaller shuffles for texts that are only carried."""
     pack = zstandard.ZstdCompressor(level=3)
@@ -85,11 +89,13 @@ def packed_texts(column: pa.Array) -> pa.Array:
 
 
 def unpacked_pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """As ``pieces``, of compressed texts; no more than a piece is held uncompressed."""
+    """As ``pieces``, of compressed texts; no more than a piece is held uncompressed. A value without the mark of a
+    compressed one, whose second byte begins no character, is taken as the text itself."""
     unpack = zstandard.ZstdDecompressor()
     first, held, size = 0, [], 0
     for i, blob in enumerate(column):
-        held.append(unpack.decompress(blob.as_buffer()))
+        raw = blob.as_py()
+        held.append(unpack.decompress(raw) if raw[:4] == _PACKED else raw)
         size += len(held[-1])
         if size >= most or i + 1 == len(column):
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in held])]).astype(np.int64)
