@@ -4,7 +4,7 @@ A text is read in windows of ``WINDOW`` bytes (all of them; the last one is fill
 forward and one backward; every position gets a probability for each language from both states, and a text's probabilities
 are the means over its positions. Windows of many texts are stacked, so each step is one matrix product.
 
-The network is fitted on the driver from windows of at most ``TRAIN_DOCS`` texts per language, ``TRAIN_BYTES`` bytes each, chosen by a
+The network is fitted on the driver from windows of about ``TRAIN_DOCS`` texts per language, ``TRAIN_BYTES`` bytes each, chosen by a
 hash of the id; labelling covers every text. At most ``MOST_LANGUAGES`` languages, the most frequent, are learned.
 
 Results in special cases: a null text or one without a letter is ``und`` with score 0; a null id is passed on and not held out;
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.quality_gam import remainder
@@ -201,18 +201,16 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def training_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """At most ``TRAIN_DOCS`` labelled texts per language that are not held out: language and some bytes of each.
-
-    Spark's rank filter keeps that many ids per language and task before the shuffle, so a frequent language is no hot group.
-    """
+    """About ``TRAIN_DOCS`` labelled texts per language that are not held out (all, if there are fewer): language and some
+    bytes of each. A share by hash of the id, so no language's rows meet in one task."""
     labelled = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")
     ).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (remainder("doc_id", 4) != 2))
     frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= TRAIN_DOCS)
-    # at most TRAIN_DOCS * MOST_LANGUAGES short rows
-    chosen = chosen.join(F.broadcast(frequent), "lang").select("doc_id", "lang")
+    share = F.lit(float(TRAIN_DOCS << 30)) / F.col("count")
+    chosen = labelled.join(F.broadcast(frequent), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
+    chosen = chosen.select("doc_id", "lang")
+    # about TRAIN_DOCS * MOST_LANGUAGES short rows at most
     texts = _rows(df, id_col, text_col).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     spare = F.greatest(F.char_length("text") - TRAIN_BYTES, F.lit(0))
     return texts.select(
