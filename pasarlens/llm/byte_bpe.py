@@ -35,7 +35,7 @@ _PAD = (1 << _BITS) - 1
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 20, 24, 32, 48, 64, 128, 256)
 LONG = WIDTHS[-1]
 #: Distinct pieces remembered in a worker.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 _CELLS = 1 << 20
 
 
