@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pasarlens.llm.scratch import bounded_batches
 from pasarlens.llm.text_arrays import HashIndex, hash_ranges, pieces
 
 NO_RANK = np.int32(2**31 - 1)
@@ -321,6 +322,8 @@ def encode_documents(
 ) -> DataFrame:
     """One row per text: its ids (little-endian unsigned 32-bit, binary) and, if asked for, the bytes they decode to."""
 
+    bounded_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
         for batch in batches:

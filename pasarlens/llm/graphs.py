@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.llm.scratch import stored
+from pasarlens.llm.scratch import reduced, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -26,9 +26,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = _state(now)
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = reduced(both, "a", F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = reduced(large, "a", F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.select("a", F.col("m").alias("b")).unionByName(
             joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")

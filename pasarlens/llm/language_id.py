@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.quality_gam import remainder
+from pasarlens.llm.scratch import bounded_batches
 from pasarlens.llm.text_arrays import pieces
 
 WINDOW = 64
@@ -197,6 +198,7 @@ def probabilities(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.nda
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    bounded_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -261,6 +263,7 @@ def label_languages(df: DataFrame, net: Network, id_col: str = "doc_id", text_co
 
 def keep_known(df: DataFrame, net: Network, least: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose language is known with probability ``least`` or more, with all columns; a null language is filled in."""
+    bounded_batches(df.sparkSession)
     text, lang = df.columns.index(text_col), df.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pasarlens.llm.scratch import bounded_batches
 from pasarlens.llm.text_arrays import byte_class, find_words, pieces
 
 #: Phrases that always count, with their labels.
@@ -188,6 +189,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text with its licence labels. No shuffle."""
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(
         _scan,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.graphs import connected_components
-from pasarlens.llm.scratch import stored
+from pasarlens.llm.scratch import reduced, stored
 from pasarlens.llm.text_arrays import (
     SPACED,
     find_words,
@@ -281,14 +281,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
     members = classes.select("node", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = reduced(members, "band", F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("blocks")
     meeting = members.join(buckets, "band").select("node", "band", blocks).join(classes.select("node", "signature"), "node")
     close = _cells(meeting, "band").groupBy("band", "low", "high").applyInArrow(_connect_cell, "a bigint, b bigint")
     clusters = stored(connected_components(close), "clusters")
 
     nodes = classes.select("node", "copies", "size", "signature").join(clusters, "node")
-    per_cluster = nodes.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    per_cluster = reduced(nodes, "component", F.count("*").alias("n"), F.sum("size").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     nodes = nodes.join(per_cluster.select("component", blocks), "component")
     texts = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_pack, "node bigint, packed binary")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pasarlens.llm.byte_bpe import binaries, encoder
-from pasarlens.llm.scratch import stored
+from pasarlens.llm.scratch import bounded_batches, stored
 from pasarlens.llm.text_arrays import pieces
 
 PHASES = 12
@@ -54,6 +54,8 @@ def tokenized_pieces(
 ) -> DataFrame:
     """One row per piece of each text's ids and end mark, with its task and its rank there among pieces of its length."""
 
+    bounded_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
         task = TaskContext.get().partitionId()

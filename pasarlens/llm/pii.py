@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pasarlens.llm.scratch import bounded_batches
+
 #: The kinds in the order in which spans are listed; the first four are the base and always stay.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
@@ -149,12 +151,14 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text: its id and all spans with their scores. No shuffle."""
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_search, f"doc_id bigint, spans {SPANS}")
 
 
 def redact_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows and columns with spans replaced in the text; null texts stay null."""
+    bounded_batches(df.sparkSession)
     place = df.columns.index(text_col)
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

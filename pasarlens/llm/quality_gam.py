@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.quality_rules import STOP_WORDS
+from pasarlens.llm.scratch import bounded_batches
 from pasarlens.llm.text_arrays import SPACED, find_words, pieces, window_hashes, window_places
 
 #: Labelled rows learned from, about (the hash keeps a share of all labelled rows).
@@ -215,6 +216,7 @@ def remainder(id_col: str, parts: int) -> Column:
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    bounded_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from pasarlens.session import fresh_path
 
 
+def reduced(df: DataFrame, key: str, *values: Column) -> DataFrame:
+    """Aggregates by a whole-number key, to be joined back to the rows.
+
+    The second grouping expression says nothing new, but it makes the join deal the result out again. Only where both sides of a
+    join come straight from an exchange can adaptive execution split the rows of a frequent key over many tasks.
+    """
+    return df.groupBy(key, F.shiftright(key, 1).alias("_half")).agg(*values).drop("_half")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)

@@ -30,7 +30,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pasarlens.llm.scratch import stored
+from pasarlens.llm.scratch import reduced, stored
 from pasarlens.llm.text_arrays import (
     SPACED,
     Words,
@@ -156,8 +156,8 @@ def _met(rows: DataFrame, key: str, values: list) -> DataFrame:
     window = Window.partitionBy(key)
     rare = rows.where("NOT frequent").select("*", *[f(c).over(window).alias(name) for name, f, c in values])
     often = rows.where("frequent")
-    reduced = often.groupBy(key).agg(*[f(c).alias(name) for name, f, c in values])
-    return rare.unionByName(often.join(reduced, key))
+    by_key = reduced(often, key, *[f(c).alias(name) for name, f, c in values])
+    return rare.unionByName(often.join(by_key, key))
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +310,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .mapInArrow(_expand, "edge bigint, doc_id bigint, copy bigint, start int")
     )
     # one row for each edge that several documents have, joined back: the join splits where an edge is frequent
-    shared = edges.groupBy("edge").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    shared = reduced(edges, "edge", F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     later = edges.join(shared.select("edge", "first"), "edge").where("doc_id > first")
     single = (F.shiftleft(F.col("start").cast("long"), 5) + 1).alias("span")
     covered = repeated.where("NOT branches").select("doc_id", "copy", "span").unionByName(

@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 import zstandard
 
 #: Bytes of text handled at once; a longer text is handled alone, whole.
-PIECE_BYTES = 1 << 20
-_HASH_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
+_HASH_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -37,7 +37,8 @@ _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 def _power(kind: str, n: int) -> np.ndarray:
     if len(_powers[kind]) < n:
-        factor = np.full(max(n, 2 * len(_powers[kind])), _BASE if kind == "up" else _INVERSE, np.uint64)
+        room = -(-n // _HASH_BYTES) * _HASH_BYTES
+        factor = np.full(room, _BASE if kind == "up" else _INVERSE, np.uint64)
         factor[0] = 1
         _powers[kind] = np.cumprod(factor, dtype=np.uint64)
     return _powers[kind][:n]
