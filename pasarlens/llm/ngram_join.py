@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.graphs import connected_components
-from pasarlens.llm.scratch import reduced, stored
+from pasarlens.llm.scratch import bounded_batches, reduced, stored
 from pasarlens.llm.text_arrays import (
     SPACED,
     find_words,
@@ -259,6 +259,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text: ``class_id``, the smallest id of its group of linked texts, and ``n_links``, the number of other rows whose
     similarity to it is at least the threshold."""
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketches = stored(
         rows.mapInArrow(

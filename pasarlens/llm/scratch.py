@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pasarlens.session import fresh_path
 
 
+#: Texts in an Arrow batch; Spark's own default is 10,000 rows, which long texts make tens of megabytes in the executor
+#: and again in its Python worker.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches fit long texts, unless the user has chosen a size."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def reduced(df: DataFrame, key: str, *values: Column) -> DataFrame:
     """Aggregates by a whole-number key, to be joined back to the rows.
 

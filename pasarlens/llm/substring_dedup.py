@@ -30,7 +30,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pasarlens.llm.scratch import reduced, stored
+from pasarlens.llm.scratch import bounded_batches, reduced, stored
 from pasarlens.llm.text_arrays import (
     SPACED,
     Words,
@@ -262,6 +262,7 @@ def _keyed(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per text: ``n_words``, ``n_removed``, the words that stay joined by one space (``kept``), and the text without the
     others (``text``). With ``carry``, also the row's other columns, as the struct ``rest``."""
+    bounded_batches(df.sparkSession)
     texts = _keyed(df, id_col, text_col, carry)
     usable = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
     size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
