@@ -295,7 +295,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_pack, "node bigint, packed binary")
     # a node's text is any row of its id; rows that share an id are one document
     with_sets = (
-        nodes.join(texts, "node")
+        nodes.join(texts.hint("merge"), "node")
         .select("node", "copies", "signature", "component", "blocks", "packed")
         .mapInArrow(
             _shingle_sets,

@@ -10,7 +10,7 @@ from pasarlens.session import fresh_path
 
 #: Texts in an Arrow batch; Spark's own default is 10,000 rows, which long texts make tens of megabytes in the executor
 #: and again in its Python worker.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

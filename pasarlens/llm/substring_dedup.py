@@ -53,6 +53,7 @@ TABLE_WORDS = 1 << 20
 #: Text bytes for each bucket of packed hashes, and the most buckets.
 BUCKET_BYTES = 1 << 24
 MOST_BUCKETS = 4096
+_STEP = 1 << 15
 
 
 def _paths(words: Words) -> tuple[np.ndarray, ...]:
@@ -62,7 +63,8 @@ def _paths(words: Words) -> tuple[np.ndarray, ...]:
     if not len(at):
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     grams = window_hashes(words.hashes, ANCHOR)
-    place = at + sliding_window_view(grams, WINDOW - ANCHOR + 1)[at].argmin(1)
+    views = sliding_window_view(grams, WINDOW - ANCHOR + 1)
+    place = np.concatenate([at[i : i + _STEP] + views[at[i : i + _STEP]].argmin(1) for i in range(0, len(at), _STEP)])
     row = words.row[at]
     new = np.ones(len(at), bool)
     new[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
@@ -304,6 +306,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         {"packed": F.coalesce("text", F.lit("")).cast("binary"), "spans": F.array().cast("array<bigint>")}
     )
     sources = texts.where("doc_id IS NOT NULL").mapInArrow(_pack, kinds).where("doc_id IS NOT NULL AND copy IS NOT NULL")
+    # with a merge join, packing and reading never run in one task, which would then hold two Python workers
+    sources = sources.hint("merge")
     apart = repeated.where("branches").groupBy("doc_id", "copy").agg(F.collect_list("span").alias("paths"))
     edges = (
         sources.join(apart, ["doc_id", "copy"])
