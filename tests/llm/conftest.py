@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-SF_DIR = "/root/testdata/sf0.001"
+from conftest_llm import SF_DIR  # noqa: E402
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 LINE = "the quick brown fox jumps over the lazy dog and then runs far away from the big bad wolf of the north"

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import SF_DIR
+from conftest_llm import SF_DIR
 from pyspark.sql import functions as F
 
 from pasarlens.llm import language_id, quality_gam

@@ -7,8 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF_DIR
-from conftest_llm import pairs
+from conftest_llm import SF_DIR, pairs
 from pyspark.sql import functions as F
 
 import corpus_pipeline
