@@ -6,7 +6,8 @@ rows that are finished are compacted away. Ranks come either from a rank file (a
 token may merge, and whole words that are tokens are taken as they are) or from the merge list of a tokenizer file.
 
 A text is first cut where a word always begins, all texts of a batch at once. The ids of distinct pieces are remembered
-in each Python worker by 64-bit hash (bounded). Words longer than ``LONG`` bytes merge one at a time from a heap.
+in each Python worker by 64-bit hash (bounded). Words longer than ``LONG`` bytes merge one at a time from a heap. Added tokens
+of a tokenizer file are found in the text first (the leftmost, of those the longest); what stands between them is a text of its own.
 
 Results in special cases: a null text is the empty text (no ids); a null id is passed on; repeated rows are encoded one by one; an
 empty table gives an empty result; other columns are ignored.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -58,7 +60,8 @@ class PairTable:
 class Vocabulary:
     """Token bytes by id, ids of single bytes, pairs with ranks, and the ids that pairs become."""
 
-    def __init__(self, tokens: dict[bytes, int], merges: list[tuple[int, int, int]] | None):
+    def __init__(self, tokens: dict[bytes, int], merges: list[tuple[int, int, int]] | None, added: dict[bytes, int] | None = None):
+        self.added = added or {}
         if merges is None:
             triples = [
                 (tokens[t[:i]], tokens[t[i:]], n)
@@ -73,7 +76,7 @@ class Vocabulary:
             rank = np.arange(len(merges), dtype=np.int32)
         self.pairs = PairTable(left, right, rank)
         self.byte_id = np.array([tokens.get(bytes([b]), _PAD) for b in range(256)], np.int32)
-        by_id = dict(zip(tokens.values(), tokens.keys(), strict=True))
+        by_id = {n: t for some in (tokens, self.added) for t, n in some.items()}
         listed = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
         self.token_lengths = np.array([len(t) for t in listed], np.int64)
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
@@ -94,14 +97,18 @@ class Vocabulary:
     def from_tokenizer(cls, path: str) -> Vocabulary:
         """Of a byte-level BPE tokenizer file, whose token texts stand for bytes by the usual table of visible characters."""
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            content = json.load(file)
+        model, added = content["model"], content.get("added_tokens") or []
+        if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: added tokens are only matched as they are written")
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in set(visible)]
         byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
         ids = model["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         tokens = {bytes(byte_of[c] for c in t): n for t, n in ids.items() if all(c in byte_of for c in t)}
-        return cls(tokens, [(ids[a], ids[b], ids[a + b]) for a, b in pairs])
+        marks = {t["content"].encode(): t["id"] for t in added}
+        return cls(tokens, [(ids[a], ids[b], ids[a + b]) for a, b in pairs], marks)
 
     def encode_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words at the given byte ranges, one after another, and where each word's begin."""
@@ -246,8 +253,23 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
         self.find = regex.compile(pattern).findall
+        marks = sorted(vocabulary.added, key=len, reverse=True)
+        self.mark = re.compile(b"|".join(map(re.escape, marks))) if marks else None
         self._forget()
 
+    def _marks(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where added tokens begin and end, none across two texts."""
+        found: list[tuple[int, int]] = []
+        raw, at = data.tobytes() if self.mark else b"", 0
+        while self.mark and (m := self.mark.search(raw, at)):
+            at = int(offsets[np.searchsorted(offsets, m.start(), "right")])
+            # one that would reach into the next text is looked for again in its own
+            if m := m if m.end() <= at else self.mark.search(raw, m.start(), at):
+                found.append(m.span())
+                at = m.end()
+        spans = np.array(found, np.int64).reshape(-1, 2)
+        return spans[:, 0], spans[:, 1]
+
     def _forget(self) -> None:
         self.place = HashIndex()
         self.flat = np.zeros(1 << 16, np.uint32)
@@ -255,9 +277,10 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> None:
         """Remember pieces. A plain one (letters, maybe after a space) is one match of the pattern; others are matched."""
-        raw = data.tobytes()
+        raw, added = data.tobytes(), self.vocabulary.added
         other = np.flatnonzero(~plain)
-        split = [self.find(raw[a:b].decode()) for a, b in zip(starts[other].tolist(), ends[other].tolist(), strict=True)]
+        whole = [raw[a:b] for a, b in zip(starts[other].tolist(), ends[other].tolist(), strict=True)]
+        split = [[] if p in added else self.find(p.decode()) for p in whole]
         words = {w: i for i, w in enumerate({w for ws in split for w in ws})}
         coded = [w.encode() for w in words]
         stops = np.cumsum([len(w) for w in coded], dtype=np.int64)
@@ -265,6 +288,7 @@ class Encoder:
         flat, at = self.vocabulary.encode_words(own, np.append(0, stops)[: len(coded)], stops)
         flat, at = flat.tolist(), at.tolist()
         joined = [[i for w in ws for i in flat[at[words[w]] : at[words[w] + 1]]] for ws in split]
+        joined = [[added[p]] if p in added else ids for p, ids in zip(whole, joined, strict=True)]
         ids, places = self.vocabulary.encode_words(data, starts[plain], ends[plain])
         fresh = np.concatenate([ids, np.array([i for x in joined for i in x], np.uint32)])
         counts = np.concatenate([np.diff(places), np.array([len(x) for x in joined], np.int64)])
@@ -282,7 +306,11 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         if self.place.count > REMEMBERED:
             self._forget()
-        starts, letters = cut_places(data, offsets)
+        mark_starts, mark_ends = self._marks(data, offsets)
+        starts, letters = cut_places(data, np.concatenate([offsets, mark_starts, mark_ends]))
+        if len(mark_starts):
+            before = np.searchsorted(mark_starts, starts) - 1
+            starts = starts[(before < 0) | (starts >= mark_ends[before])]
         ends = np.append(starts[1:], len(data))
         hashes, first, which = np.unique(hash_ranges(data, starts, ends), return_index=True, return_inverse=True)
         at = self.place.find(hashes)
@@ -293,6 +321,7 @@ class Encoder:
             spaced = data[low] == _SPACE
             sums = np.concatenate([[0], np.cumsum(letters)])
             plain = (sums[high] - sums[low] == high - low - spaced) & (high - low > spaced)
+            plain &= ~np.isin(low, mark_starts)
             self._learn(hashes[new], data, low, high, plain)
             at = self.place.find(hashes)
         own, sizes = self.start[at][which], (self.start[at + 1] - self.start[at])[which]

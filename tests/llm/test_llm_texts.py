@@ -53,6 +53,33 @@ def test_bpe_equals_both_libraries(tiktoken_encoding, tokenizer, text):
     assert ids_of("byte_bpe_50k.json", [text]) == [tokenizer.encode(text, add_special_tokens=False).ids]
 
 
+@pytest.fixture(scope="module")
+def default_tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+MARK = "<|endoftext|>"
+MARKED = st.lists(st.sampled_from([MARK, MARK[:7], MARK[7:], " ", "  ", "\n", "a", " the", "'t", "1", "é", "<|"]), max_size=12).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(MARKED, min_size=1, max_size=6))
+def test_bpe_knows_the_added_tokens_of_the_file(default_tokenizer, texts):
+    texts = ["a <|endoftext|> b", *texts, MARK[:7], MARK[7:]]
+    expected = [default_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [64, 220, 50256, 275]
+    assert ids_of("byte_bpe_50k.json", texts) == expected
+    vocabulary = byte_bpe.encoder("byte_bpe_50k.json").vocabulary
+    assert [vocabulary.decode(np.array(ids, np.int64)).tobytes().decode() for ids in expected] == texts
+
+
+def test_packing_of_a_text_with_an_added_token(spark, default_tokenizer):
+    text = "one text <|endoftext|>\n\nand another<|endoftext|>"
+    row = packing.pack_documents(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    ids = [*default_tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_bpe_round_trip_of_given_and_odd_texts(documents, odd, tiktoken_encoding):
     both = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     coded = byte_bpe.encode_documents(both.withColumn("n", F.lit(1)), MULTI, decode=True).collect()
