@@ -1,6 +1,6 @@
 """Near duplicates by the Jaccard similarity of word shingles, with Bayesian pruning of candidates.
 
-A text is its set of ``SHINGLE``-word shingles. Texts of equal sets are one class and go on as one node. Each node has ``HASHES`` MinHash
+A text is its set of ``SHINGLE``-word shingles. Texts of equal sets are one class and go on as one node, with one of the texts. Each node has ``HASHES`` MinHash
 values; nodes that agree on all ``ROWS`` values of a band are candidates. Their values are compared a chunk at a time, and a
 pair is dropped as soon as the posterior probability that its similarity reaches the threshold (uniform prior) falls below
 ``TOLERANCE``. What is left is connected into clusters, and within each cluster every pair is pruned in the same way and then verified
@@ -111,10 +111,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(set_a.view(np.int64)),
                     pa.array(set_b.view(np.int64)),
                     pa.array(np.bincount(row, minlength=n)),
+                    batch.column(2).slice(a, n),
                     pa.array([s.tobytes() for s in signature.astype("<u2")], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(keys)),
                 ],
-                ["doc_id", "set_a", "set_b", "size", "signature", "bands"],
+                ["doc_id", "set_a", "set_b", "size", "text_hash", "signature", "bands"],
             )
 
 
@@ -253,31 +254,46 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), packed_texts(batch.column(1))], ["node", "packed"])
+        yield batch.set_column(2, "packed", packed_texts(batch.column(2)))
+
+
+def _same_id(classes: DataFrame, usable: DataFrame) -> DataFrame | None:
+    """Edges between the nodes of rows that share an id, if there are any."""
+    shared = usable.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if shared.isEmpty():
+        return None
+    rows = usable.select("doc_id", "set_a", "set_b").distinct().join(shared, "doc_id")
+    nodes = rows.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"]).select("doc_id", "node")
+    least = reduced(nodes, "doc_id", F.min("node").alias("b"))
+    return nodes.join(least, "doc_id").where("node > b").select(F.col("node").alias("a"), "b")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text: ``class_id``, the smallest id of its group of linked texts, and ``n_links``, the number of other rows whose
     similarity to it is at least the threshold."""
     bounded_batches(df.sparkSession)
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = df.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    ).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     sketches = stored(
         rows.mapInArrow(
             _sketch,
-            "doc_id bigint, set_a bigint, set_b bigint, size bigint, signature binary, bands array<bigint>",
+            "doc_id bigint, set_a bigint, set_b bigint, size bigint, text_hash bigint, signature binary, bands array<bigint>",
         ),
         "sketches",
     )
     usable = sketches.where("doc_id IS NOT NULL AND size > 0")
-    # texts of equal sets have equal signatures, so any of them will do
+    # texts of equal sets have equal signatures, so any of them will do; the text is that of the smallest id
     classes = stored(
-        usable.groupBy("set_a", "set_b").agg(
-            F.min("doc_id").alias("node"),
+        usable.groupBy("set_a", "set_b")
+        .agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("least"),
             F.count("*").alias("copies"),
             F.first("size").alias("size"),
             F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .select(F.monotonically_increasing_id().alias("node"), "set_a", "set_b", "least.*", "copies", "size", "signature", "bands"),
         "classes",
     )
 
@@ -288,14 +304,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     close = _cells(meeting, "band").groupBy("band", "low", "high").applyInArrow(_connect_cell, "a bigint, b bigint")
     clusters = stored(connected_components(close), "clusters")
 
-    nodes = classes.select("node", "copies", "size", "signature").join(clusters, "node")
+    nodes = classes.select("node", "doc_id", "text_hash", "copies", "size", "signature").join(clusters, "node")
     per_cluster = reduced(nodes, "component", F.count("*").alias("n"), F.sum("size").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     nodes = nodes.join(per_cluster.select("component", blocks), "component")
-    texts = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_pack, "node bigint, packed binary")
-    # a node's text is any row of its id; rows that share an id are one document
+    # repeated rows become one before they leave their task, so each node meets one text
+    texts = (
+        rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+        .select("doc_id", "text_hash", "text")
+        .mapInArrow(_pack, "doc_id bigint, text_hash bigint, packed binary")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.first("packed").alias("packed"))
+    )
     with_sets = (
-        nodes.join(texts.hint("merge"), "node")
+        nodes.join(texts.hint("merge"), ["doc_id", "text_hash"])
         .select("node", "copies", "signature", "component", "blocks", "packed")
         .mapInArrow(
             _shingle_sets,
@@ -309,14 +331,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "links",
     )
 
-    groups = connected_components(verified.where("b IS NOT NULL").select("a", "b"))
+    edges = verified.where("b IS NOT NULL").select("a", "b")
+    by_id = _same_id(classes, usable)
+    groups = connected_components(edges if by_id is None else edges.unionByName(by_id))
+    in_groups = classes.select("node", "doc_id").join(groups, "node")
+    least = reduced(in_groups, "component", F.min("doc_id").alias("class_id"))
+    named = in_groups.join(least, "component").select("node", "class_id")
     links = verified.where("links IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     by_class = (
-        classes.select("set_a", "set_b", "node", "copies")
-        .join(groups, "node", "left")
+        classes.select("set_a", "set_b", "node", "doc_id", "copies")
+        .join(named, "node", "left")
         .join(links, "node", "left")
         .select(
-            "set_a", "set_b", F.coalesce("component", "node").alias("class_id"),
+            "set_a", "set_b", F.coalesce("class_id", "doc_id").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )

@@ -129,6 +129,19 @@ def test_links_equal_a_plain_version(spark, monkeypatch, block):
     assert got == plain_classes(rows)
 
 
+def test_links_of_repeated_rows_with_a_near_copy(spark):
+    words = [f"w{i}" for i in range(60)]
+    near, far = [*words[:59], "new"], [f"v{i}" for i in range(60)]
+    rows = [(5, words), (5, words), (7, near), (8, far), (8, words), (8, ["other"])]
+    rows = [(doc, " ".join(w)) for doc, w in rows] + [(9, " ".join([*far[:59], str(i)])) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(map(tuple, ngram_join.near_duplicates(df).collect()))
+    # rows that share an id are in one class
+    assert got == sorted((doc, 5, n) for doc, _, n in plain_classes(rows))
+    few = spark.createDataFrame(rows[:3], "doc_id bigint, text string")
+    assert sorted(map(tuple, ngram_join.near_duplicates(few).collect())) == [(5, 5, 2), (5, 5, 2), (7, 5, 2)]
+
+
 def test_links_of_odd_rows(odd, empty):
     got = pairs(ngram_join.near_duplicates(odd).collect(), "doc_id")
     assert sum(map(len, got.values())) == odd.count()
