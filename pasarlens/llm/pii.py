@@ -25,6 +25,16 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    word[:2]: int(word[2:])
+    for word in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
+        "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+        "LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 "
+        "SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|[0-9a-f]{32,64})(?![A-Za-z0-9])")
 _DIGIT = re.compile(r"[0-9]")
@@ -98,10 +108,20 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        bare = m.group().replace(" ", "")
-        if 15 <= len(bare) <= 34 and mod97(bare):
-            yield m.span()
+    """A match may run on into a BIC, a year or another number, so it may also end at a blank in it: where the country's length is
+    reached, or for other countries wherever the checksum holds, the longest first."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, at = m.start(), m.start() + 1
+        ends = [m.end(), *(i for i in range(m.end() - 1, start, -1) if text[i] == " ")]
+        bare = {end: text[start:end].replace(" ", "") for end in ends}
+        if own := IBAN_LENGTHS.get(text[start : start + 2]):
+            ends = [end for end in ends if len(bare[end]) == own] + ends[:1]
+        for end in ends:
+            if 15 <= len(bare[end]) <= 34 and mod97(bare[end]):
+                yield start, end
+                at = end
+                break
 
 
 def spans_of(text: str) -> list[tuple[str, int, int, float]]:

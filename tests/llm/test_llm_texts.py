@@ -138,6 +138,19 @@ def test_more_spans_need_a_checksum_or_context():
     assert [k for k, *_ in pii.spans_of('token = "0123456789abcdef0123456789abcdef"')] == ["secret"]
 
 
+def test_iban_ends_before_what_follows():
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    norwegian, unlisted = "NO93 8601 1117 947", "ZZ" + next(f"{n:02}" for n in range(98) if pii.mod97(f"ZZ{n:02}12345678901234"))
+    unlisted += " 1234 5678 9012 34"
+    for iban in (german, british, norwegian, unlisted, german.replace(" ", "")):
+        for after in ("", " BIC COBADEFF", " 2024", " TOTAL DUE NOW AND IN CAPITALS", " and words", ", end"):
+            found = [(s, e) for k, s, e, _ in pii.spans_of(f"pay {iban}{after}") if k == "iban"]
+            assert found == [(4, 4 + len(iban))], (iban, after)
+            assert pii.redacted(f"pay {iban}{after}") == f"pay [IBAN]{after}"
+    assert pii.redacted(f"{german} {british} {norwegian}") == "[IBAN] [IBAN] [IBAN]"
+    assert pii.redacted(f"REF AB12 {german}") == "REF AB12 [IBAN]"
+
+
 def test_pii_over_odd_rows(odd, empty, documents):
     assert pii.find_pii(odd).count() == odd.count()
     assert pii.find_pii(empty).count() == 0
