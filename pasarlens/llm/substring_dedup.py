@@ -244,28 +244,38 @@ def _strings(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(bounds) - 1, buffers)
 
 
-def _keyed(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
-    """Id, ``copy`` (0, or a hash of the text where several rows share the id) and text; the whole row too, if asked for."""
+def _keyed(df: DataFrame, id_col: str, text_col: str, carry: bool) -> tuple[DataFrame, bool]:
+    """Id, ``copy`` (0, or a hash of the text where several rows share the id) and text; the whole row too, if asked for. Second result:
+    whether rows share an id."""
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
         *[F.struct(*[c for c in df.columns if c != text_col]).alias("rest")] * carry,
     )
     more = ["rest"] * carry
-    shared = rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    shared = reduced(rows.where("doc_id IS NOT NULL"), "doc_id", F.count("*").alias("n")).where("n > 1").select("doc_id")
     if shared.isEmpty():
-        return rows.select("doc_id", F.lit(0).cast("long").alias("copy"), "text", *more)
+        return rows.select("doc_id", F.lit(0).cast("long").alias("copy"), "text", *more), False
     marked = rows.join(shared.withColumn("shared", F.lit(True)), "doc_id", "left")
-    return marked.select(
-        "doc_id", F.when(F.col("shared"), F.xxhash64("text")).otherwise(0).cast("long").alias("copy"), "text", *more
-    )
+    copy = F.when(F.col("shared"), F.xxhash64("text")).otherwise(0).cast("long").alias("copy")
+    return marked.select("doc_id", copy, "text", *more), True
+
+
+def _listed(spans: DataFrame, name: str, shared: bool) -> DataFrame:
+    """The spans of each text. Repeated rows of one id and text have the same spans, which count once; the lists are then dealt out
+    again (as in ``reduced``), so that the join with such rows can be split."""
+    if not shared:
+        return spans.groupBy("doc_id", "copy").agg(F.collect_list("span").alias(name))
+    once = spans.select("doc_id", "copy", "span").distinct()
+    half = F.shiftright("doc_id", 1).alias("_half")
+    return once.groupBy("doc_id", "copy", half).agg(F.collect_list("span").alias(name)).drop("_half")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per text: ``n_words``, ``n_removed``, the words that stay joined by one space (``kept``), and the text without the
     others (``text``). With ``carry``, also the row's other columns, as the struct ``rest``."""
     bounded_batches(df.sparkSession)
-    texts = _keyed(df, id_col, text_col, carry)
+    texts, shared_ids = _keyed(df, id_col, text_col, carry)
     usable = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
     size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(MOST_BUCKETS, max(64, size // BUCKET_BYTES)))
@@ -308,7 +318,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sources = texts.where("doc_id IS NOT NULL").mapInArrow(_pack, kinds).where("doc_id IS NOT NULL AND copy IS NOT NULL")
     # with a merge join, packing and reading never run in one task, which would then hold two Python workers
     sources = sources.hint("merge")
-    apart = repeated.where("branches").groupBy("doc_id", "copy").agg(F.collect_list("span").alias("paths"))
+    apart = _listed(repeated.where("branches"), "paths", shared_ids)
     edges = (
         sources.join(apart, ["doc_id", "copy"])
         .select("doc_id", "copy", "packed", "paths")
@@ -321,7 +331,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     covered = repeated.where("NOT branches").select("doc_id", "copy", "span").unionByName(
         later.select("doc_id", "copy", single)
     )
-    spans = covered.groupBy("doc_id", "copy").agg(F.collect_list("span").alias("spans"))
+    spans = _listed(covered, "spans", shared_ids)
     return (
         sources.join(spans, ["doc_id", "copy"], "left")
         .select(*wanted)

@@ -88,6 +88,26 @@ def test_removal_of_odd_rows(odd, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_removal_of_a_row_repeated_many_times(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "FREQUENT", 50)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:20], "new", *words[21:]])), (3, "no words in common")]
+    rows += [(9, " ".join(["x", *words, "y"]))] * 200 + [(9, " ".join(words[:15]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    held = []
+    listed = substring_dedup._listed
+
+    def kept(spans, name, shared):
+        held.append(listed(spans, name, shared))
+        return held[-1]
+
+    monkeypatch.setattr(substring_dedup, "_listed", kept)
+    assert removed(df) == sorted(plain_removal(rows), key=str)
+    for lists in held:
+        column = lists.columns[-1]
+        assert lists.count() > 0 and lists.where(F.size(column) > 42).count() == 0
+
+
 def shingles_of(text):
     w = words_of(text or "")
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
