@@ -51,6 +51,8 @@ TOLERANCE = 1e-6
 BLOCK_NODES = 256
 BLOCK_SHINGLES = 1 << 20
 _TILE = 4096
+#: Rows that take part in the join.
+USABLE = "doc_id IS NOT NULL AND size > 0"
 
 _draw = np.random.default_rng(5)
 _TIMES = (_draw.integers(0, 2**31, HASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -268,9 +270,8 @@ def _same_id(classes: DataFrame, usable: DataFrame) -> DataFrame | None:
     return nodes.join(least, "doc_id").where("node > b").select(F.col("node").alias("a"), "b")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per text: ``class_id``, the smallest id of its group of linked texts, and ``n_links``, the number of other rows whose
-    similarity to it is at least the threshold."""
+def _linked(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored tables: one row per text, one per node, and the links of nodes."""
     bounded_batches(df.sparkSession)
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
@@ -282,7 +283,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ),
         "sketches",
     )
-    usable = sketches.where("doc_id IS NOT NULL AND size > 0")
+    usable = sketches.where(USABLE)
     # texts of equal sets have equal signatures, so any of them will do; the text is that of the smallest id
     classes = stored(
         usable.groupBy("set_a", "set_b")
@@ -330,7 +331,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .applyInArrow(_verify_cell, "a bigint, b bigint, links bigint"),
         "links",
     )
+    return sketches, classes, verified
 
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per text: ``class_id``, the smallest id of its group of linked texts, and ``n_links``, the number of other rows whose
+    similarity to it is at least the threshold."""
+    sketches, classes, verified = _linked(df, id_col, text_col)
+    usable = sketches.where(USABLE)
     edges = verified.where("b IS NOT NULL").select("a", "b")
     by_id = _same_id(classes, usable)
     groups = connected_components(edges if by_id is None else edges.unionByName(by_id))
@@ -352,3 +360,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     linked = usable.select("doc_id", "set_a", "set_b").join(by_class, ["set_a", "set_b"])
     return linked.select("doc_id", "class_id", "n_links").unionByName(alone)
+
+
+def first_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id and text hash (``xxhash64``) of one text of each group of linked texts, that of the smallest id. Texts under one id are
+    only in one group if they are linked; each text without words is a group of its own."""
+    sketches, classes, verified = _linked(df, id_col, text_col)
+    groups = connected_components(verified.where("b IS NOT NULL").select("a", "b"))
+    own = classes.select("node", F.struct("doc_id", "text_hash").alias("least")).join(groups, "node", "left")
+    firsts = own.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("least").alias("least"))
+    alone = sketches.where("doc_id IS NOT NULL AND size = 0").select("doc_id", "text_hash").distinct()
+    return firsts.select("least.*").unionByName(alone)

@@ -257,6 +257,28 @@ def test_pipeline_stages(spark, documents, odd):
     assert docs.where("piece = 0").count() == before.count()
 
 
+def test_pipeline_judges_rows_that_share_an_id_by_their_texts(spark):
+    def text(letter, *changed):
+        return " ".join([*[f"{letter}{i}" for i in range(60)], *changed])
+
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (1, text("c")), (2, text("a", "x")), (2, text("d")), (3, text("c")),
+            (3, text("e")), (4, text("e", "y")), (None, text("a"))]
+    docs = spark.createDataFrame([(d, t, "en") for d, t in rows], "doc_id bigint, text string, lang string").repartition(3)
+    left = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    expected = [(1, text("a")), (1, text("b")), (1, text("c")), (2, text("d")), (3, text("e")), (None, text("a"))]
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(expected, key=str)
+    assert "WindowGroupLimit" in left._jdf.queryExecution().executedPlan().toString()
+    docs = stored(left, "left")
+    for name, stage in corpus_pipeline.STAGES[2:]:
+        before, docs = docs, stored(stage(spark, docs, SF_DIR), name)
+        if name == "substring_dedup":
+            expected = plain_removal([(r["doc_id"], r["text"]) for r in before.where("doc_id IS NOT NULL").collect()])
+            got = [(r["doc_id"], " ".join(words_of(r["text"]))) for r in docs.where("doc_id IS NOT NULL").collect()]
+            assert sorted(got) == sorted((d, t) for d, _, _, t in expected)
+    assert docs.where("piece = 0").count() == before.count() == 6
+
+
 def test_pipeline_on_an_empty_table(spark, empty):
     docs = empty
     for name, stage in corpus_pipeline.STAGES:
