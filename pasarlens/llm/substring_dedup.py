@@ -12,8 +12,8 @@ of smallest hash in the window) form a path; equal windows always have equal min
 4. Covered spans are joined to their text and cut out.
 
 Minimizers met up to ``FREQUENT`` times are compared in windows over one shuffle, so a group is bounded; frequent ones are first
-reduced to one row each, and joined back, so that no key's rows meet in one task. Two paths or edges count as equal when
-128 bits (minimizer and content) agree.
+reduced to one row each, and joined back, so that no key's rows meet in one task. Two paths count as equal when
+128 bits (minimizer and content) agree, two edges of branching paths when one 64-bit hash does; no words are compared.
 
 Results in special cases: a null text has no words; rows with a null id take no part and are returned whole; rows that share an id count as
 one document, each with its own result; windows repeated within one document only are kept; an empty table gives an empty
