@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pasarlens.llm import byte_bpe, exact_topk, language_id, licenses, ngram_join, packing, pii, quality_gam, quality_rules, substring_dedup
+from pasarlens.llm import byte_bpe, exact_dedup, exact_topk, language_id, licenses, merkle, ngram_join, packing, pii, quality_gam
+from pasarlens.llm import quality_rules, spelling, sql, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +87,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_packing": op2_packing,
@@ -97,12 +110,18 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_licenses": op9_licenses,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling": op11_spelling,
+    "op12_merkle": op12_merkle,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 _STOP_SQL = ", ".join("'" + w + "'" for w in quality_rules.STOP_FORMS)
 
 ORACLE: dict[str, str] = {
+    "op11_spelling": sql.SPELLING,
+    "op12_merkle": sql.MERKLE,
+    "op13_exact_dedup": sql.EXACT_DEDUP,
     "op7_substring_dedup": rf"""
         WITH w AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws FROM documents),
