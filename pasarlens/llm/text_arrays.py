@@ -17,8 +17,12 @@ import zstandard
 #: Bytes of text handled at once; a longer text is handled alone, whole.
 PIECE_BYTES = 1 << 19
 _HASH_BYTES = 1 << 18
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Hashes are polynomials modulo this Mersenne prime, at one of two independent points. Modulo a power of two, texts of two
+#: letters in a Thue-Morse order and its complement would hash alike at every point.
+_PRIME = (1 << 61) - 1
+_POINTS = (0x1A3F5C7E9B2D4F61, 0x0C7D1E3B5A998877)
+_P, _LOW31, _LOW30 = np.uint64(_PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_30, _31, _61 = np.uint64(30), np.uint64(31), np.uint64(61)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,17 +35,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    if len(_powers[kind]) < n:
-        room = -(-n // _HASH_BYTES) * _HASH_BYTES
-        factor = np.full(room, _BASE if kind == "up" else _INVERSE, np.uint64)
-        factor[0] = 1
-        _powers[kind] = np.cumprod(factor, dtype=np.uint64)
-    return _powers[kind][:n]
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, from halves of 31 bits."""
+    a_high, a_low, b_high, b_low = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    middle = a_low * b_high + a_high * b_low
+    return _reduced(a_high * b_high * np.uint64(2) + (middle >> _30) + ((middle & _LOW30) << _31) + a_low * b_low)
+
+
+#: A small number for each byte, so that its products with half a power can be summed without reducing them.
+_BYTE_VALUE = np.random.default_rng(7).permutation(np.arange(1, 257)).astype(np.uint64)
+_powers: dict[tuple[int, bool], np.ndarray] = {}
+
+
+def _power(point: int, inverse: bool, n: int) -> np.ndarray:
+    """The first powers of a point, or of its inverse."""
+    held = _powers.get((point, inverse), np.ones(1, np.uint64))
+    base = pow(_POINTS[point], -1 if inverse else 1, _PRIME)
+    while len(held) < n:
+        held = np.concatenate([held, _times(held, np.uint64(pow(base, len(held), _PRIME)))])
+    _powers[point, inverse] = held
+    return held[:n]
+
+
+def _joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """``low + high * 2**31`` modulo the prime."""
+    high = _reduced(high)
+    return _reduced(_reduced(low) + ((high & _LOW30) << _31) + (high >> _30))
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +202,7 @@ class Words:
 
 
 def find_words(
-    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None, hashed: bool = True
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None, hashed: bool = True, point: int = 0
 ) -> Words:
     """Maximal runs of ``inside`` bytes, never across texts. ``fold`` maps bytes before hashing."""
     n = len(data)
@@ -190,11 +214,13 @@ def find_words(
     ends = np.flatnonzero(within[1:-1] & (~within[2:] | edge[1:])) + 1
     row = np.searchsorted(offsets, starts, "right") - 1
     words = np.searchsorted(starts, offsets, "left")
-    hashes = hash_ranges(data, starts, ends, fold) if hashed else np.zeros(0, np.uint64)
+    hashes = hash_ranges(data, starts, ends, fold, point) if hashed else np.zeros(0, np.uint64)
     return Words(starts, ends, row, words, hashes)
 
 
-def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
+def hash_ranges(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None, point: int = 0
+) -> np.ndarray:
     """A polynomial hash of each byte range (in ascending order), from running sums over blocks of ranges."""
     value = _BYTE_VALUE if fold is None else _BYTE_VALUE[fold]
     out = np.empty(len(starts), np.uint64)
@@ -202,30 +228,42 @@ def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + _HASH_BYTES, "right")))
         low, high = int(starts[a]), int(ends[b - 1])
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(value[data[low:high]] * _power("up", high - low), dtype=np.uint64, out=sums[1:])
+        values, power = value[data[low:high]], _power(point, False, high - low)
         s, e = starts[a:b] - low, ends[a:b] - low
-        own = (sums[e] - sums[s]) * _power("down", high - low + 1)[s]
-        out[a:b] = mix(own + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        parts = []
+        # sums of products below 2**40 stay exact for 2**24 bytes; a longer range is summed in steps
+        for half in (power & _LOW31, power >> _31):
+            parts.append(_range_sums(values * half, s, e, 1 << 23))
+        own = _times(_joined(*parts), _power(point, True, high - low + 1)[s])
+        out[a:b] = mix(own ^ mix((e - s).astype(np.uint64)))
         a = b
     return out
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of ``width`` consecutive values from each place on; ``len - width + 1`` of them (none if shorter)."""
-    n = len(hashes)
-    if n < width:
-        return np.zeros(0, np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(hashes * _power("up", n), dtype=np.uint64, out=sums[1:])
-    return mix((sums[width:] - sums[: n - width + 1]) * _power("down", n + 1)[: n - width + 1])
+def _range_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
+    """Sums of ranges, modulo the prime where there are more than ``step`` values."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    if len(values) <= step:
+        np.cumsum(values, dtype=np.uint64, out=sums[1:])
+        return sums[ends] - sums[starts]
+    for i in range(0, len(values), step):
+        part = np.cumsum(values[i : i + step], dtype=np.uint64)
+        sums[i + 1 : i + 1 + len(part)] = _reduced(_reduced(part) + sums[i])
+    return _reduced(sums[ends] + (_P - sums[starts]))
 
 
-def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, point: int = 0) -> np.ndarray:
     """Hash of the values in each range."""
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * _power("up", len(hashes)), dtype=np.uint64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _power("down", len(hashes) + 1)[starts])
+    n = len(hashes)
+    product = _times(_reduced(hashes), _power(point, False, n))
+    parts = [_range_sums(half, starts, ends, 1 << 31) for half in (product & _LOW31, product >> _31)]
+    return mix(_times(_joined(*parts), _power(point, True, n + 1)[starts]))
+
+
+def window_hashes(hashes: np.ndarray, width: int, point: int = 0) -> np.ndarray:
+    """Hash of ``width`` consecutive values from each place on; ``len - width + 1`` of them (none if shorter)."""
+    starts = np.arange(max(0, len(hashes) - width + 1))
+    return range_hashes(hashes, starts, starts + width, point)
 
 
 def window_places(offsets: np.ndarray, width: int) -> np.ndarray:
