@@ -110,12 +110,15 @@ class Vocabulary:
         marks = {t["content"].encode(): t["id"] for t in added}
         return cls(tokens, [(ids[a], ids[b], ids[a + b]) for a, b in pairs], marks)
 
-    def encode_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words at the given byte ranges, one after another, and where each word's begin."""
+    def encode_words(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole_tokens: bool = True
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at the given byte ranges, one after another, and where each word's begin. Words that are a token are
+        looked up by hash first, if ``whole_tokens``."""
         lengths = ends - starts
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, how many ids each, their ids
         open_ = lengths > 0
-        if len(self.whole_hashes):
+        if whole_tokens and len(self.whole_hashes):
             hashes = hash_ranges(data, starts, ends)
             at = np.minimum(np.searchsorted(self.whole_hashes, hashes), len(self.whole_hashes) - 1)
             whole = np.flatnonzero(open_ & (self.whole_hashes[at] == hashes))
@@ -255,6 +258,7 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         marks = sorted(vocabulary.added, key=len, reverse=True)
         self.mark = re.compile(b"|".join(map(re.escape, marks))) if marks else None
+        self.tokens: dict[bytes, int] | None = None
         self._forget()
 
     def _marks(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -301,7 +305,44 @@ class Encoder:
         self.start = np.concatenate([self.start, used + np.cumsum(counts)])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and where each text's ids begin (one more at the end)."""
+        """The ids of all texts one after another, and where each text's ids begin (one more at the end).
+
+        Pieces and tokens are found by hash, so the bytes that the ids stand for are compared with the texts; a text that differs,
+        because two pieces hash alike, is encoded again without hashes.
+        """
+        ids, places = self._encode_hashed(data, offsets)
+        own = self.vocabulary.decode(ids)
+        if len(own) == len(data) and np.array_equal(own, data):
+            return ids, places
+        stops = np.concatenate([[0], np.cumsum(self.vocabulary.token_lengths[ids])])[places]
+        parts = [ids[a:b] for a, b in zip(places, places[1:], strict=False)]
+        for i, (a, b) in enumerate(zip(offsets, offsets[1:], strict=False)):
+            if not np.array_equal(own[stops[i] : stops[i + 1]], data[a:b]):
+                parts[i] = self._encode_exact(data[a:b].tobytes())
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _encode_exact(self, text: bytes) -> np.ndarray:
+        """The ids of a text, each piece looked up by its bytes."""
+        vocabulary = self.vocabulary
+        if self.tokens is None:
+            listed = vocabulary.whole_ids.tolist()
+            bounds = [(int(vocabulary.token_starts[i]), int(vocabulary.token_lengths[i])) for i in listed]
+            self.tokens = {vocabulary.token_bytes[a : a + n].tobytes(): i for i, (a, n) in zip(listed, bounds, strict=True)}
+        cuts = [m.span() for m in self.mark.finditer(text)] if self.mark else []
+        out: list[int] = []
+        for (_, a), (b, c) in zip([(0, 0), *cuts], [*cuts, (len(text), len(text))], strict=True):
+            for piece in (w.encode() for w in self.find(text[a:b].decode())):
+                if piece in self.tokens:
+                    out.append(self.tokens[piece])
+                else:
+                    data = np.frombuffer(piece, np.uint8)
+                    own = vocabulary.encode_words(data, np.zeros(1, np.int64), np.array([len(data)]), whole_tokens=False)
+                    out.extend(own[0].tolist())
+            if c > b:
+                out.append(vocabulary.added[text[b:c]])
+        return np.array(out, np.uint32)
+
+    def _encode_hashed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         if self.place.count > REMEMBERED:
