@@ -20,13 +20,14 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
-def reduced(df: DataFrame, key: str, *values: Column) -> DataFrame:
-    """Aggregates by a whole-number key, to be joined back to the rows.
+def reduced(df: DataFrame, key: str | list[str], *values: Column) -> DataFrame:
+    """Aggregates by a key, the first column of it a whole number, to be joined back to the rows.
 
     The second grouping expression says nothing new, but it makes the join deal the result out again. Only where both sides of a
     join come straight from an exchange can adaptive execution split the rows of a frequent key over many tasks.
     """
-    return df.groupBy(key, F.shiftright(key, 1).alias("_half")).agg(*values).drop("_half")
+    keys = [key] if isinstance(key, str) else key
+    return df.groupBy(*keys, F.shiftright(keys[0], 1).alias("_half")).agg(*values).drop("_half")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

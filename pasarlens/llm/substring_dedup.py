@@ -12,8 +12,9 @@ of smallest hash in the window) form a path; equal windows always have equal min
 4. Covered spans are joined to their text and cut out.
 
 Minimizers met up to ``FREQUENT`` times are compared in windows over one shuffle, so a group is bounded; frequent ones are first
-reduced to one row each, and joined back, so that no key's rows meet in one task. Two paths count as equal when
-128 bits (minimizer and content) agree, two edges of branching paths when one 64-bit hash does; no words are compared.
+reduced to one row each, and joined back, so that no key's rows meet in one task. Two paths count as equal when minimizer and
+content agree, two edges of branching paths when two hashes of their words do: polynomials modulo a prime of 61 bits, at two independent
+points. Words themselves are not compared.
 
 Results in special cases: a null text has no words; rows with a null id take no part and are returned whole; rows that share an id count as
 one document, each with its own result; windows repeated within one document only are kept; an empty table gives an empty
@@ -107,7 +108,7 @@ def _emit_paths(buckets: int):
             for a, _, data, offsets in pieces(batch.column(2)):
                 words = find_words(data, offsets, SPACED)
                 row, at, count, place, minimizer = _paths(words)
-                content = range_hashes(words.hashes, at, at + count + WINDOW - 1)
+                content = range_hashes(words.hashes, at, at + count + WINDOW - 1, point=1)
                 content = mix(content ^ mix(((place - at) * 64 + count).astype(np.uint64)))
                 who = pa.array(a + row)
                 yield pa.RecordBatch.from_arrays(
@@ -169,6 +170,7 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, data, offsets in unpacked_pieces(batch.column(2)):
             words = find_words(data, offsets, SPACED)
             edges = window_hashes(words.hashes, WINDOW)
+            again = window_hashes(find_words(data, offsets, SPACED, point=1).hashes, WINDOW, point=1)
             own = paths.slice(a, b - a)
             packed = own.flatten().to_numpy()
             row = np.repeat(np.arange(b - a), own.value_lengths().to_numpy())
@@ -176,14 +178,16 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.repeat(row, count)
             start = np.repeat(packed >> 5, count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             who = pa.array(a + row)
+            place = words.offsets[row] + start
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(edges[words.offsets[row] + start].view(np.int64)),
+                    pa.array(edges[place].view(np.int64)),
+                    pa.array(again[place].view(np.int64)),
                     batch.column(0).take(who),
                     batch.column(1).take(who),
                     pa.array(start.astype(np.int32)),
                 ],
-                ["edge", "doc_id", "copy", "start"],
+                ["edge", "edge_again", "doc_id", "copy", "start"],
             )
 
 
@@ -287,12 +291,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "minimizer bigint, doc_id bigint, copy bigint, start int, count int, content bigint, bucket int, key int",
     )
     word, bit = _position()
-    open_ = (
+    open_ = stored(
         paths.select("minimizer", "doc_id", "copy", "start", "count", "content", word, bit)
         .join(table, "word")
         .where(F.col("repeated").bitwiseAND(_one("bit")) != 0)
         .withColumn("frequent", F.col("frequent").bitwiseAND(_one("bit")) != 0)
-        .drop("word", "bit", "repeated")
+        .drop("word", "bit", "repeated"),
+        "open_paths",
     )
     met = _met(
         open_,
@@ -322,11 +327,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     edges = (
         sources.join(apart, ["doc_id", "copy"])
         .select("doc_id", "copy", "packed", "paths")
-        .mapInArrow(_expand, "edge bigint, doc_id bigint, copy bigint, start int")
+        .mapInArrow(_expand, "edge bigint, edge_again bigint, doc_id bigint, copy bigint, start int")
     )
     # one row for each edge that several documents have, joined back: the join splits where an edge is frequent
-    shared = reduced(edges, "edge", F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = edges.join(shared.select("edge", "first"), "edge").where("doc_id > first")
+    shared = reduced(edges, ["edge", "edge_again"], F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = shared.where("first < last").select("edge", "edge_again", "first")
+    later = edges.join(shared, ["edge", "edge_again"]).where("doc_id > first")
     single = (F.shiftleft(F.col("start").cast("long"), 5) + 1).alias("span")
     covered = repeated.where("NOT branches").select("doc_id", "copy", "span").unionByName(
         later.select("doc_id", "copy", single)
