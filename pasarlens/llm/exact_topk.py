@@ -31,7 +31,8 @@ BLOCK_ROWS = 128
 SHARD_BLOCKS = 128
 QUERY_GROUP = 4096
 PROJECTIONS = 16
-_LOWEST = -(2**62)
+#: The smallest score there is, so that as a bound it shuts nothing out.
+_LOWEST = -(2**63)
 _EXACT = 2.0**53
 
 BLOCKS = (
@@ -149,8 +150,11 @@ def _search_cell(cell: pa.Table, k: int) -> pa.Table:
     high, low, wide = (np.pad(a, ((0, 0), (0, width - a.shape[1]))) for a in (high, low, q))
     # a block whose vectors are shorter than the query has zeros there, and so have its bounds; shorter vectors in a block
     # were filled up with zeros before the bounds were taken
-    bound = np.maximum(wide, 0) @ high.T + np.minimum(wide, 0) @ low.T
-    bound += np.abs(bound) * 1e-12
+    with np.errstate(invalid="ignore", over="ignore"):
+        bound = np.maximum(wide, 0) @ high.T + np.minimum(wide, 0) @ low.T
+        # rounding errors are relative to the terms, which may cancel; a bound that overflows shuts nothing out
+        bound += (np.abs(wide) @ np.maximum(np.abs(high), np.abs(low)).T) * (1e-12 + width * 2**-52)
+    bound = np.clip(np.nan_to_num(bound, nan=np.inf, posinf=np.inf, neginf=-np.inf), float(_LOWEST), None)
     order = np.argsort(-bound, axis=1, kind="stable")
     going = np.arange(m)
     for step in range(n):
