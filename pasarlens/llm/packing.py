@@ -3,7 +3,8 @@
 Only the histogram of lengths (at most ``capacity`` counts) reaches the driver. There a configuration linear program is solved: a
 configuration is a multiset of lengths that fits into one sequence, and each length must be covered as often as it occurs.
 Multiplicative weights price the lengths; a knapsack dynamic program finds, for every length, the best-paying configuration that
-holds it. Rounding down gives whole sequences; what is left is put, longest first, where it fits best. Pieces then get their places
+holds it. Rounding down gives whole sequences; what is left is solved again, and the last of it is put, longest first, where it
+fits best. No more sequences are used than plain best fit needs. Pieces then get their places
 by their rank among pieces of equal length, which Spark counts in two levels, so that no length's pieces meet in one task.
 
 Results in special cases: a null text is the empty text, which is the end mark alone; a null id is passed on; repeated rows are packed
@@ -13,9 +14,11 @@ remainder first.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,12 @@ from pasarlens.llm.byte_bpe import binaries, encoder
 from pasarlens.llm.scratch import bounded_batches, stored
 from pasarlens.llm.text_arrays import pieces
 
-PHASES = 12
-RATE = 0.5
+#: Rounds of pricing; how much less than the best configuration one may pay; the share of a length's pieces it takes at once.
+ROUNDS, SLACK, SHARE = 60, 0.005, 0.5
+#: How often the program is solved for what rounding leaves.
+TURNS = 4
+
+_log = logging.getLogger(__name__)
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 
@@ -95,11 +102,11 @@ def tokenized_pieces(
 
 
 def _knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best value of each room, and the length last taken there (0: none); any number of each length may be taken."""
-    best, taken = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    """Best value of each room, and the length last taken there (negative: none); any number of each length may be taken."""
+    best, taken = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for room in range(1, capacity + 1):
-        best[room], taken[room] = best[room - 1], -1
+        best[room] = best[room - 1]
         if n := fits[room]:
             value = best[room - lengths[:n]] + price[:n]
             # among equally good, the longest
@@ -121,33 +128,81 @@ def _configuration(length: int, taken: np.ndarray, capacity: int) -> tuple[int,
     return tuple(sorted(out, reverse=True))
 
 
-def solve_configurations(counts: dict[int, int], capacity: int) -> dict[tuple[int, ...], float]:
-    """A fractional solution of the configuration program: how often each configuration is used."""
+def solve_configurations(counts: dict[int, int], capacity: int) -> tuple[dict[tuple[int, ...], float], float]:
+    """A fractional solution of the configuration program (how often each configuration is used), and a lower bound of its value.
+
+    A length's price is its weight over its count; a weight falls as its length is covered. Each round prices all configurations by the
+    knapsack program and uses those that pay nearly most, each as far as it takes a share of a length's pieces and no more pieces
+    than are left, so that nothing is covered twice. What no configuration has covered after the last round is left to the
+    rounding. By duality the sum of the weights over the best price is a lower bound in every round.
+    """
     lengths = np.array(sorted(n for n in counts if n < capacity))
-    use: dict[tuple[int, ...], float] = {}
+    use: Counter = Counter()
     if not len(lengths):
-        return use
+        return {}, 0.0
     need = np.array([counts[n] for n in lengths], float)
     place = {int(n): i for i, n in enumerate(lengths)}
-    weight = np.ones(len(lengths))
-    covered = np.zeros(len(lengths))
-    for phase in range(1, PHASES + 1):
-        _, taken = _knapsack(weight * lengths / capacity, lengths, capacity)
-        goal = need * phase / PHASES
-        for i in range(len(lengths) - 1, -1, -1):
-            lack = goal[i] - covered[i]
-            if lack <= 0:
-                continue
+    weight, covered, bound, slack = need * lengths / capacity, np.zeros(len(lengths)), 0.0, SLACK
+    for _ in range(ROUNDS):
+        price = weight / need
+        best, taken = _knapsack(price, lengths, capacity)
+        bound = max(bound, weight.sum() / best[capacity])
+        pays = (price + best[capacity - lengths]) / best[capacity]
+        good = np.flatnonzero((pays >= 1 - slack) & (covered < 1))
+        for i in good[np.argsort(-pays[good], kind="stable")].tolist():
             chosen = _configuration(int(lengths[i]), taken, capacity)
             times = Counter(chosen)
-            amount = lack / times[int(lengths[i])]
-            use[chosen] = use.get(chosen, 0.0) + amount
-            for n, k in times.items():
-                covered[place[n]] += k * amount
-        # what is covered beyond its share pays less from now on
-        weight *= np.exp(-RATE * np.clip(covered / goal - 1.0, 0.0, 2.0))
-        weight /= weight.max()
-    return use
+            at = np.array([place[n] for n in times])
+            each = np.array(list(times.values())) / need[at]
+            amount = float(min((SHARE / each).min(), ((1 - covered[at]) / each).min()))
+            if amount > 0:
+                use[chosen] += amount
+                covered[at] += each * amount
+                weight[at] *= np.exp(-each * amount)
+        if covered.min() >= 1:
+            break
+        slack *= 1.05
+    return dict(use), bound
+
+
+def _whole_part(use: dict[tuple[int, ...], float], left: Counter) -> Counter:
+    """Configurations rounded down, taken from what is ``left``; those with room to spare are not used."""
+    whole: Counter = Counter()
+    for chosen, amount in sorted(use.items(), key=lambda x: (-sum(x[0]), x[0])):
+        times = Counter(chosen)
+        n = min(int(amount + 1e-9), *(left[s] // k for s, k in times.items()))
+        if n > 0:
+            whole[chosen] += n
+            for s, k in times.items():
+                left[s] -= n * k
+    return whole
+
+
+def pack_counts(counts: dict[int, int], capacity: int) -> tuple[dict[tuple[int, ...], int], int]:
+    """How often each configuration is used so that every piece is held once, and the fewest sequences that any packing needs.
+
+    The program is solved and rounded down, again for what that leaves, and the last of it is put where it fits best. Plain best
+    fit of all pieces is used instead where it needs fewer sequences.
+    """
+    left: Counter = Counter({n: k for n, k in counts.items() if n < capacity})
+    full = counts.get(capacity, 0)
+    whole, bound = Counter({(capacity,): full} if full else {}), 0.0
+    for turn in range(TURNS):
+        use, own = solve_configurations(left, capacity)
+        bound = own if turn == 0 else bound
+        tight = {c: n for c, n in use.items() if sum(c) >= capacity - capacity // 50}
+        found = _whole_part(tight, left)
+        whole.update(found)
+        left = Counter({n: k for n, k in left.items() if k > 0})
+        if not found or not left:
+            break
+    whole.update(_best_fit(left, capacity))
+    plain = round_configurations({}, counts, capacity)
+    best = min((dict(whole), plain), key=lambda x: sum(x.values()))
+    # the program has no value below its bound
+    least = full + ceil(bound * (1 - 1e-9))
+    _log.info("packing: %d sequences, at least %d needed, plain best fit %d", sum(best.values()), least, sum(plain.values()))
+    return best, least
 
 
 def round_configurations(
@@ -155,21 +210,17 @@ def round_configurations(
 ) -> dict[tuple[int, ...], int]:
     """Whole numbers of configurations that hold every piece exactly once."""
     left = Counter({n: k for n, k in counts.items() if n < capacity})
-    whole: Counter = Counter()
-    if counts.get(capacity):
-        whole[(capacity,)] = counts[capacity]
-    # configurations with room to spare are left to the best fit
-    for chosen, amount in sorted(x for x in use.items() if sum(x[0]) == capacity):
-        times = Counter(chosen)
-        n = min(int(amount), *(left[s] // k for s, k in times.items()))
-        if n > 0:
-            whole[chosen] += n
-            for s, k in times.items():
-                left[s] -= n * k
-    # best fit, longest first, on groups of equal sequences: room -> {contents: how many}
+    whole = Counter({(capacity,): counts[capacity]} if counts.get(capacity) else {})
+    whole.update(_whole_part({c: n for c, n in use.items() if sum(c) == capacity}, left))
+    whole.update(_best_fit(left, capacity))
+    return dict(whole)
+
+
+def _best_fit(left: Counter, capacity: int) -> Counter:
+    """Best fit, longest first, on groups of equal sequences."""
+    # room -> {contents: how many}
     rooms: dict[int, Counter] = {}
-    for chosen in [c for c in whole if sum(c) < capacity]:
-        rooms.setdefault(capacity - sum(chosen), Counter())[chosen] += whole.pop(chosen)
+    whole: Counter = Counter()
     for length in sorted(left, reverse=True):
         todo = left[length]
         while todo > 0:
@@ -192,7 +243,7 @@ def round_configurations(
             todo -= moved
     for group in rooms.values():
         whole.update(group)
-    return dict(whole)
+    return whole
 
 
 def _slots(whole: dict[tuple[int, ...], int], capacity: int) -> tuple[np.ndarray, ...]:
@@ -215,11 +266,11 @@ def pack_pieces(pieces_table: DataFrame, capacity: int = 1024) -> DataFrame:
     """Each row of a stored table of pieces with ``sequence_id`` and ``offset``.
 
     The driver gets one count per length. The table of places that goes to the tasks has a row per configuration and
-    slot: fewer than ``PHASES * capacity`` configurations from the program and about two per length from the best fit.
+    slot: fewer than ``TURNS * ROUNDS * capacity`` configurations from the program and about two per length from the best fit.
     """
     by_task = pieces_table.groupBy("part", "length").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    whole = round_configurations(solve_configurations(counts, capacity), counts, capacity)
+    whole, _ = pack_counts(counts, capacity)
     length, first, sequence, offset = _slots(whole, capacity)
     starts = np.searchsorted(length, np.arange(capacity + 2))
 
