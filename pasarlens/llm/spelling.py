@@ -39,13 +39,11 @@ def corpus_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     runs = F.regexp_extract_all(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(LETTERS), F.lit(0))
     run = docs.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"), F.explode(runs).alias("run"))
     run = run.select("id", F.translate("run", _UPPER, _LOWER).alias("run"))
-    # equal runs of a document share their fate, so they are counted before they are looked at
-    run = run.groupBy("id", "run").agg(F.count("*").alias("n"))
     h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
     at = (h % F.char_length("run")).cast("int")
     without = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.char_length("run")))
     word = F.when(h % DAMAGED == 0, without).otherwise(F.col("run"))
-    return run.groupBy(word.alias("word")).agg(F.sum("n").alias("n"))
+    return run.groupBy(word.alias("word")).agg(F.count("*").alias("n"))
 
 
 def vocabulary(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -68,7 +66,8 @@ def _cells(words: DataFrame) -> DataFrame:
     halves = stored(_halves(words), "halves")
     most = F.greatest(F.lit(1), F.least(F.lit(CELL_WORDS), F.lit(CELL_LETTERS) / F.col("size"))).cast("long")
     sizes = halves.groupBy("size", "tail").agg(F.count("*").alias("rows"))
-    sizes = sizes.select("size", "tail", most.alias("most"), F.ceil(2 * F.col("rows") / most).alias("buckets"))
+    # one short row per length, stored so that Spark knows its size and the halves need not be dealt out by length
+    sizes = stored(sizes.select("size", "tail", most.alias("most"), F.ceil(2 * F.col("rows") / most).alias("buckets")), "sizes")
     dealt = halves.join(sizes, ["size", "tail"]).withColumn("bucket", F.pmod(F.xxhash64("half"), F.col("buckets")))
     held = dealt.groupBy("size", "tail", "bucket", F.col("most")).agg(F.count("*").alias("rows"))
     blocks = held.select("size", "tail", "bucket", F.ceil(F.col("rows") / F.col("most")).alias("blocks"))
