@@ -4,12 +4,13 @@ A text is read in windows of ``WINDOW`` bytes (all of them; the last one is fill
 forward and one backward; every position gets a probability for each language from both states, and a text's probabilities
 are the means over its positions. Windows of many texts are stacked, so each step is one matrix product.
 
-The network is fitted on the driver from windows of about ``TRAIN_DOCS`` texts per language, ``TRAIN_BYTES`` bytes each, chosen by a
-hash of the id; labelling covers every text. At most ``MOST_LANGUAGES`` languages, the most frequent, are learned.
+The network is fitted on the driver from about ``TRAIN_DOCS`` texts of every labelled language (``TRAIN_ROWS`` in all), chosen by a hash of
+the id, with ``TRAIN_PIECES`` windows spread over the whole of each; labelling covers every text.
 
 Results in special cases: a null text or one without a letter is ``und`` with score 0; a null id is passed on and not held out;
 rows with a null language are not learned from; without any labelled row every text is ``und``; repeated rows are labelled each; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored. Of equally probable languages the first by name is given; a text of any
+length is read whole.
 """
 
 from __future__ import annotations
@@ -24,14 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.quality_gam import remainder
-from pasarlens.llm.scratch import bounded_batches
+from pasarlens.llm.scratch import bounded_batches, stored
 from pasarlens.llm.text_arrays import pieces
 
 WINDOW = 64
 UNITS = 8
 TRAIN_DOCS = 400
-TRAIN_BYTES = 512
-MOST_LANGUAGES = 200
+TRAIN_ROWS = 80_000
+TRAIN_PIECES = 16
+LIMIT_ROWS = 4000
 STEPS = 240
 BATCH = 512
 TRAIN_WINDOW = 32
@@ -202,22 +204,41 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def _labelled(df: DataFrame, id_col: str, lang_col: str) -> DataFrame:
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
+    return rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+
+
 def training_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """About ``TRAIN_DOCS`` labelled texts per language that are not held out (all, if there are fewer): language and some
-    bytes of each. A share by hash of the id, so no language's rows meet in one task."""
-    labelled = df.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")
-    ).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (remainder("doc_id", 4) != 2))
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    share = F.lit(float(TRAIN_DOCS << 30)) / F.col("count")
-    chosen = labelled.join(F.broadcast(frequent), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
-    chosen = chosen.select("doc_id", "lang")
-    # about TRAIN_DOCS * MOST_LANGUAGES short rows at most
-    texts = _rows(df, id_col, text_col).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
-    spare = F.greatest(F.char_length("text") - TRAIN_BYTES, F.lit(0))
-    return texts.select(
-        "lang", F.substring("text", F.pmod(F.xxhash64("doc_id"), spare + 1).cast("int") + 1, F.lit(TRAIN_BYTES)).alias("text")
-    )
+    """Language and pieces of the labelled texts learned from: about ``TRAIN_DOCS`` texts of each language that are not held out (all, if
+    there are fewer; fewer of each, if there are more than ``TRAIN_ROWS`` in all). A share by hash of the id, so no language's rows meet in one
+    task. A text gives ``TRAIN_PIECES`` pieces spread over its whole length, at places chosen by hash."""
+    labelled = _labelled(df, id_col, lang_col).where(remainder("doc_id", 4) != 2)
+    counts = stored(labelled.groupBy("lang").count(), "languages")
+    each = min(TRAIN_DOCS, TRAIN_ROWS // max(1, counts.count()) or 1)
+    share = F.lit(float(each << 30)) / F.col("count")
+    chosen = labelled.join(counts, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
+    texts = _rows(df, id_col, text_col).where("text IS NOT NULL").join(chosen.select("doc_id", "lang"), "doc_id")
+    spare = F.greatest(F.char_length("text") - TRAIN_WINDOW, F.lit(0))
+    # one place in each of equal parts of the text
+    drawn = texts.select("lang", "text", spare.alias("spare"), F.explode(F.sequence(F.lit(0), F.lit(TRAIN_PIECES - 1))).alias("i"), "doc_id")
+    within = F.pmod(F.xxhash64("doc_id", "i"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    start = F.floor((F.col("i") + within) * F.col("spare") / TRAIN_PIECES).cast("int") + 1
+    return drawn.select("lang", F.substring(F.col("text"), start, F.lit(TRAIN_WINDOW)).alias("text"))
+
+
+def score_limit(
+    df: DataFrame, net: Network, wrong: float = 0.002, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> float:
+    """The score that all but a share of ``wrong`` of rightly labelled texts reach, from about ``LIMIT_ROWS`` labelled texts that were held
+    out of the training. So it follows the number of languages; without any held-out text it is the score of a guess."""
+    held_out = _labelled(df, id_col, lang_col).where(remainder("doc_id", 4) == 2)
+    share = float(LIMIT_ROWS << 30) / max(1, held_out.count())
+    chosen = held_out.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
+    texts = df.select(id_col, text_col).join(chosen.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi")
+    found = label_languages(texts, net, id_col, text_col).join(chosen, "doc_id").where("lang_pred = lang")
+    limit = found.agg(F.percentile_approx("score", wrong, 10000)).first()[0]
+    return limit if limit is not None else 1.0 / max(1, len(net.languages))
 
 
 def fit_languages(df: DataFrame, **names: str) -> Network:
