@@ -5,31 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from conftest_llm import SF_DIR  # noqa: E402
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-
-LINE = "the quick brown fox jumps over the lazy dog and then runs far away from the big bad wolf of the north"
-LONG = " ".join(f"word{i % 9973} of thé" for i in range(60_000))
-
-#: Nulls in every column, empty and blank texts, a very long one, repeated rows, shared ids, ties.
-ODD_ROWS = [
-    (None, None, None, None, None),
-    (None, LINE, "en", None, 3),
-    (1, None, "en", "a", None),
-    (2, "", None, "a", 0),
-    (3, " \n\t ", "en", None, 4),
-    (4, LINE, "en", "a", 1),
-    (4, LINE, "en", "a", 1),
-    (5, LINE, None, "a", 1),
-    (6, "x", "de", "b", 1),
-    (6, "another text under the same id", "de", "b", 1),
-    (7, LONG, "fr", "b", len(LONG)),
-    (8, "12 34 ... !!", "en", "b", 12),
-    (9, "\x00 \x1c  　日本語\r\nx" + "y" * 3000, "en", "c", 5),
-    (10, LINE + " " + LINE.upper(), "en", "c", 5),
-]
-
-
+from conftest_llm import CLASHING, ODD_ROWS, SCHEMA, SF_DIR  # noqa: E402
 @pytest.fixture(scope="session")
 def odd(spark):
     """The odd rows, with columns of other meaning whose names clash with those of results."""
@@ -39,9 +15,6 @@ def odd(spark):
     return rows.select("*", *[F.lit("other").alias(c) for c in CLASHING])
 
 
-CLASHING = ("score", "spans", "node", "copy", "kept", "rank", "length", "sequence_id", "size", "class_id", "rest", "first", "row")
-
-
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)

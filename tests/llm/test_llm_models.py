@@ -55,6 +55,25 @@ def test_language_of_held_out_rows(big, odd, empty):
     assert kept.schema == odd.schema and kept.where("doc_id IN (1, 2, 3, 8) OR lang IS NULL").count() == 0
 
 
+def test_every_labelled_language_is_learned(spark):
+    rows = [(i, chr(0x4E00 + i % 250) * 40, f"l{i % 250:03}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(language_id.fit_languages(docs).languages) == 250
+
+
+def test_training_pieces_come_from_the_whole_text(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(3200))
+    docs = spark.createDataFrame([(i, text, "a") for i in range(8)], "doc_id bigint, text string, lang string")
+    starts = sorted({ord(r["text"][0]) - 0x4E00 for r in language_id.training_texts(docs).collect()})
+    assert starts[0] < 200 and starts[-1] > 2900 and len({s // 200 for s in starts}) == 16
+
+
+def test_score_limit_keeps_clean_rows(big):
+    net = language_id.fit_languages(big)
+    kept = language_id.keep_known(big, net, language_id.score_limit(big, net))
+    assert kept.count() >= 0.99 * big.where("regexp_like(text, '[[:alpha:]]|[^[:ascii:]]')").count()
+
+
 def test_language_without_labels(odd):
     nothing = odd.withColumn("lang", F.lit(None).cast("string"))
     net = language_id.fit_languages(nothing)

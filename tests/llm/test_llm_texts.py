@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest_llm import pairs
+from conftest_llm import SF_DIR, pairs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -254,18 +254,54 @@ def test_packing_of_nothing_repeats_and_sequences(spark, empty, odd):
     assert joined.agg(F.sum("n_tokens")).first()[0] == packed.agg(F.sum("length")).first()[0]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(1, 64), st.integers(1, 50), max_size=30))
-def test_rounding_holds_every_piece(counts):
-    whole = packing.round_configurations(packing.solve_configurations(counts, 64), counts, 64)
+def held_pieces(whole, capacity):
     held = {}
     for contents, n in whole.items():
-        assert sum(contents) <= 64 and n > 0
+        assert sum(contents) <= capacity and n > 0
         for length in contents:
             held[length] = held.get(length, 0) + n
-    assert held == counts
-    low = sum(k * n for k, n in counts.items()) / 64
-    assert sum(whole.values()) <= 11 / 9 * low * 1.3 + 2
+    return held
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 50), max_size=30))
+def test_packing_holds_every_piece_in_no_more_sequences_than_best_fit(counts):
+    whole, least = packing.pack_counts(counts, 64)
+    assert held_pieces(whole, 64) == counts
+    plain = packing.round_configurations({}, counts, 64)
+    assert held_pieces(plain, 64) == counts
+    assert least <= sum(whole.values()) <= sum(plain.values())
+    assert held_pieces(packing.round_configurations(packing.solve_configurations(counts, 64)[0], counts, 64), 64) == counts
+
+
+@pytest.mark.parametrize("low, high, gap", [(1, 1023, 0.005), (200, 520, 0.02), (330, 700, 0.015)])
+def test_packing_comes_near_the_bound(low, high, gap):
+    lengths, times = np.unique(np.random.default_rng(0).integers(low, high + 1, 20_000), return_counts=True)
+    whole, least = packing.pack_counts(dict(zip(lengths.tolist(), times.tolist(), strict=True)), 1024)
+    assert least <= sum(whole.values()) <= (1 + gap) * least
+
+
+def test_packing_of_document_lengths_comes_near_the_bound(spark):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/documents.parquet")
+    pieces = packing.tokenized_pieces(docs).groupBy("length").count().collect()
+    whole, least = packing.pack_counts({r["length"]: r["count"] for r in pieces}, 1024)
+    assert least <= sum(whole.values()) <= 1.001 * least
+
+
+@pytest.mark.parametrize("name", [MULTI, "byte_bpe_50k.json"])
+def test_pieces_that_hash_alike_are_encoded_apart(monkeypatch, name):
+    """Long words that a weaker hash confused, and a hash that confuses everything of one length."""
+    morse = ["".join((a, b)[bin(i).count("1") & 1] for i in range(1024)) for a, b in ("ab", "ba")]
+    texts = [*morse, "cat and dog", "dog and cat", "", "tea at ten <|endoftext|> 12 34"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    own = byte_bpe.Encoder(byte_bpe.encoder(name).vocabulary, public_tokenizers.PATTERN)
+    ids, places = own.encode(data, offsets)
+    assert own.vocabulary.decode(ids).tobytes() == data.tobytes()
+    weak = byte_bpe.Encoder(own.vocabulary, public_tokenizers.PATTERN)
+    monkeypatch.setattr(byte_bpe, "hash_ranges", lambda data, starts, ends: (ends - starts).astype(np.uint64) + np.uint64(1))
+    got, bounds = weak.encode(data, offsets)
+    assert got.tolist() == ids.tolist() and bounds.tolist() == places.tolist()
 
 
 def test_digest_of_ids_is_little_endian(documents):
