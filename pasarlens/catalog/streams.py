@@ -9,7 +9,7 @@ from pasarlens.catalog.datasets import AS_OF
 from pasarlens.catalog.loads import KEY, envelope_folder
 from pasarlens.catalog.snapshots import PER_DAY_SQL, with_revenue
 from pasarlens.session import fresh_path
-from pasarlens.streaming import alerts, ingest
+from pasarlens.streaming import alert_policy, alerts, ingest
 
 HOUR, DAY = 3600, 86400
 ALERT_ERRORS = 1  # hourly error counts in the given events are small
@@ -101,7 +101,39 @@ def late_rows(spark, sf):
     return alerts.late_rows(spark, table)
 
 
+#: Hourly buckets with more than one error, three in a row, two hours for late rows.
+POLICY = alert_policy.Policy(seconds=HOUR, threshold=1, held=3, grace=2 * HOUR)
+#: Days of January 2024 that arrive together, in this order: the third part is late.
+ARRIVALS = ((1, 8), (16, 24), (8, 16), (24, 32))
+
+
+def _policy_run(spark, sf):
+    """Events land in four parts; after each the policy goes on from its checkpoints."""
+    arrivals, paths = fresh_path(spark, "arrivals"), alert_policy.Paths(fresh_path(spark, "policy"))
+    events = d.table(spark, sf, "events")
+    for first, last in ARRIVALS:
+        events.where(F.dayofmonth("ts").between(first, last - 1)).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(events.schema).parquet(arrivals)
+        alert_policy.run_policy(d.executions(stream), paths, POLICY)
+    return paths
+
+
+def policy_buckets(spark, sf):
+    return alert_policy.closed_buckets(spark, _policy_run(spark, sf), POLICY).drop("series")
+
+
+def policy_alerts(spark, sf):
+    return alert_policy.policy_alerts(spark, _policy_run(spark, sf), POLICY).drop("series")
+
+
+def policy_late(spark, sf):
+    return alert_policy.late_report(spark, _policy_run(spark, sf))
+
+
 QUERIES = {
+    "policy_buckets": policy_buckets,
+    "policy_alerts": policy_alerts,
+    "policy_late": policy_late,
     "stream_ingest": stream_ingest,
     "stream_rejected": stream_rejected,
     "stream_validate": stream_validate,
@@ -129,7 +161,45 @@ buckets AS (
 )"""
 
 
+_POLICY_SQL = f"""
+arrived AS (
+  SELECT *, CASE WHEN day(ts) < 8 THEN 1 WHEN day(ts) < 16 THEN 3 WHEN day(ts) < 24 THEN 2 ELSE 4 END AS batch,
+         time_bucket(INTERVAL {HOUR} SECOND, ts, TIMESTAMP '1970-01-01') + INTERVAL {HOUR} SECOND AS bucket_end
+  FROM events WHERE ts IS NOT NULL
+),
+newest AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch) AS seen FROM arrived GROUP BY batch),
+judged AS (
+  SELECT a.*, coalesce(a.bucket_end <= n.seen - INTERVAL {2 * HOUR} SECOND, false) AS late
+  FROM arrived a LEFT JOIN newest n ON n.batch = a.batch - 1
+),
+closed AS (
+  SELECT bucket_end, count(*) AS executions, count(*) FILTER (WHERE event_type = 'error') AS errors,
+         CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS cost
+  FROM judged WHERE NOT late GROUP BY bucket_end
+  HAVING bucket_end <= (SELECT max(ts) FROM arrived) - INTERVAL {2 * HOUR} SECOND
+),
+breaching AS (
+  SELECT *, bucket_end - row_number() OVER (ORDER BY bucket_end) * INTERVAL {HOUR} SECOND AS grp
+  FROM closed WHERE errors > 1
+),
+runs AS (
+  SELECT bucket_end, row_number() OVER w AS run, min(errors) OVER three AS min_errors,
+         CAST(sum(errors) OVER three AS BIGINT) AS total_errors
+  FROM breaching
+  WINDOW w AS (PARTITION BY grp ORDER BY bucket_end),
+         three AS (PARTITION BY grp ORDER BY bucket_end ROWS 2 PRECEDING)
+)"""
+
 ORACLE = {
+    "policy_buckets": f"""
+WITH {_POLICY_SQL}
+SELECT bucket_end - INTERVAL {HOUR} SECOND AS bucket_start, bucket_end, executions, errors, cost, coalesce(run, 0) AS run,
+       min_errors, total_errors, coalesce(run >= 3, false) AS alert
+FROM closed LEFT JOIN runs USING (bucket_end)""",
+    "policy_alerts": f"""
+WITH {_POLICY_SQL} SELECT bucket_end AS alert_at, min_errors, total_errors FROM runs WHERE run >= 3""",
+    "policy_late": f"""
+WITH {_POLICY_SQL} SELECT count(*) AS "rows", count(*) FILTER (WHERE late) AS late FROM judged""",
     "stream_ingest": f"""
 WITH {d.SNAPSHOTS_SQL}
 SELECT product_id, product_name, category, price, original_price, CAST(discount_percent AS BIGINT) AS discount_percent,

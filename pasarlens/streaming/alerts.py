@@ -32,6 +32,9 @@ PARTIAL_METRICS = T.StructType(
 )
 
 
+_NEWEST = "newest timestamp_ntz"
+
+
 def _partial_metrics(executions: DataFrame, seconds: int, newest: datetime | None = None, grace: int = 600) -> DataFrame:
     """Counts per bucket. ``late`` rows are those more than ``grace`` seconds older than the ``newest`` seen before."""
     late = F.lit(False) if newest is None else F.col("ts") < F.lit(newest - timedelta(seconds=grace))
@@ -75,10 +78,15 @@ def stream_bucket_metrics(executions: DataFrame, table: str, checkpoint: str, se
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         newest = None
         if batch_id > 0:
-            earlier = spark.read.schema(PARTIAL_METRICS).parquet(table).where(F.col("batch_id") < batch_id)
-            newest = earlier.agg(F.max("bucket_end")).first()[0]
+            # one row beside the table, however many batches it has
+            newest = spark.read.schema(_NEWEST).parquet(f"{table}_newest/batch_id={batch_id - 1}").first()[0]
         counts = _partial_metrics(batch, seconds, newest)
-        counts.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        own = f"{table}/batch_id={batch_id}"
+        counts.write.mode("overwrite").parquet(own)
+        ends = [newest, spark.read.schema(PARTIAL_METRICS).parquet(own).agg(F.max("bucket_end")).first()[0]]
+        ends = [t for t in ends if t is not None]
+        row = spark.createDataFrame([(max(ends, default=None),)], _NEWEST)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{table}_newest/batch_id={batch_id}")
 
     run_available(executions, checkpoint, one_batch)
     return read_bucket_metrics(spark, table)
