@@ -14,6 +14,7 @@ from pasarlens.plans import features as f
 from pasarlens.plans import model_store
 from pasarlens.plans import models as m
 from pasarlens.session import fresh_path
+from pasarlens.sources.tables import stored
 
 _fitted: dict[tuple[str, str, str], object] = {}
 
@@ -88,8 +89,8 @@ def _naive(split):
 
 
 def naive_evaluation(spark, sf):
-    """The metrics of a prediction that SQL can make too; the median is a sketch and is left out."""
-    return m.evaluation_metrics(_naive(_split(spark, sf)), "Last value").drop("median_absolute_error").select(
+    """The metrics of a prediction that SQL can make too."""
+    return m.evaluation_metrics(_naive(_split(spark, sf)), "Last value").select(
         "model_name", *[F.round(c, 6).alias(c) for c in _METRICS]
     )
 
@@ -102,11 +103,12 @@ def fixed_price_anomalies(spark, sf):
     return m.price_anomalies(rows, Z_LIMIT).select("product_id", "category", "sale_date", "price", "residual")
 
 
-_METRICS = ["mean_absolute_error", "mean_squared_error", "mean_squared_log_error", "r2_score", "explained_variance"]
+_METRICS = ["mean_absolute_error", "mean_squared_error", "mean_squared_log_error", "median_absolute_error", "r2_score", "explained_variance"]
 
 QUERIES = {
     "model_refresh": model_refresh,
     "training_rows": lambda spark, sf: _split(spark, sf).select("product_id", "category", "sale_date", "label", "is_eval"),
+    "seq_split_rows": lambda spark, sf: f.seq_split_rows(stored(_features(spark, sf), "features")).select(*f.ROW_ORDER, "is_eval"),
     "naive_evaluation": naive_evaluation,
     "fixed_price_anomalies": fixed_price_anomalies,
     "forecast_grid": lambda spark, sf: _forecast(spark, sf).select("prediction_date", "product_id", "product_name", "category"),
@@ -139,14 +141,18 @@ recent AS (
   SELECT * FROM features
   WHERE sale_date >= CAST({_TODAY} - INTERVAL 6 MONTH AS DATE) AND sale_date < {_TODAY}
 ),
-per_day AS (SELECT sale_date, count(*) AS n FROM recent GROUP BY sale_date),
-flags AS (
-  SELECT sale_date, sum(n) OVER (ORDER BY sale_date) > sum(n) OVER () * (1 - 0.2) AS is_eval FROM per_day
-),
-split AS (SELECT * FROM recent JOIN flags USING (sale_date))"""
+split AS (
+  SELECT *, row_number() OVER (ORDER BY sale_date, product_id, product_name, category) > count(*) OVER () * 0.8 AS is_eval
+  FROM recent
+)"""
 _LAST_MONTHS = f"sale_date BETWEEN CAST({_TODAY} - INTERVAL 3 MONTH AS DATE) AND {_TODAY}"
 
 ORACLE: dict[str, str] = {
+    "seq_split_rows": f"""
+WITH {d.CLEANED_SQL}, {FEATURES_SQL}
+SELECT sale_date, product_id, product_name, category,
+       row_number() OVER (ORDER BY sale_date, product_id, product_name, category) > count(*) OVER () * 0.8 AS is_eval
+FROM features""",
     "training_rows": f"""
 WITH {d.CLEANED_SQL}, {FEATURES_SQL}, {_SPLIT_SQL}
 SELECT product_id, category, sale_date, CAST(daily_sales AS DOUBLE) AS label, is_eval FROM split""",
@@ -159,6 +165,7 @@ e AS (
 SELECT 'Last value' AS model_name, round(avg(abs(err)), 6) AS mean_absolute_error,
        round(avg(err * err), 6) AS mean_squared_error,
        round(avg((ln(1 + y) - ln(1 + p)) * (ln(1 + y) - ln(1 + p))), 6) AS mean_squared_log_error,
+       round(median(abs(err)), 6) AS median_absolute_error,
        round(1 - avg(err * err) / nullif(var_pop(y), 0), 6) AS r2_score,
        round(1 - var_pop(err) / nullif(var_pop(y), 0), 6) AS explained_variance
 FROM e""",

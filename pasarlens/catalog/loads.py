@@ -12,6 +12,7 @@ from pasarlens.catalog.datasets import AS_OF, EVENTS_AS_OF, sql_sum
 from pasarlens.catalog.snapshots import PERFORMANCE_SQL
 from pasarlens.operators import keys as k
 from pasarlens.operators.cleaning import coerce_reviews
+from pasarlens.operators.frequent import frequent_duplicates
 from pasarlens.operators.quality import envelope_structure, file_validation, required_rules, run_rules
 from pasarlens.operators.records import normalize_records
 from pasarlens.plans import daily_job
@@ -300,6 +301,8 @@ QUERIES = {
     "dedupe_first": _dedupe("first"),
     "dedupe_last": _dedupe("last"),
     "rewrite_without_duplicates": rewrite_without_duplicates,
+    "frequent_products": lambda spark, sf: frequent_duplicates(d.snapshots(spark, sf), "product_id", 50),
+    "frequent_orders": lambda spark, sf: frequent_duplicates(d.table(spark, sf, "lineitem"), "l_orderkey"),
     "check_duplicates": lambda spark, sf: k.check_duplicates(d.sales(spark, sf), KEY),
     "envelope_records": envelope_records,
     "envelope_structure": structure,
@@ -411,6 +414,13 @@ SELECT *, rows_updated + rows_inserted AS rows_affected FROM counts""",
     "rewrite_without_duplicates": f"""
 WITH {d.SALES_SQL}
 SELECT transaction_id, sale_date, product_id, total_amount FROM ({_deduped('true', 'ASC')})""",
+    "frequent_products": f"""
+WITH {d.SNAPSHOTS_SQL}
+SELECT product_id, count(*) AS "count" FROM snapshots GROUP BY product_id HAVING count(*) > 1
+ORDER BY 2 DESC, 1 NULLS FIRST LIMIT 50""",
+    "frequent_orders": """
+SELECT l_orderkey, count(*) AS "count" FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1
+ORDER BY 2 DESC, 1 NULLS FIRST LIMIT 100""",
     "check_duplicates": f"""
 WITH {d.SALES_SQL}
 SELECT transaction_id, count(*) AS "count" FROM sales GROUP BY transaction_id HAVING count(*) > 1

@@ -93,6 +93,7 @@ SELECT sale_date, count(transaction_id) AS transactions, {sql_sum("total_amount"
        round({sql_avg("total_amount")}, 0) AS avg_order_value
 FROM sales GROUP BY sale_date""",
     "daily_summary": _SUMMARY_SQL,
+    "summary_sample": _SUMMARY_SQL + "ORDER BY md5(CAST(summary_date AS VARCHAR)) LIMIT 100",
     "summary_preview": _SUMMARY_SQL + "ORDER BY summary_date DESC LIMIT 10",
     "category_revenue": f"""
 WITH {d.SALES_SQL}

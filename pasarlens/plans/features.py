@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pasarlens.functions import exact_avg, is_weekend, price_category
+from pasarlens.operators.ranks import numbered
 
 LAGS = (1, 7, 30)
 AVERAGES = (7, 30)
@@ -98,3 +102,35 @@ def seq_split(rows: DataFrame, day: str = "sale_date", eval_fraction: float = 0.
     so_far = F.sum("n").over(all_days.orderBy(day))
     flags = per_day.select(day, (so_far > F.sum("n").over(all_days) * (1 - eval_fraction)).alias("is_eval"))
     return rows.join(F.broadcast(flags), day)
+
+
+#: What orders the feature rows; no two of them agree in all of it.
+ROW_ORDER = ("sale_date", "product_id", "product_name", "category")
+
+
+def seq_split_rows(rows: DataFrame, order: Sequence[str] = ROW_ORDER, eval_fraction: float = 0.2) -> DataFrame:
+    """Flag exactly the last ``eval_fraction`` of the rows (rounded up) by an order that leaves no ties.
+
+    No row is moved: the first evaluation row is found, and each row is compared with it. Rows are counted per day; only
+    the keys of the day that holds the boundary are ranked, by ranges and counts per range. Rows without a day are left out; of
+    other null keys null comes first. Rows that agree in the whole order fall on one side. The rows are read three times, so they should be
+    stored.
+    """
+    day, *keys = order
+    known = rows.where(F.col(day).isNotNull())
+    per_day = known.groupBy(day).agg(F.count("*").alias("n"))
+    all_days = W.partitionBy(F.lit(0))
+    running = per_day.select(
+        day, F.sum("n").over(all_days.orderBy(day)).alias("until"), "n", F.sum("n").over(all_days).alias("total")
+    )
+    kept = F.floor(F.col("total") * F.lit(1 - Decimal(str(eval_fraction))))
+    edge = running.where(F.col("until") > kept).select("*", kept.alias("kept")).orderBy(day).first()
+    if edge is None:
+        return known.withColumn("is_eval", F.lit(False))
+    own = known.where(F.col(day) == F.lit(edge[day])).select(*keys)
+    placed = numbered(own, [F.asc_nulls_first(k) for k in keys], "place")
+    first = placed.where(F.col("place") == edge["kept"] - (edge["until"] - edge["n"])).first()
+    types = {f.name: f.dataType for f in rows.schema}
+    boundary = F.struct(*[F.lit(first[k]).cast(types[k]).alias(k) for k in keys])
+    after = (F.col(day) > F.lit(edge[day])) | ((F.col(day) == F.lit(edge[day])) & (F.struct(*keys) >= boundary))
+    return known.withColumn("is_eval", after)

@@ -14,7 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pasarlens.functions import exact_avg, in_window, is_weekend, segment_name
-from pasarlens.plans.features import seq_split
+from pasarlens.operators.selection import exact_median
+from pasarlens.plans.features import seq_split_rows
 from pasarlens.sources.tables import stored
 
 # The columns the models learn from.
@@ -62,10 +63,11 @@ def _inputs(numbers: list[str], categories: list[str], one_hot: bool) -> list:
 
 
 def training_window(features: DataFrame, as_of: date, months: int = 6) -> DataFrame:
-    """Feature rows of the last months before ``as_of``, split into training and evaluation rows."""
+    """Feature rows of the last months before ``as_of``, stored and split into training and evaluation rows: exactly the last fifth of
+    them, by day, product, name and category, is held out."""
     recent = features.where(in_window("sale_date", as_of, months=months) & (F.col("sale_date") < F.lit(as_of)))
     typed = _doubles(recent, SALES_NUMBERS).withColumn("label", F.col("daily_sales").cast("double"))
-    return seq_split(typed)
+    return seq_split_rows(stored(typed, "training_window"))
 
 
 def _fit(stages: list, training: DataFrame) -> PipelineModel:
@@ -109,19 +111,21 @@ def predict_sales(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def evaluation_metrics(predictions: DataFrame, model_name: str) -> DataFrame:
-    """One row of regression metrics, in one pass over the predictions.
-
-    The median is Spark's mergeable percentile sketch, whose size does not grow with the data.
-    """
-    actual, predicted = F.col("daily_sales").cast("double"), F.col("predicted_daily_sales")
+    """One row of regression metrics. The two columns they need are stored: the means take one pass, the exact median a few more, each
+    of which only counts."""
+    values = stored(
+        predictions.select(F.col("daily_sales").cast("double").alias("actual"), F.col("predicted_daily_sales").alias("predicted")),
+        "predictions",
+    )
+    actual, predicted = F.col("actual"), F.col("predicted")
     error = actual - predicted
     log_error = F.log1p(actual) - F.log1p(F.greatest(predicted, F.lit(0.0)))
     spread = F.var_pop(actual)
-    return predictions.agg(
+    return values.agg(
         F.avg(F.abs(error)).alias("mean_absolute_error"),
         F.avg(error * error).alias("mean_squared_error"),
         F.avg(log_error * log_error).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(error), 0.5, 10000).alias("median_absolute_error"),
+        F.lit(exact_median(values, F.abs(error))).cast("double").alias("median_absolute_error"),
         (1 - F.try_divide(F.avg(error * error), spread)).alias("r2_score"),
         (1 - F.try_divide(F.var_pop(error), spread)).alias("explained_variance"),
     ).select(F.lit(model_name).alias("model_name"), "*")

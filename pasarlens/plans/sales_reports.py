@@ -85,9 +85,11 @@ def summary_preview(summary: DataFrame, limit: int = 10) -> DataFrame:
     return summary.orderBy(F.desc("summary_date")).limit(limit)
 
 
-def summary_sample(summary: DataFrame, limit: int = 100) -> DataFrame:
-    """Any rows of a summary; which ones is not defined."""
-    return summary.limit(limit)
+def summary_sample(summary: DataFrame, limit: int = 100, key: str = "summary_date") -> DataFrame:
+    """The rows whose keys have the smallest MD5 digests: a sample that looks random, is the same on every run and is merged from the
+    smallest of each task. A null key has the digest of the empty text."""
+    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+    return summary.orderBy(digest, key).limit(limit)
 
 
 def category_revenue(sales: DataFrame) -> DataFrame:
