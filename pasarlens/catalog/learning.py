@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog.datasets import AS_OF
 from pasarlens.catalog.snapshots import FEATURES_SQL, Z_LIMIT
+from pasarlens.plans import attributions, model_store
 from pasarlens.plans import features as f
-from pasarlens.plans import model_store
 from pasarlens.plans import models as m
 from pasarlens.session import fresh_path
 from pasarlens.sources.tables import stored
@@ -103,6 +103,23 @@ def fixed_price_anomalies(spark, sf):
     return m.price_anomalies(rows, Z_LIMIT).select("product_id", "category", "sale_date", "price", "residual")
 
 
+_ROW = ["product_id", "product_name", "category", "sale_date"]
+
+
+def _tree_attributions(spark, sf):
+    return attributions.tree_attributions(_boosted(spark, sf), _split(spark, sf).where("is_eval"), _ROW)
+
+
+def _linear_attributions(spark, sf):
+    split = _split(spark, sf)
+    return attributions.linear_attributions(_linear(spark, sf), split.where("is_eval"), split.where("NOT is_eval"), _ROW)
+
+
+def _sums(attributed):
+    """Whether each row's attributions make its prediction."""
+    return attributed[0].select(*_ROW, attributions.adds_up().alias("adds_up"))
+
+
 _METRICS = ["mean_absolute_error", "mean_squared_error", "mean_squared_log_error", "median_absolute_error", "r2_score", "explained_variance"]
 
 QUERIES = {
@@ -117,6 +134,10 @@ QUERIES = {
         "product_id", "product_name", "category", F.col("segment").between(1, 5).alias("known_segment")
     ),
     "price_rows": lambda spark, sf: _expected_prices(spark, sf).select("product_id", "category", "sale_date", "price"),
+    "tree_attribution_sums": lambda spark, sf: _sums(_tree_attributions(spark, sf)),
+    "linear_attribution_sums": lambda spark, sf: _sums(_linear_attributions(spark, sf)),
+    "tree_explanation": lambda spark, sf: attributions.global_attributions(*_tree_attributions(spark, sf)),
+    "linear_explanation": lambda spark, sf: attributions.global_attributions(*_linear_attributions(spark, sf)),
     "sales_lr_predictions": lambda spark, sf: m.predict_sales(_linear(spark, sf), _split(spark, sf).where("is_eval")),
     "sales_gbt_predictions": lambda spark, sf: m.predict_sales(
         _boosted(spark, sf), _split(spark, sf).where("is_eval")
@@ -153,6 +174,9 @@ WITH {d.CLEANED_SQL}, {FEATURES_SQL}
 SELECT sale_date, product_id, product_name, category,
        row_number() OVER (ORDER BY sale_date, product_id, product_name, category) > count(*) OVER () * 0.8 AS is_eval
 FROM features""",
+    **dict.fromkeys(("tree_attribution_sums", "linear_attribution_sums"), f"""
+WITH {d.CLEANED_SQL}, {FEATURES_SQL}, {_SPLIT_SQL}
+SELECT product_id, product_name, category, sale_date, true AS adds_up FROM split WHERE is_eval"""),
     "training_rows": f"""
 WITH {d.CLEANED_SQL}, {FEATURES_SQL}, {_SPLIT_SQL}
 SELECT product_id, category, sale_date, CAST(daily_sales AS DOUBLE) AS label, is_eval FROM split""",
