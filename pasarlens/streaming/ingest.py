@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
-from pasarlens.operators.keys import append_new
 from pasarlens.operators.quality import file_validation
 from pasarlens.operators.records import normalize_records, quarantine, validate_required
 from pasarlens.plans.snapshot_reports import daily_totals
+from pasarlens.sources.key_index import BUCKET_KEYS, KeyIndex
 from pasarlens.sources.landing import CORRUPT, envelope_records, envelope_schema, unreadable_files
 
 
@@ -134,36 +134,22 @@ def refresh_daily_summary(
     run_available(batches, checkpoint, one_batch)
 
 
-#: Folders over which stored keys are spread; a batch reads only those its own keys fall into.
-KEY_BUCKETS = 64
-
-
 def append_new_keys(
-    batches: DataFrame, table: str, checkpoint: str, key: str, schema: T.StructType, buckets: int = KEY_BUCKETS
+    batches: DataFrame, table: str, checkpoint: str, key: str, schema: T.StructType, bucket_keys: int = BUCKET_KEYS
 ) -> None:
     """Append the rows of each micro-batch whose key no earlier batch has stored.
 
-    Rows are stored by batch; their keys beside them, in ``table``_keys, by a hash bucket, so that a batch reads the key
-    folders it touches and not every row stored so far. Both are replaced when a batch is replayed.
+    Rows are stored by batch; their keys beside them, in the index ``table``_keys, of which a batch reads filters and the few buckets
+    that may hold one of its keys. Everything a batch writes is replaced when it is replayed.
     """
-    spark = batches.sparkSession
-    keys = f"{table}_keys"
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
-    stored = T.StructType([schema[key], T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())])
+    index = KeyIndex(batches.sparkSession, f"{table}_keys", key, schema[key].dataType, bucket_keys)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            fresh = batch
-            if batch_id > 0:
-                touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
-                known = spark.read.schema(stored).parquet(keys).where(F.col("bucket").isin(touched))
-                fresh = append_new(batch, known.where(F.col("batch_id") < batch_id), key)
+            fresh, figures = index.fresh(batch, batch_id)
             _replace_batch(fresh, table, batch_id)
-            own = batch.select(key).distinct().select(key, bucket, F.lit(batch_id).cast("long").alias("batch_id"))
-            own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(
-                keys
-            )
+            index.add(fresh, batch_id, figures)
         finally:
             batch.unpersist()
 
