@@ -2,7 +2,7 @@
 
 from pasarlens.functions.calendar import in_window, is_weekend, month_text, week_start, weekday_name, window_start
 from pasarlens.functions.labels import discount_range, price_category, segment_name, stock_status
-from pasarlens.functions.money import as_exact, discounted, exact_avg, exact_stddev, exact_sum
+from pasarlens.functions.money import as_exact, discounted, exact_avg, exact_stddev, exact_sum, is_finite
 from pasarlens.functions.text import strip
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "exact_stddev",
     "exact_sum",
     "in_window",
+    "is_finite",
     "is_weekend",
     "month_text",
     "price_category",

@@ -18,7 +18,8 @@ def _as_column(value: Column | str) -> Column:
 
 
 def as_exact(value: Column | str, scale: int = 6) -> Column:
-    return _as_column(value).cast(T.DecimalType(22 + scale, scale))
+    """The value as a decimal; null if it is not a number, infinite or too large."""
+    return _as_column(value).try_cast(T.DecimalType(22 + scale, scale))
 
 
 def exact_sum(value: Column | str, scale: int = 6) -> Column:
@@ -26,8 +27,13 @@ def exact_sum(value: Column | str, scale: int = 6) -> Column:
 
 
 def exact_avg(value: Column | str, scale: int = 6) -> Column:
-    """Mean of the non-null values; null when there are none."""
-    return F.try_divide(exact_sum(value, scale), F.count(_as_column(value)))
+    """Mean of the values that can be summed exactly; null when there are none."""
+    return F.try_divide(exact_sum(value, scale), F.count(as_exact(value, scale)))
+
+
+def is_finite(value: Column | str) -> Column:
+    """Whether a double is neither NaN nor infinite; null for null."""
+    return F.abs(_as_column(value)) < F.lit(float("inf"))
 
 
 def exact_stddev(count: Column, total: Column, squares: Column) -> Column:
@@ -40,8 +46,9 @@ def exact_stddev(count: Column, total: Column, squares: Column) -> Column:
 
 
 def discounted(price: Column, discount_percent: Column) -> Column:
-    """Price after discount, rounded half up to cents; a missing discount counts as none. Price and discount enter with six
-    decimals; a discount above 100 gives a negative price, as it says."""
-    kept = 100 - F.coalesce(discount_percent, F.lit(0.0)).cast("decimal(14,6)")
-    exact = price.cast("decimal(18,6)") * kept * F.lit(0.01).cast("decimal(2,2)")
-    return F.round(exact, 2).cast("double")
+    """Price after discount, rounded half up to cents; a missing discount counts as none, and so does one that is not finite. Price and
+    discount enter with six decimals; a discount above 100 gives a negative price, as it says. Prices from 10^12 on, whose cents a
+    double hardly holds, are reckoned as doubles."""
+    kept = 100 - F.coalesce(F.when(is_finite(discount_percent), discount_percent), F.lit(0.0))
+    exact = price.try_cast("decimal(18,6)") * kept.try_cast("decimal(14,6)") * F.lit(0.01).cast("decimal(2,2)")
+    return F.coalesce(F.round(exact, 2).cast("double"), F.round(price * kept / 100, 2))

@@ -8,18 +8,18 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.functions import discounted, month_text, stock_status, strip, weekday_name
+from pasarlens.functions import discounted, is_finite, month_text, stock_status, strip, weekday_name
 
 
 def clean_sales(raw: DataFrame, day: date | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Cleaned, distinct snapshot rows; ``day`` restricts the run to one ingestion day.
+    """Cleaned, distinct snapshot rows with a positive, finite price; ``day`` restricts the run to one ingestion day.
 
     ``keep`` columns stay beside the row and count towards its distinctness.
     """
     if day is not None:
         raw = raw.where(F.col("ingestion_date") == F.lit(day))
     return (
-        raw.where((F.col("price") > 0) & F.col("product_id").isNotNull())
+        raw.where((F.col("price") > 0) & is_finite("price") & F.col("product_id").isNotNull())
         .select(
             *keep,
             "product_id",

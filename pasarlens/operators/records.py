@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.functions import strip
+from pasarlens.functions import is_finite, strip
 
 # The keys a raw record must carry to be ingested, and to count as valid in a file check.
 REQUIRED_KEYS = ["product_id", "product_name", "price", "category"]
@@ -73,10 +73,12 @@ def _typed(records: DataFrame, fields: dict[str, str], *keep: str) -> DataFrame:
 
 
 def _any_malformed(keys: Iterable[str]) -> Column:
-    """Over the output of ``_typed``."""
+    """Over the output of ``_typed``; a double that is not finite is no number either."""
     bad = F.lit(False)
     for key in keys:
         bad = bad | _is_malformed(key, F.col(key))
+        if NUMBER_FIELDS[key] == "double":
+            bad = bad | F.coalesce(~is_finite(key), F.lit(False))
     return bad
 
 
