@@ -120,6 +120,30 @@ snapshots AS (
 )"""
 
 
+def odd_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots of lines 1 to 4 with prices that are not finite, or very large, in one order of fifty."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("amount"), _key("PROD", "l_partkey").alias("product_id"),
+        (F.col("l_orderkey") % 50 == 1).alias("odd"), F.col("l_shipdate").alias("timestamp"), F.round(F.col("l_discount") * 500, 0).alias("discount_percent"),
+    )
+    price = F.col("amount").cast("decimal(14,2)").cast("double")
+    for line, value in ((1, float("nan")), (2, float("inf")), (3, float("-inf")), (4, 2e13)):
+        price = F.when(F.col("odd") & (F.col("line") == line), F.lit(value)).otherwise(price)
+    texts = {c: F.concat(F.lit(f"{c} "), F.col("line").cast("string")) for c in ("product_name", "category", "seller_name", "seller_location")}
+    numbers = {c: F.lit(1).cast("bigint") for c in ("sales_count", "review_count", "stock")}
+    return lines.where("line <= 4").withColumns({"price": price, "rating": F.lit(4.0), **texts, **numbers})
+
+
+ODD_SNAPSHOTS_SQL = """
+odd_snapshots AS (
+  SELECT 'PROD' || l_partkey AS product_id, 'CATEGORY ' || l_linenumber AS category, l_shipdate AS "timestamp",
+         CASE WHEN l_orderkey % 50 <> 1 OR l_linenumber > 4 THEN CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS DOUBLE)
+              ELSE CAST(['nan', 'inf', '-inf', '2e13'][l_linenumber] AS DOUBLE) END AS price,
+         round(l_discount * 500, 0) AS discount_percent
+  FROM lineitem WHERE l_linenumber <= 4
+)"""
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_sales(snapshots(spark, sf_dir))
 

@@ -20,7 +20,7 @@ from pasarlens.plans import snapshot_reports as r
 from pasarlens.plans.sales_reports import category_revenue
 from pasarlens.schemas import REVIEWS, SNAPSHOTS
 from pasarlens.session import fresh_path
-from pasarlens.sources import delimited, landing, tables
+from pasarlens.sources import clustered, delimited, landing, tables
 
 KEY = "transaction_id"
 TIES = ("sale_date", "product_id", "seller_name", "total_amount")
@@ -285,7 +285,19 @@ def refresh_reports(spark, sf):
     )
 
 
+#: A seller of the given tables, which is the second clustering column.
+ONE_SELLER = "Supplier#000000003"
+
+
+def clustered_sales(spark, sf):
+    """One seller's sales, read from a table clustered by category and seller."""
+    path = fresh_path(spark, "clustered")
+    clustered.write_clustered(d.sales(spark, sf), path, ["category", "seller_name"], 32)
+    return clustered.read_clustered(spark, path, {"seller_name": ONE_SELLER})
+
+
 QUERIES = {
+    "clustered_sales": clustered_sales,
     "conform_reviews": lambda spark, sf: tables.conform(d.reviews(spark, sf), REVIEWS),
     "required_columns": lambda spark, sf: run_rules(d.snapshots(spark, sf), required_rules(SNAPSHOTS)),
     "run_day": run_day,
@@ -355,6 +367,8 @@ _REVENUE = f"category, count(*) AS transactions, {sql_sum('total_amount')} AS re
 _CSV_COLUMNS = "* EXCLUDE (ingestion_date)"
 
 ORACLE = {
+    "clustered_sales": f"""
+WITH {d.SALES_SQL} SELECT * FROM sales WHERE seller_name = '{ONE_SELLER}'""",
     "conform_reviews": f"""
 WITH {d.REVIEWS_SQL}
 SELECT *, CAST(NULL AS VARCHAR) AS product_variant, CAST(NULL AS VARCHAR) AS product_url,

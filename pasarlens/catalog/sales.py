@@ -42,7 +42,7 @@ QUERIES = {
     "recent_window": lambda spark, sf: window_totals(d.sales(spark, sf), AS_OF, WINDOWS),
 }
 
-_SUMMARY_SQL = f"""
+SUMMARY_SQL = f"""
 WITH {d.SALES_SQL},
 largest AS (
   SELECT sale_date, category AS top_category, product_name AS top_product,
@@ -92,9 +92,9 @@ WITH {d.SALES_SQL}
 SELECT sale_date, count(transaction_id) AS transactions, {sql_sum("total_amount")} AS revenue,
        round({sql_avg("total_amount")}, 0) AS avg_order_value
 FROM sales GROUP BY sale_date""",
-    "daily_summary": _SUMMARY_SQL,
-    "summary_sample": _SUMMARY_SQL + "ORDER BY md5(CAST(summary_date AS VARCHAR)) LIMIT 100",
-    "summary_preview": _SUMMARY_SQL + "ORDER BY summary_date DESC LIMIT 10",
+    "daily_summary": SUMMARY_SQL,
+    "summary_sample": SUMMARY_SQL + "ORDER BY md5(CAST(summary_date AS VARCHAR)) LIMIT 100",
+    "summary_preview": SUMMARY_SQL + "ORDER BY summary_date DESC LIMIT 10",
     "category_revenue": f"""
 WITH {d.SALES_SQL}
 SELECT category, count(*) AS transactions, {sql_sum("total_amount")} AS revenue FROM sales GROUP BY category""",

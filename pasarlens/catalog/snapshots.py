@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog.datasets import AS_OF, EVENTS_AS_OF, sql_avg, sql_sum
-from pasarlens.functions import discounted, price_category, stock_status
+from pasarlens.functions import discounted, exact_avg, price_category, stock_status
 from pasarlens.operators import quality as q
+from pasarlens.operators.cleaning import clean_sales
 from pasarlens.operators.records import coerce_types, normalize_records, quarantine, to_records, validate_required
 from pasarlens.plans import features as f
 from pasarlens.plans import models as m
 from pasarlens.plans import snapshot_reports as r
+from pasarlens.session import fresh_path
+from pasarlens.sources.tables import stored
 
 Z_LIMIT = 1.7  # the given prices are spread evenly, so none lies three deviations from its category's mean
 
@@ -50,7 +55,22 @@ def _text(field: str):
     return F.try_variant_get("record", f"$.{field}", "string").alias(field)
 
 
+#: Days up to which the features are brought forward, one step after the other.
+FEATURE_STEPS = (date(1997, 1, 1), date(2001, 6, 1), date(2001, 6, 8), date(2100, 1, 1))
+
+
+def incremental_features(spark, sf):
+    """Features brought forward in steps, each from the step before and its own days."""
+    root, since = fresh_path(spark, "features"), None
+    cleaned = stored(d.cleaned(spark, sf), "cleaned")
+    for until in FEATURE_STEPS:
+        f.advance_features(cleaned, root, since, until)
+        since = until
+    return f.advanced_features(spark, root).where("sales_lag_1 IS NOT NULL")
+
+
 QUERIES = {
+    "incremental_features": incremental_features,
     "validate_required": lambda spark, sf: validate_required(_records(spark, sf)).select(
         *[_text(c) for c in ("product_id", "product_name", "category", "seller_name")]
     ),
@@ -110,6 +130,10 @@ QUERIES = {
         "product_id", "product_name", "category", "sale_date", "daily_sales", "is_eval"
     ),
     "cluster_features": lambda spark, sf: m.cluster_features(d.cleaned(spark, sf), AS_OF),
+    "finite_prices": lambda spark, sf: clean_sales(d.odd_snapshots(spark, sf)).groupBy("category").agg(
+        F.count("*").alias("rows"), exact_avg("price").alias("avg_price"), F.max("price").alias("max_price"),
+        F.max("discount_price").alias("max_discount_price"),
+    ),
     "price_zscore": lambda spark, sf: m.price_zscore(d.cleaned(spark, sf), Z_LIMIT),
 }
 
@@ -193,6 +217,18 @@ broken AS (
 _GROUPS = "(SELECT count(*) AS copies FROM snapshots GROUP BY product_id, \"timestamp\")"
 
 ORACLE = {
+    "finite_prices": f"""
+WITH {d.ODD_SNAPSHOTS_SQL},
+kept AS (
+  SELECT DISTINCT product_id, category, "timestamp", price, discount_percent,
+         CASE WHEN price < 1e12 THEN CAST(round(CAST(price AS DECIMAL(20,6)) * (100 - CAST(discount_percent AS DECIMAL(9,6)))
+                                                * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE)
+              ELSE price * (100 - discount_percent) / 100 END AS discount_price
+  FROM odd_snapshots WHERE price > 0 AND isfinite(price)
+)
+SELECT category, count(*) AS "rows", {sql_avg("price")} AS avg_price, max(price) AS max_price,
+       max(discount_price) AS max_discount_price
+FROM kept GROUP BY category""",
     "validate_required": f"""
 WITH {d.SNAPSHOTS_SQL}
 SELECT product_id, product_name, category, seller_name FROM snapshots WHERE {_PRESENT}""",
@@ -339,6 +375,7 @@ found AS (
 SELECT metric, bad_rows, CASE WHEN bad_rows > 0 THEN 'warning' ELSE 'ok' END AS status FROM found""",
     "sales_lags": f"WITH {d.CLEANED_SQL}, {_DAYS_SQL} SELECT *, {_lag(1)}, {_lag(7)}, {_lag(30)} FROM days",
     "moving_averages": f"WITH {d.CLEANED_SQL}, {_DAYS_SQL} SELECT *, {_mean(7)}, {_mean(30)} FROM days",
+    "incremental_features": f"WITH {d.CLEANED_SQL}, {FEATURES_SQL} SELECT * FROM features",
     "ml_features": f"WITH {d.CLEANED_SQL}, {FEATURES_SQL} SELECT * FROM features",
     "calendar_features": f"""
 WITH {d.CLEANED_SQL}

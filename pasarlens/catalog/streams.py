@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog.datasets import AS_OF
 from pasarlens.catalog.loads import KEY, envelope_folder
+from pasarlens.catalog.sales import SUMMARY_SQL
 from pasarlens.catalog.snapshots import PER_DAY_SQL, with_revenue
+from pasarlens.plans import summary_states
 from pasarlens.session import fresh_path
 from pasarlens.streaming import alert_policy, alerts, ingest
 
@@ -82,6 +84,16 @@ def stream_append_new(spark, sf):
     return spark.read.parquet(table).drop("batch_id")
 
 
+def summary_from_states(spark, sf):
+    """Sales arrive in two parts that share days; the summary is merged from the states of both."""
+    root, checkpoint, arrivals = (fresh_path(spark, n) for n in ("states", "checkpoint", "arrivals"))
+    sales = d.sales(spark, sf)
+    for part in (F.col("discount_percent") < 5, F.col("discount_percent") >= 5):
+        sales.where(part).write.mode("append").parquet(arrivals)
+        summary_states.stream_states(spark.readStream.schema(sales.schema).parquet(arrivals), root, checkpoint)
+    return summary_states.stored_summary(spark, root, d.CREATED_AT)
+
+
 def _buckets(spark, sf, seconds):
     # A file stream needs a folder or a pattern; this one fits the table alone, kept as one file or as a folder.
     stream = spark.readStream.schema(d.table(spark, sf, "events").schema).parquet(f"{sf}/events.parque[t]")
@@ -140,6 +152,7 @@ QUERIES = {
     "late_rows": late_rows,
     "stream_daily_summary": stream_daily_summary,
     "stream_append_new": stream_append_new,
+    "summary_from_states": summary_from_states,
     "error_alerts": lambda spark, sf: alerts.error_alerts(_buckets(spark, sf, HOUR), HOUR, ALERT_ERRORS),
     "cost_alerts": lambda spark, sf: alerts.cost_alerts(_buckets(spark, sf, DAY)),
     "execution_rate": lambda spark, sf: alerts.execution_rate(_buckets(spark, sf, 60), 60),
@@ -220,6 +233,7 @@ SELECT true AS is_valid, count(*) FILTER (WHERE product_id IS NOT NULL AND price
        count(*) FILTER (WHERE product_id IS NULL OR price IS NULL) AS invalid_records
 FROM snapshots""",
     "stream_daily_summary": f"WITH {d.SNAPSHOTS_SQL}, {PER_DAY_SQL} SELECT * FROM per_day",
+    "summary_from_states": SUMMARY_SQL,
     "stream_append_new": f"""
 WITH {d.SALES_SQL}
 SELECT * FROM sales WHERE sale_date < DATE '2000-01-01'

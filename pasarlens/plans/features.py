@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pasarlens.functions import exact_avg, is_weekend, price_category
 from pasarlens.operators.ranks import numbered
+from pasarlens.sources.tables import stored
 
 LAGS = (1, 7, 30)
 AVERAGES = (7, 30)
@@ -68,9 +70,9 @@ def calendar_features(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def feature_history(cleaned: DataFrame) -> DataFrame:
-    """All feature rows, the first day of a product (which has no lag) included."""
-    days = _by_product_day(cleaned, F.max("review_count").alias("review_count")).withColumns(
+def _feature_days(cleaned: DataFrame) -> DataFrame:
+    """Feature rows without what depends on earlier ones."""
+    return _by_product_day(cleaned, F.max("review_count").alias("review_count")).withColumns(
         {
             "day_of_week": F.dayofweek("sale_date"),
             "day_of_month": F.dayofmonth("sale_date"),
@@ -80,7 +82,11 @@ def feature_history(cleaned: DataFrame) -> DataFrame:
             "price_category": price_category(F.col("avg_price")),
         }
     )
-    return days.withColumns({**_lag_columns(), **_average_columns()})
+
+
+def feature_history(cleaned: DataFrame) -> DataFrame:
+    """All feature rows, the first day of a product (which has no lag) included."""
+    return _feature_days(cleaned).withColumns({**_lag_columns(), **_average_columns()})
 
 
 def ml_features(cleaned: DataFrame) -> DataFrame:
@@ -104,6 +110,42 @@ def seq_split(rows: DataFrame, day: str = "sale_date", eval_fraction: float = 0.
     return rows.join(F.broadcast(flags), day)
 
 
+#: Rows of a product that later lags and averages look back to.
+TAIL_ROWS = max(*LAGS, *AVERAGES)
+_TAIL = ["product_id", "product_name", "category", "sale_date", "daily_sales"]
+
+
+def advance_features(cleaned: DataFrame, root: str, since: date | None, until: date) -> None:
+    """Bring stored features forward to ``until`` with the rows of the days after ``since``.
+
+    Beside the features a tail is kept, the last ``TAIL_ROWS`` rows of each product; lags and averages of the new days need nothing older,
+    so that a step reads the tail and its own days, however long the history is. The first step has no ``since``. A step
+    replaces what an earlier run of the same step has written. Days must be complete when their step runs.
+    """
+    spark = cleaned.sparkSession
+    day = F.col("sale_date")
+    own = cleaned.where(day <= F.lit(until))
+    own = own if since is None else own.where(day > F.lit(since))
+    days = stored(_feature_days(own), "feature_days").withColumn("_new", F.lit(True))
+    touched = days.select("product_id").distinct()
+    both, rest = days, None
+    if since is not None:
+        tail = spark.read.parquet(f"{root}/tail/upto={since}")
+        both = days.unionByName(tail.join(touched, "product_id", "left_semi").withColumn("_new", F.lit(False)), allowMissingColumns=True)
+        rest = tail.join(touched, "product_id", "left_anti")
+    new = both.withColumns({**_lag_columns(), **_average_columns()}).where("_new").drop("_new")
+    new.write.mode("overwrite").parquet(f"{root}/features/upto={until}")
+    newest = W.partitionBy("product_id").orderBy(F.desc("sale_date"), F.desc("product_name"), F.desc("category"))
+    last = both.select(*_TAIL, F.row_number().over(newest).alias("_nth")).where(F.col("_nth") <= TAIL_ROWS).drop("_nth")
+    last = last if rest is None else last.unionByName(rest)
+    last.write.mode("overwrite").parquet(f"{root}/tail/upto={until}")
+
+
+def advanced_features(spark: SparkSession, root: str) -> DataFrame:
+    """The feature rows of all steps."""
+    return spark.read.parquet(f"{root}/features").drop("upto")
+
+
 #: What orders the feature rows; no two of them agree in all of it.
 ROW_ORDER = ("sale_date", "product_id", "product_name", "category")
 

@@ -237,8 +237,10 @@ def _with_zscore(rows: DataFrame, value: str) -> DataFrame:
 
     The two moments per category are an aggregate with map-side partials. They are stored first, one row per category: then
     their size is known and Spark broadcasts them while they are small, so the rows do not move, and a category with most of
-    the rows is neither sorted nor gathered. Exact sums keep the score the same on every run.
+    the rows is neither sorted nor gathered. Exact sums keep the score the same on every run. The rows are stored as well, so that
+    what makes them runs once.
     """
+    rows = stored(rows, "scored")
     x = F.col(value).cast("decimal(14,2)")
     n, total, squares = F.count(x), F.sum(x).cast("double"), F.sum(x * x).cast("double")
     mean = total / n

@@ -21,7 +21,7 @@ def daily_totals(raw: DataFrame) -> DataFrame:
         F.sum(as_exact("revenue")).alias("revenue"),
         F.sum("sales_count").alias("units"),
         F.sum(as_exact("price")).alias("price_sum"),
-        F.count("price").alias("priced"),
+        F.count(as_exact("price")).alias("priced"),
     )
     best = F.min(F.struct(F.col("units").isNull(), -F.col("units"), "category"))
     return per_category.groupBy(F.col("ingestion_date").alias("summary_date")).agg(
