@@ -68,6 +68,10 @@ def _forecast(spark, sf):
     return m.sales_forecast(_boosted(spark, sf), f.feature_history(d.cleaned(spark, sf)), AS_OF)
 
 
+def _average_forecast(spark, sf):
+    return m.average_forecast(f.feature_history(d.cleaned(spark, sf)), AS_OF)
+
+
 def _expected_prices(spark, sf):
     return m.predict_price(_price(spark, sf), _price_rows(spark, sf))
 
@@ -152,6 +156,9 @@ QUERIES = {
     "price_model": _expected_prices,
     "price_anomalies": lambda spark, sf: m.price_anomalies(_expected_prices(spark, sf), Z_LIMIT),
     "sales_forecast": _forecast,
+    "average_forecast": _average_forecast,
+    "average_insights": lambda spark, sf: m.prediction_insights(_average_forecast(spark, sf), AS_OF),
+    "average_check": lambda spark, sf: m.prediction_check(_average_forecast(spark, sf), AS_OF),
     "prediction_insights": lambda spark, sf: m.prediction_insights(_forecast(spark, sf), AS_OF),
     "prediction_check": lambda spark, sf: m.prediction_check(_forecast(spark, sf), AS_OF),
 }
@@ -168,7 +175,28 @@ split AS (
 )"""
 _LAST_MONTHS = f"sale_date BETWEEN CAST({_TODAY} - INTERVAL 3 MONTH AS DATE) AND {_TODAY}"
 
+_AVERAGE_SQL = f"""
+WITH {d.CLEANED_SQL}, {FEATURES_SQL},
+latest AS (
+  SELECT * FROM (
+    SELECT product_id, product_name, category, sales_ma_7,
+           row_number() OVER (PARTITION BY product_id ORDER BY sale_date DESC, product_name, category) AS place
+    FROM history WHERE sale_date <= {_TODAY})
+  WHERE place = 1
+),
+forecast AS (
+  SELECT CAST({_TODAY} + CAST(i AS INTEGER) AS DATE) AS prediction_date, product_id, product_name, category,
+         sales_ma_7 AS predicted_daily_sales
+  FROM latest, range(8) t(i)
+)"""
+_HIGHEST = "ORDER BY predicted_daily_sales DESC, product_id, prediction_date LIMIT 10"
+
 ORACLE: dict[str, str] = {
+    "average_forecast": f"{_AVERAGE_SQL} SELECT * FROM forecast",
+    "average_insights": f"""{_AVERAGE_SQL}
+SELECT product_name, category, prediction_date, round(predicted_daily_sales, 0) AS predicted_sales FROM forecast {_HIGHEST}""",
+    "average_check": f"""{_AVERAGE_SQL}
+SELECT product_name, prediction_date, predicted_daily_sales FROM forecast {_HIGHEST}""",
     "seq_split_rows": f"""
 WITH {d.CLEANED_SQL}, {FEATURES_SQL}
 SELECT sale_date, product_id, product_name, category,

@@ -238,13 +238,13 @@ def backup_export(spark, sf):
 RUN_DAY = date(2001, 7, 20)
 
 
-def _run_day(spark, sf, times=1):
-    """The daily run over all landed snapshots, cleaning one ingestion day; returns the warehouse folder."""
+def _run_day(spark, sf, times=1, day=RUN_DAY):
+    """The daily run over all landed snapshots, cleaning one ingestion day or all; returns the warehouse folder."""
     landed, warehouse, staging = (fresh_path(spark, n) for n in ("landed", "warehouse", "staging"))
     snapshots = d.snapshots(spark, sf)
     snapshots.write.json(landed)
     for _ in range(times):
-        daily_job.run_day(spark, landed, warehouse, staging, SNAPSHOTS, AS_OF, RUN_DAY)
+        daily_job.run_day(spark, landed, warehouse, staging, SNAPSHOTS, AS_OF, day)
     return warehouse
 
 
@@ -252,6 +252,10 @@ def run_day(spark, sf):
     return spark.read.parquet(f"{_run_day(spark, sf)}/product_performance")
 
 
+def run_all_days(spark, sf):
+    return spark.read.parquet(f"{_run_day(spark, sf, day=None)}/product_performance")
+
+
 def run_day_quality(spark, sf):
     return spark.read.parquet(f"{_run_day(spark, sf)}/quality_report").drop("ingestion_date")
 
@@ -301,6 +305,7 @@ QUERIES = {
     "conform_reviews": lambda spark, sf: tables.conform(d.reviews(spark, sf), REVIEWS),
     "required_columns": lambda spark, sf: run_rules(d.snapshots(spark, sf), required_rules(SNAPSHOTS)),
     "run_day": run_day,
+    "run_all_days": run_all_days,
     "run_day_quality": run_day_quality,
     "run_day_twice": run_day_twice,
     "new_files_gate": new_files_gate,
@@ -381,6 +386,7 @@ FROM reviews""",
         for c in ("product_id", "product_name", "category", "price", "timestamp", "ingestion_date")
     ),
     "run_day": f"WITH {_DAY_SQL}, {PERFORMANCE_SQL} SELECT * FROM performance",
+    "run_all_days": f"WITH {d.CLEANED_SQL}, {PERFORMANCE_SQL} SELECT * FROM performance",
     "run_day_quality": f"""
 WITH {d.SNAPSHOTS_SQL},
 rows_of_day AS (SELECT * FROM snapshots WHERE ingestion_date = DATE '{RUN_DAY}'),

@@ -267,30 +267,34 @@ def price_zscore(cleaned: DataFrame, limit: float) -> DataFrame:
     return _with_zscore(rows, "price").where(F.abs("z_score") > limit)
 
 
-def sales_forecast(model: PipelineModel, features: DataFrame, as_of: date, days: int = 7) -> DataFrame:
-    """Predicted units per product for ``as_of`` and the following days.
-
-    The newest feature row of each product is repeated for every day with that day's calendar values; lags and
-    averages stay as they are. The rank filter keeps one row per product and task before the shuffle.
-    """
+def forecast_grid(features: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+    """The newest feature row of each product for ``as_of`` and the following days, with each day's calendar values; lags and averages
+    stay as they are. The rank filter keeps one row per product and task before the shuffle."""
     newest = W.partitionBy("product_id").orderBy(F.desc("sale_date"), "product_name", "category")
     past = features.where(F.col("sale_date") <= F.lit(as_of))
     latest = past.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")
     ahead = F.sequence(F.lit(as_of), F.date_add(F.lit(as_of), days))
-    grid = latest.withColumn("prediction_date", F.explode(ahead)).withColumns(
+    return latest.withColumn("prediction_date", F.explode(ahead)).withColumns(
         {
             "day_of_week": F.dayofweek("prediction_date"),
             "month": F.month("prediction_date"),
             "is_weekend": is_weekend("prediction_date"),
         }
     )
-    return model.transform(_doubles(grid, SALES_NUMBERS)).select(
-        "prediction_date",
-        "product_id",
-        "product_name",
-        "category",
-        F.col("prediction").alias("predicted_daily_sales"),
-    )
+
+
+_PREDICTION = ["prediction_date", "product_id", "product_name", "category"]
+
+
+def sales_forecast(model: PipelineModel, features: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+    """Predicted units per product for ``as_of`` and the following days."""
+    grid = forecast_grid(features, as_of, days)
+    return model.transform(_doubles(grid, SALES_NUMBERS)).select(*_PREDICTION, F.col("prediction").alias("predicted_daily_sales"))
+
+
+def average_forecast(features: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+    """The mean of a product's last seven rows as the prediction: a yardstick for the models that needs no fit."""
+    return forecast_grid(features, as_of, days).select(*_PREDICTION, F.col("sales_ma_7").alias("predicted_daily_sales"))
 
 
 def prediction_insights(predictions: DataFrame, as_of: date, days: int = 7, limit: int = 10) -> DataFrame:

@@ -105,3 +105,14 @@ def test_amount_uses_the_untruncated_price(spark):
 def test_exact_average_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "x double")
     assert empty.agg(fn.exact_avg("x")).first()[0] is None
+
+
+def test_odd_numbers_neither_stop_nor_skew(spark):
+    from pasarlens.functions import discounted, exact_avg, exact_sum
+
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(nan, 5.0), (5.0, nan), (inf, 1.0), (-inf, None), (1e13, 10.0), (None, 1.0), (1e300, 0.0)], "x double, d double")
+    row = df.where("x <= 1e13 OR x IS NULL OR isnan(x)").agg(exact_avg("x"), exact_sum("x")).first()
+    assert tuple(row) == ((1e13 + 5) / 2, 1e13 + 5)
+    priced = df.where("x > 0 AND x < double('Infinity')").select(discounted(F.col("x"), F.col("d")).alias("p")).collect()
+    assert sorted(p.p for p in priced) == [5.0, 9e12, 1e300]

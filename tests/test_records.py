@@ -63,3 +63,14 @@ def test_every_record_is_either_loaded_or_quarantined(json_records):
     rows = json_records(FULL, '{"price":"x"}', FULL.replace(":1", ':"x"'), FULL.replace(":1", ":1,\"stock\":\"1.5\""))
     loaded = r.normalize_records(r.validate_required(rows), DAY).count()
     assert (loaded, r.quarantine(rows).count()) == (1, 3)
+
+
+def test_numbers_that_are_not_finite_are_turned_away(spark):
+    rows = [("a", 1.0, 2.0), ("nan", float("nan"), 1.0), ("inf", float("inf"), 1.0), ("rated", 1.0, float("-inf")), ("none", None, None)]
+    df = spark.createDataFrame(rows, "product_id string, price double, rating double")
+    fields = [F.col("product_id"), F.lit("n").alias("product_name"), F.col("price"), F.lit("c").alias("category"), F.col("rating")]
+    records = df.select(F.to_variant_object(F.struct(*fields)).alias("record"))
+    assert sorted(x.product_id for x in r.normalize_records(records, DAY).collect()) == ["a", "none"]
+    turned_away = r.quarantine(records).collect()
+    assert [x.reason for x in turned_away] == ["malformed number"] * 3
+    assert sorted(ids(r.coerce_types(records))) == ["a", "none", "rated"]
