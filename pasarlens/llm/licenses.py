@@ -5,7 +5,8 @@ In a text the words with the highest inverse template frequency are looked up; a
 its rare words stand at the same relative position, and named only if its key phrases stand there in full.
 
 Results in special cases: a null text is the empty text (no words, no labels, score 0); a null id is passed on; repeated rows are
-scanned one by one; an empty table gives an empty result; other columns are ignored.
+scanned one by one; an empty table gives an empty result; other columns are ignored. A text of any length is scanned whole; of
+templates that match equally well all are labels.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Personal data: expressions propose spans, checksums confirm them, nearby words adjust the score.
 
 Positions are code points, end exclusive. Results in special cases: a null text is the empty text and has no spans; a null id is
-passed on; repeated rows are searched one by one; an empty table gives an empty result; other columns are ignored.
+passed on; repeated rows are searched one by one; an empty table gives an empty result; other columns are ignored. A text of
+any length is searched whole; spans of different kinds may overlap, and equal starts are listed in the order of the kinds.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ does not depend on the input; only their measures are sent there. Scoring covers
 
 Results in special cases: a null text is the empty text and is scored as such; a null id is passed on and not held out; rows without a
 label, or with another label than 0 and 1, are not learned from; with labels of one kind or none the score is the share of
-label 1 (0.5 without any); repeated rows are scored each; an empty table gives an empty result; other columns are ignored.
+label 1 (0.5 without any); repeated rows are scored each; an empty table gives an empty result; other columns are ignored. A text
+of any length is measured whole; a score of exactly 0.5 predicts label 1.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one projection, without user functions.
 
 Results in special cases: a null text is the empty text (no words, so it fails the base); a null id is passed on; repeated
-rows are judged one by one; an empty table gives an empty result; other columns of the input are ignored.
+rows are judged one by one; an empty table gives an empty result; other columns of the input are ignored. A text of any length is
+measured whole; a ratio exactly at its threshold passes.
 """
 
 from __future__ import annotations

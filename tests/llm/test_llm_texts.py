@@ -307,3 +307,8 @@ def test_pieces_that_hash_alike_are_encoded_apart(monkeypatch, name):
 def test_digest_of_ids_is_little_endian(documents):
     row = byte_bpe.encode_documents(documents.limit(1), MULTI).select("ids", F.sha2("ids", 256).alias("h")).first()
     assert hashlib.sha256(bytes(row["ids"])).hexdigest() == row["h"]
+
+
+def test_coding_and_scanning_of_empty_tables(empty):
+    assert byte_bpe.encode_documents(empty, MULTI, decode=True).count() == 0
+    assert licenses.scan_licenses(empty).count() == 0
