@@ -218,13 +218,16 @@ def training_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = min(TRAIN_DOCS, TRAIN_ROWS // max(1, counts.count()) or 1)
     share = F.lit(float(each << 30)) / F.col("count")
     chosen = labelled.join(counts, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
-    texts = _rows(df, id_col, text_col).where("text IS NOT NULL").join(chosen.select("doc_id", "lang"), "doc_id")
+    # about TRAIN_ROWS pairs of an id and a language, so that the texts stay where they are
+    chosen = F.broadcast(stored(chosen.select("doc_id", "lang").distinct(), "chosen"))
+    texts = _rows(df, id_col, text_col).where("text IS NOT NULL").join(chosen, "doc_id")
     spare = F.greatest(F.char_length("text") - TRAIN_WINDOW, F.lit(0))
     # one place in each of equal parts of the text
     drawn = texts.select("lang", "text", spare.alias("spare"), F.explode(F.sequence(F.lit(0), F.lit(TRAIN_PIECES - 1))).alias("i"), "doc_id")
     within = F.pmod(F.xxhash64("doc_id", "i"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     start = F.floor((F.col("i") + within) * F.col("spare") / TRAIN_PIECES).cast("int") + 1
-    return drawn.select("lang", F.substring(F.col("text"), start, F.lit(TRAIN_WINDOW)).alias("text"))
+    # equal rows give equal pieces, which count once
+    return drawn.select("lang", F.substring(F.col("text"), start, F.lit(TRAIN_WINDOW)).alias("text")).distinct()
 
 
 def score_limit(
@@ -235,7 +238,9 @@ def score_limit(
     held_out = _labelled(df, id_col, lang_col).where(remainder("doc_id", 4) == 2)
     share = float(LIMIT_ROWS << 30) / max(1, held_out.count())
     chosen = held_out.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
-    texts = df.select(id_col, text_col).join(chosen.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi")
+    # about LIMIT_ROWS pairs
+    chosen = F.broadcast(stored(chosen.distinct(), "chosen"))
+    texts = df.select(id_col, text_col).join(chosen.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
     found = label_languages(texts, net, id_col, text_col).join(chosen, "doc_id").where("lang_pred = lang")
     limit = found.agg(F.percentile_approx("score", wrong, 10000)).first()[0]
     return limit if limit is not None else 1.0 / max(1, len(net.languages))
