@@ -4,7 +4,8 @@ Windows of ``WINDOW`` words are the edges of a De Bruijn graph over words. Conse
 of smallest hash in the window) form a path; equal windows always have equal minimizers, so paths meet only where minimizers do.
 
 1. Minimizers that occur once are found cheaply: each task sends packed 32-bit hashes by bucket, and those counted twice or more set bits
-   of a table of fixed size. The table lets through every repeated minimizer and few others; frequent ones have a second bit.
+   of a table. Buckets and bits grow with the text. The table lets through every repeated minimizer and few others; frequent ones
+   have a second bit. It is broadcast if its counted rows are few, and else joined over a shuffle that adaptive execution can split.
 2. The remaining paths meet at their minimizer. Where all of them are equal the path does not branch, and the smallest id
    among its source coordinates decides for all its edges at once: these paths stay compact.
 3. Paths that branch are taken apart: their edges are read again from the source text at their coordinates and are reduced to
@@ -49,11 +50,15 @@ WINDOW = 13
 ANCHOR = 5
 #: Occurrences up to which a minimizer's paths are compared in one group.
 FREQUENT = 1000
-#: Words of 64 bits in the table of repeated minimizers: 8 MB of bits, whatever the input.
-TABLE_WORDS = 1 << 20
-#: Text bytes for each bucket of packed hashes, and the most buckets.
+#: Text bytes for each word of 64 bits in the table of repeated minimizers, and the fewest words. A path starts every 30 bytes or so, so
+#: at most an eighth of the bits is ever set, at any size.
+WORD_BYTES = 512
+LEAST_WORDS = 1 << 20
+#: Rows of that table up to which it is broadcast (about 80 MB); a longer one is joined over a shuffle.
+BROADCAST_ROWS = 1 << 20
+#: Text bytes for each bucket of packed hashes, and the fewest buckets.
 BUCKET_BYTES = 1 << 24
-MOST_BUCKETS = 4096
+LEAST_BUCKETS = 64
 _STEP = 1 << 15
 
 
@@ -128,24 +133,31 @@ def _emit_paths(buckets: int):
     return run
 
 
-def _position():
+def _position(table_words: int):
     """Of a minimizer in the table of bits: word, and bit of the word."""
     place = F.xxhash64("bucket", "key")
-    return F.pmod(place, F.lit(TABLE_WORDS)).alias("word"), F.shiftrightunsigned(place, 58).cast("int").alias("bit")
+    return F.pmod(place, F.lit(table_words)).alias("word"), F.shiftrightunsigned(place, 58).cast("int").alias("bit")
 
 
 def _one(bit: str):
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(bit))
 
 
-def _repeated_table(texts: DataFrame, buckets: int) -> DataFrame:
+def _sizes(text_bytes: int) -> tuple[int, int]:
+    """Buckets of hashes and words of the table for a corpus of this many bytes. Both grow with it, so that a task's share and the
+    part of the bits that are set do not."""
+    buckets = max(LEAST_BUCKETS, text_bytes // BUCKET_BYTES)
+    return buckets, max(LEAST_WORDS, 1 << (text_bytes // WORD_BYTES).bit_length())
+
+
+def _repeated_table(texts: DataFrame, buckets: int, table_words: int) -> DataFrame:
     packed = texts.select("text").mapInArrow(_presence(buckets), "bucket int, keys array<int>, times array<int>")
     each = packed.repartition("bucket").select("bucket", F.explode(F.arrays_zip("keys", "times")).alias("x"))
     counted = (
         each.groupBy("bucket", F.col("x.keys").alias("key"))
         .agg(F.sum("x.times").alias("n"))
         .where("n > 1")
-        .select("n", *_position())
+        .select("n", *_position(table_words))
     )
     return counted.groupBy("word").agg(
         F.bit_or(_one("bit")).alias("repeated"),
@@ -282,15 +294,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts, shared_ids = _keyed(df, id_col, text_col, carry)
     usable = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
     size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(MOST_BUCKETS, max(64, size // BUCKET_BYTES)))
-    # TABLE_WORDS short rows at most
-    table = F.broadcast(stored(_repeated_table(usable, buckets), "repeated_minimizers"))
+    buckets, table_words = _sizes(int(size))
+    table = stored(_repeated_table(usable, buckets, table_words), "repeated_minimizers")
+    if table.count() <= BROADCAST_ROWS:
+        table = F.broadcast(table)
 
     paths = usable.mapInArrow(
         _emit_paths(buckets),
         "minimizer bigint, doc_id bigint, copy bigint, start int, count int, content bigint, bucket int, key int",
     )
-    word, bit = _position()
+    word, bit = _position(table_words)
     open_ = stored(
         paths.select("minimizer", "doc_id", "copy", "start", "count", "content", word, bit)
         .join(table, "word")

@@ -70,6 +70,22 @@ def test_removal_equals_a_plain_version(spark, monkeypatch, frequent):
     assert removed(df) == sorted(plain_removal(rows), key=str)
 
 
+@pytest.mark.parametrize("rows", [0, 1 << 20])
+def test_removal_with_a_table_that_is_joined_or_broadcast(spark, documents, monkeypatch, rows):
+    expected = removed(documents)
+    monkeypatch.setattr(substring_dedup, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(substring_dedup, "LEAST_WORDS", 1 << 8)
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 1 << 12)
+    assert removed(documents) == expected
+
+
+def test_table_and_buckets_grow_with_the_text():
+    small, large = substring_dedup._sizes(1 << 29), substring_dedup._sizes(1 << 47)
+    assert substring_dedup._sizes(0) == (64, 1 << 20)
+    assert large[0] == 1 << 23 and large[1] >= (1 << 47) // substring_dedup.WORD_BYTES
+    assert small[1] >= (1 << 29) // substring_dedup.WORD_BYTES
+
+
 def test_removal_on_given_documents_and_rows_that_share_ids(spark, documents, odd):
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
     rows += [(rows[3][0], rows[9][1]), (rows[9][0], rows[9][1]), (rows[50][0], rows[2][1] + " " + rows[9][1])]
