@@ -28,7 +28,8 @@ from pasarlens.llm.text_arrays import byte_class, find_words, pieces
 #: Phrases that always count, with their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Label, opening words of the notice, and key phrases of it that must stand in full.
+#: Label, words, and key phrases among them that must stand in full. Licences are whole, in parts between the places
+#: where names, years or numbers of clauses are filled in; of long licences it is the notice that their authors ask for.
 TEMPLATES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
      "documentation files", ("granted free of charge", "associated documentation files")),
@@ -48,6 +49,84 @@ TEMPLATES = (
      ("creative commons attribution",)),
     ("unlicense", "this is free and unencumbered software released into the public domain",
      ("unencumbered software released into the public domain",)),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the rights to "
+     "use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+     "software is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
+     "shall be included in all copies or substantial portions of the software the software is provided as is without warranty "
+     "of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular "
+     "purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other "
+     "liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or "
+     "the use or other dealings in the software",
+     ("deal in the software without restriction", "copies or substantial portions of the software")),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies the software is provided as is "
+     "and the author disclaims all warranties with regard to this software including all implied warranties of "
+     "merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential "
+     "damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence "
+     "or other tortious action arising out of or in connection with the use or performance of this software",
+     ("this permission notice appear in all copies", "the author disclaims all warranties")),
+    ("0bsd", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "the software is provided as is and the author disclaims all warranties with regard to this software",
+     ("fee is hereby granted the software is provided",)),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+     "disclaimer", ("redistributions of source code must retain",)),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+     "disclaimer in the documentation and or other materials provided with the distribution",
+     ("redistributions in binary form must reproduce",)),
+    ("bsd-3-clause", "nor the names of its contributors may be used to endorse or promote products derived from this software "
+     "without specific prior written permission", ("used to endorse or promote products derived from this software",)),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties "
+     "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are "
+     "disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special "
+     "exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use "
+     "data or profits or business interruption however caused and on any theory of liability whether in contract strict "
+     "liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised "
+     "of the possibility of such damage",
+     ("provided by the copyright holders and contributors as is", "advised of the possibility of such damage")),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+     "for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+     "purpose including commercial applications and to alter it and redistribute it freely subject to the following "
+     "restrictions", ("alter it and redistribute it freely",)),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software if "
+     "you use this software in a product an acknowledgment in the product documentation would be appreciated but is not "
+     "required", ("origin of this software must not be misrepresented",)),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original "
+     "software", ("altered source versions must be plainly marked",)),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit "
+     "the software and to prepare derivative works of the software and to permit third parties to whom the software is "
+     "furnished to do so all subject to the following",
+     ("any person or organization obtaining a copy", "use reproduce display distribute execute and transmit")),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form "
+     "or as a compiled binary for any purpose commercial or non commercial and by any means",
+     ("anyone is free to copy modify publish use compile sell or distribute",)),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it "
+     "is allowed as long as the name is changed", ("changing it is allowed as long as the name is changed",)),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee "
+     "and without a written agreement is hereby granted provided that the above copyright notice and this paragraph and the "
+     "following two paragraphs appear in all copies",
+     ("without a written agreement is hereby granted", "following two paragraphs appear in all copies")),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is "
+     "distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for "
+     "the specific language governing permissions and limitations under the license",
+     ("software distributed under the license is distributed on an as is basis",)),
+    ("gpl", "either version 2 of the license or at your option any later version this program is distributed in the hope that it "
+     "will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular "
+     "purpose see the gnu general public license for more details",
+     ("at your option any later version", "gnu general public license for more details")),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general "
+     "public license as published by the free software foundation", ("gnu affero general public license",)),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at",
+     ("copy of the mpl was not distributed with this file",)),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license",
+     ("eclipse public license",)),
+    ("cc0-1.0", "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related "
+     "or neighboring rights to this work", ("waived all copyright and related or neighboring rights",)),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+     ("creative commons attribution sharealike",)),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+     ("creative commons attribution noncommercial",)),
     ("mit", "licensed under the mit license", ("mit license",)),
     ("mit", "spdx license identifier mit", ("identifier mit",)),
     ("apache-2.0", "spdx license identifier apache 2 0", ("identifier apache 2 0",)),
@@ -131,18 +210,24 @@ def _alignments(index: Index, ids: np.ndarray, row: np.ndarray) -> Iterator[tupl
     own = np.repeat(first - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
     begin = np.repeat(at, lengths) - index.posting_position[own]
     template = index.posting_template[own]
-    seen, n = np.unique(np.stack([np.repeat(row[at], lengths), template, begin]), axis=1, return_counts=True)
+    # row, template and place in one number: a template may begin up to its own length before the first word
+    before = max(map(len, index.words))
+    span = len(ids) + before
+    code = (np.repeat(row[at], lengths) * len(index.words) + template) * span + begin + before
+    code, n = np.unique(code, return_counts=True)
     needed = np.array([max(1, math.ceil(AGREE * len(r))) for r in index.rare])
-    seen = seen[:, n >= needed[seen[1]]]
-    for k in np.unique(seen[1]):
-        rows, _, begins = seen[:, seen[1] == k]
+    code = code[n >= needed[code // span % len(needed)]]
+    own, begins = code // span, code % span - before
+    all_rows, which = own // len(needed), own % len(needed)
+    for k in np.unique(which):
+        rows, begins_k = all_rows[which == k], begins[which == k]
         ok = np.ones(len(rows), bool)
         for offset, part in index.keys[k]:
-            ok &= _stands(ids, row, begins + offset, rows, part)
-        rows, begins = rows[ok], begins[ok]
+            ok &= _stands(ids, row, begins_k + offset, rows, part)
+        rows, begins_k = rows[ok], begins_k[ok]
         share = np.zeros(len(rows))
         for j, word in enumerate(index.words[k]):
-            share += _stands(ids, row, begins + j, rows, np.array([word]))
+            share += _stands(ids, row, begins_k + j, rows, np.array([word]))
         yield int(k), rows, share / len(index.words[k])
 
 

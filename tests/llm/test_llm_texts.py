@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import math
+import random
 import re
 import zlib
 
@@ -194,6 +196,46 @@ def test_licenses_equal_a_plain_scan(spark, documents, odd):
     assert labels[901] == ["mit"] and labels[902] == ["cc-by", "gpl"] and labels[903] == []
 
 
+def plain_licenses(text):
+    """Labels and best share by trying every template at every place of the text."""
+    index = licenses.template_index()
+    words, labels, best = license_words(text), set(), 0.0
+    for (label, wanted, keys), rare in zip(licenses.TEMPLATES, index.rare, strict=True):
+        wanted = wanted.split()
+        for begin in range(-len(wanted) + 1, len(words)):
+            same = [0 <= begin + i < len(words) and words[begin + i] == w for i, w in enumerate(wanted)]
+            if sum(same[i] for i in rare) < max(1, math.ceil(licenses.AGREE * len(rare))):
+                continue
+            places = [(licenses._find(wanted, key.split()), len(key.split())) for key in keys]
+            if all(all(same[a : a + n]) for a, n in places):
+                labels.add(label)
+                best = max(best, sum(same) / len(wanted))
+    return labels, best
+
+
+def test_labels_equal_a_plain_alignment(spark):
+    rng, texts = random.Random(9), []
+    for _, wanted, _ in licenses.TEMPLATES:
+        words = wanted.split()
+        texts.append("Copyright 2001, " + wanted.upper() + ".")
+        changed = [rng.choice(["the", "x9", w]) if rng.random() < 0.3 else w for w in words]
+        texts += [" ".join(words[: len(words) // 2]), " ".join(words[3:]) + " " + " ".join(changed)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(rows).collect()}
+    for i, text in enumerate(texts):
+        labels, best = plain_licenses(text)
+        assert set(got[i]["labels"]) == labels | set(got[i]["base_labels"])
+        assert got[i]["score"] == pytest.approx(1.0 if got[i]["base_labels"] else best)
+    for i, (label, _, _) in enumerate(licenses.TEMPLATES):
+        assert label in got[3 * i]["labels"]
+
+
+def test_no_label_in_ordinary_documents(documents):
+    scanned = licenses.scan_licenses(documents.select("doc_id", "text"))
+    more = scanned.where("size(labels) > size(base_labels)").count()
+    assert more <= documents.count() // 100
+
+
 def test_quality_rules_on_odd_rows(odd, empty):
     assert quality_rules.quality_rules(empty).count() == 0
     got = quality_rules.quality_rules(odd)
