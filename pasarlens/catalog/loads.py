@@ -88,19 +88,30 @@ def structure(spark, sf):
     return files.groupBy("has_metadata", "has_data", "is_valid").agg(F.count("*").alias("files"))
 
 
+#: The kinds of documents that structure checks must tell apart, in the order of their numbers.
+DOCUMENT_KINDS = ["whole", "bare", "null", "cut", "text"]
+
+
 def structure_flags(spark, sf):
-    """One file of each kind per region: whole, without data, with a null value, cut short, and no JSON at all."""
+    """Every snapshot landed as a document of its own, some of them damaged: without data, with a null value, cut short, and no JSON."""
     path = fresh_path(spark, "landing")
-    kinds = {
-        "whole": '{"metadata": {"source": "%s"}, "data": [{}]}', "bare": '{"metadata": {"source": "%s"}}',
-        "null": '{"metadata": null, "data": ["%s"]}', "cut": '{"metadata": {"source": "%s"}, "data": [', "text": "%s",
-    }
-    regions = d.table(spark, sf, "region")
-    for kind, text in kinds.items():
-        files = regions.select(F.format_string(text, "r_name").alias("value"), F.concat(F.lit(kind), "r_name").alias("batch"))
-        files.write.mode("append").partitionBy("batch").text(path)
-    found = envelope_structure(landing.read_documents(spark, path))
-    kind = F.regexp_extract("file_path", r"batch=([a-z]+)", 1)
+    record = F.struct(*[c for c in d.snapshots(spark, sf).columns if c != "ingestion_date"])
+    metadata = F.struct(F.lit("snapshots").alias("source"), F.lit(1).alias("record_count"))
+    whole = F.to_json(F.struct(metadata.alias("metadata"), F.array(record).alias("data")))
+    without = F.struct(F.lit(None).cast("string").alias("metadata"), F.array(record).alias("data"))
+    number = F.col("stock") % len(DOCUMENT_KINDS)
+    value = (
+        F.when(number == 0, whole)
+        .when(number == 1, F.to_json(F.struct(metadata.alias("metadata"))))
+        .when(number == 2, F.to_json(without, {"ignoreNullFields": "false"}))
+        .when(number == 3, F.substring(whole, F.lit(1), F.length(whole) - 2))
+        .otherwise(F.col("product_name"))
+    )
+    kind = F.element_at(F.array(*map(F.lit, DOCUMENT_KINDS)), (number + 1).cast("int"))
+    d.snapshots(spark, sf).select(value.alias("value"), kind.alias("kind")).write.partitionBy("kind").text(path)
+    landed = spark.read.option("recursiveFileLookup", True).text(path)
+    found = envelope_structure(landed.select(F.col("_metadata.file_path").alias("file_path"), "value"))
+    kind = F.regexp_extract("file_path", r"kind=([a-z]+)", 1)
     return found.groupBy(kind.alias("kind"), "has_metadata", "has_data", "is_valid").agg(F.count("*").alias("files"))
 
 
@@ -450,10 +461,12 @@ WITH {d.SNAPSHOTS_SQL}
 SELECT 'snapshots' AS source, coalesce(product_id, '') AS product_id, product_name, category,
        coalesce(price, 0) AS price, sales_count, rating, stock
 FROM snapshots""",
-    "structure_flags": """
+    "structure_flags": f"""
+WITH {d.SNAPSHOTS_SQL}
 SELECT kind, has_metadata, has_data, has_metadata AND has_data AS is_valid, count(*) AS files
-FROM region, (VALUES ('whole', true, true), ('bare', true, false), ('null', true, true), ('cut', false, false),
-                     ('text', false, false)) t(kind, has_metadata, has_data)
+FROM snapshots
+JOIN (VALUES (0, 'whole', true, true), (1, 'bare', true, false), (2, 'null', true, true), (3, 'cut', false, false),
+             (4, 'text', false, false)) t(number, kind, has_metadata, has_data) ON stock % 5 = number
 GROUP BY ALL""",
     "file_validation": f"""
 WITH {d.SNAPSHOTS_SQL},
