@@ -4,7 +4,7 @@ Windows of ``WINDOW`` words are the edges of a De Bruijn graph over words. Conse
 of smallest hash in the window) form a path; equal windows always have equal minimizers, so paths meet only where minimizers do.
 
 1. Minimizers that occur once are found cheaply: each task sends packed 32-bit hashes by bucket, and those counted twice or more set bits
-   of a table. Buckets and bits grow with the text. The table lets through every repeated minimizer and few others; frequent ones
+   of a table. Buckets grow with the text, bits with the repeated minimizers. The table lets through every repeated minimizer and few others; frequent ones
    have a second bit. It is broadcast if its counted rows are few, and else joined over a shuffle that adaptive execution can split.
 2. The remaining paths meet at their minimizer. Where all of them are equal the path does not branch, and the smallest id
    among its source coordinates decides for all its edges at once: these paths stay compact.
@@ -50,9 +50,9 @@ WINDOW = 13
 ANCHOR = 5
 #: Occurrences up to which a minimizer's paths are compared in one group.
 FREQUENT = 1000
-#: Text bytes for each word of 64 bits in the table of repeated minimizers, and the fewest words. A path starts every 30 bytes or so, so
-#: at most an eighth of the bits is ever set, at any size.
-WORD_BYTES = 512
+#: Repeated minimizers for each word of 64 bits in their table, at most, so that a sixteenth of the bits is set at any size; and the
+#: fewest words.
+REPEATED_A_WORD = 4
 LEAST_WORDS = 1 << 20
 #: Rows of that table up to which it is broadcast (about 80 MB); a longer one is joined over a shuffle.
 BROADCAST_ROWS = 1 << 20
@@ -143,26 +143,28 @@ def _one(bit: str):
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(bit))
 
 
-def _sizes(text_bytes: int) -> tuple[int, int]:
-    """Buckets of hashes and words of the table for a corpus of this many bytes. Both grow with it, so that a task's share and the
-    part of the bits that are set do not."""
-    buckets = max(LEAST_BUCKETS, text_bytes // BUCKET_BYTES)
-    return buckets, max(LEAST_WORDS, 1 << (text_bytes // WORD_BYTES).bit_length())
+def _bucket_count(text_bytes: int) -> int:
+    """Buckets of hashes for a corpus of this many bytes: a task's share does not grow with it."""
+    return max(LEAST_BUCKETS, text_bytes // BUCKET_BYTES)
 
 
-def _repeated_table(texts: DataFrame, buckets: int, table_words: int) -> DataFrame:
+def _table_words(repeated: int) -> int:
+    """Words of the table for this many minimizers, a power of two."""
+    return max(LEAST_WORDS, 1 << (max(0, repeated - 1) // REPEATED_A_WORD).bit_length())
+
+
+def _repeated_table(texts: DataFrame, buckets: int) -> tuple[DataFrame, int]:
+    """The table of repeated minimizers, and the number of words that it is spread over."""
     packed = texts.select("text").mapInArrow(_presence(buckets), "bucket int, keys array<int>, times array<int>")
     each = packed.repartition("bucket").select("bucket", F.explode(F.arrays_zip("keys", "times")).alias("x"))
-    counted = (
-        each.groupBy("bucket", F.col("x.keys").alias("key"))
-        .agg(F.sum("x.times").alias("n"))
-        .where("n > 1")
-        .select("n", *_position(table_words))
-    )
-    return counted.groupBy("word").agg(
-        F.bit_or(_one("bit")).alias("repeated"),
-        F.bit_or(F.when(F.col("n") > FREQUENT, _one("bit")).otherwise(0)).alias("frequent"),
+    counted = each.groupBy("bucket", F.col("x.keys").alias("key")).agg(F.sum("x.times").alias("n")).where("n > 1")
+    counted = stored(counted.select("bucket", "key", (F.col("n") > FREQUENT).alias("often")), "repeated_minimizers")
+    table_words = _table_words(counted.count())
+    bits = counted.select("often", *_position(table_words))
+    table = bits.groupBy("word").agg(
+        F.bit_or(_one("bit")).alias("repeated"), F.bit_or(F.when(F.col("often"), _one("bit")).otherwise(0)).alias("frequent")
     )
+    return stored(table, "minimizer_table"), table_words
 
 
 def _met(rows: DataFrame, key: str, values: list) -> DataFrame:
@@ -294,8 +296,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts, shared_ids = _keyed(df, id_col, text_col, carry)
     usable = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
     size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets, table_words = _sizes(int(size))
-    table = stored(_repeated_table(usable, buckets, table_words), "repeated_minimizers")
+    buckets = _bucket_count(int(size))
+    table, table_words = _repeated_table(usable, buckets)
     if table.count() <= BROADCAST_ROWS:
         table = F.broadcast(table)
 

@@ -79,11 +79,12 @@ def test_removal_with_a_table_that_is_joined_or_broadcast(spark, documents, monk
     assert removed(documents) == expected
 
 
-def test_table_and_buckets_grow_with_the_text():
-    small, large = substring_dedup._sizes(1 << 29), substring_dedup._sizes(1 << 47)
-    assert substring_dedup._sizes(0) == (64, 1 << 20)
-    assert large[0] == 1 << 23 and large[1] >= (1 << 47) // substring_dedup.WORD_BYTES
-    assert small[1] >= (1 << 29) // substring_dedup.WORD_BYTES
+def test_table_and_buckets_grow_with_the_input():
+    assert substring_dedup._bucket_count(0) == 64 and substring_dedup._bucket_count(1 << 47) == 1 << 23
+    for repeated in (0, 1, 1 << 22, (1 << 22) + 1, 10**9, 10**12):
+        words = substring_dedup._table_words(repeated)
+        assert words >= 1 << 20 and repeated <= words * substring_dedup.REPEATED_A_WORD
+        assert words == 1 << 20 or words * substring_dedup.REPEATED_A_WORD <= 3 * repeated
 
 
 def test_removal_on_given_documents_and_rows_that_share_ids(spark, documents, odd):
