@@ -79,11 +79,13 @@ class KeyIndex:
         out = parts[0].select(columns)
         return out.unionByName(parts[1].select(columns)) if len(parts) > 1 else out
 
-    def _candidates(self, keys: DataFrame, words: DataFrame, depth: int) -> DataFrame:
-        """The keys that may be stored, with the generation and bucket of each place."""
+    def _candidates(self, keys: DataFrame, words: DataFrame) -> DataFrame:
+        """The keys that may be stored, with the generation and bucket of each place. Generations that a large batch has skipped hold
+        nothing and are not asked."""
+        depths = sorted(r[0] for r in words.select("depth").distinct().collect()) or [0]
         asked = keys.select(
             self.key, self._word().alias("word"), self._mask().alias("mask"),
-            F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), self._bucket(d).alias("bucket")) for d in range(depth + 1)])).alias("at"),
+            F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), self._bucket(d).alias("bucket")) for d in depths])).alias("at"),
         ).select(self.key, "word", "mask", "at.*")
         same = [asked[c] == words[c] for c in ("depth", "bucket", "word")]
         hit = words["bits"].bitwiseAND(asked["mask"]) == asked["mask"]
@@ -96,13 +98,13 @@ class KeyIndex:
         return self.spark.read.schema(schema).parquet(f"{self.root}/keys/depth={depth}")
 
     def fresh(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, dict]:
-        """The rows of a batch whose keys no earlier batch has stored, and figures of the look-up. The batch should be persisted."""
+        """The rows of a batch whose keys no earlier batch has stored, and figures of the look-up. The batch is read twice, its keys first."""
         last = self.progress(batch_id - 1)
         figures = {"buckets": 0, "touched": 0, "candidates": 0, "known": 0}
         if batch_id == 0:
             return batch, figures
         keys = batch.select(self.key).distinct()
-        candidates = self._candidates(keys, self._filter(batch_id, last["merged"]), last["depth"]).persist()
+        candidates = self._candidates(keys, self._filter(batch_id, last["merged"])).persist()
         try:
             # one row per bucket that is to be read
             touched = [tuple(r) for r in candidates.select("depth", "bucket").distinct().collect()]
@@ -130,7 +132,8 @@ class KeyIndex:
         return append_new(batch, known, self.key), figures
 
     def add(self, fresh: DataFrame, batch_id: int, figures: dict) -> None:
-        """Store the keys of a batch's fresh rows, their filter words and what the next batch needs to know."""
+        """Store the keys of a batch's fresh rows, their filter words and what the next batch needs to know. Keys are gathered by bucket
+        before they are written, so that a batch adds a few files to a bucket and not one of every task."""
         last = self.progress(batch_id - 1)
         keys = fresh.select(self.key).distinct().persist()
         try:
@@ -141,7 +144,7 @@ class KeyIndex:
                 # a full generation is followed by one of twice as many buckets; a large batch gets as many as it fills
                 depth, stored = max(depth + (stored > 0), needed), 0
             placed = keys.select(self.key, self._bucket(depth).alias("bucket"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(
+            placed.hint("rebalance", F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(
                 f"{self.root}/keys/depth={depth}"
             )
             words = keys.groupBy(self._bucket(depth).alias("bucket"), self._word().alias("word")).agg(F.bit_or(self._mask()).alias("bits"))

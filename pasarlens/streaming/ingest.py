@@ -140,17 +140,17 @@ def append_new_keys(
     """Append the rows of each micro-batch whose key no earlier batch has stored.
 
     Rows are stored by batch; their keys beside them, in the index ``table``_keys, of which a batch reads filters and the few buckets
-    that may hold one of its keys. Everything a batch writes is replaced when it is replayed.
+    that may hold one of its keys. The keys are read back from the stored rows, so that the fresh ones are found once. Everything a
+    batch writes is replaced when it is replayed.
     """
-    index = KeyIndex(batches.sparkSession, f"{table}_keys", key, schema[key].dataType, bucket_keys)
+    spark = batches.sparkSession
+    kind = schema[key].dataType
+    index = KeyIndex(spark, f"{table}_keys", key, kind, bucket_keys)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            fresh, figures = index.fresh(batch, batch_id)
-            _replace_batch(fresh, table, batch_id)
-            index.add(fresh, batch_id, figures)
-        finally:
-            batch.unpersist()
+        fresh, figures = index.fresh(batch, batch_id)
+        _replace_batch(fresh, table, batch_id)
+        written = spark.read.schema(T.StructType([T.StructField(key, kind)])).parquet(f"{table}/batch_id={batch_id}")
+        index.add(written, batch_id, figures)
 
     run_available(batches, checkpoint, one_batch)

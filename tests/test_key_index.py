@@ -53,6 +53,14 @@ def test_few_buckets_are_read_for_new_keys(spark, tmp_path):
     assert read and all("/known/batch_id=3/" in file for file in read)
 
 
+def test_a_bucket_gets_few_files_whatever_the_number_of_tasks(spark, tmp_path):
+    index = KeyIndex(spark, str(tmp_path / "i"), "id", T.LongType(), 256)
+    index.add(spark.range(0, 20_000, 1, 16), 0, {"buckets": 0, "touched": 0, "candidates": 0, "known": 0})
+    buckets = list((tmp_path / "i" / "keys").glob("depth=*/bucket=*"))
+    files = list((tmp_path / "i" / "keys").rglob("*.parquet"))
+    assert len(buckets) == 128 and len(files) <= 2 * len(buckets)
+
+
 def test_false_positives_are_rare_when_buckets_are_full(spark, tmp_path):
     index = KeyIndex(spark, str(tmp_path / "i"), "id", T.LongType(), 4096)
     index.add(spark.range(4 * 4096), 0, {"buckets": 0, "touched": 0, "candidates": 0, "known": 0})
