@@ -70,6 +70,12 @@ def training_window(features: DataFrame, as_of: date, months: int = 6) -> DataFr
     return seq_split_rows(stored(typed, "training_window"))
 
 
+def _training_rows(rows: DataFrame) -> DataFrame:
+    """Training rows stored and read back in files of a useful size, for estimators that pass over them many times. A cached plan keeps
+    all its shuffle partitions, however small, and every pass of a fit would send a result of each to the driver."""
+    return stored(rows, "training_rows")
+
+
 def _fit(stages: list, training: DataFrame) -> PipelineModel:
     """Fit with the training rows cached: the estimators pass over them many times."""
     training = training.persist()
@@ -185,7 +191,7 @@ def fit_clusters(products: DataFrame, k: int = 5) -> PipelineModel:
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
         KMeans(k=k, seed=42, featuresCol="scaled", predictionCol="cluster"),
     ]
-    return _fit(stages, _doubles(products, CLUSTER_COLUMNS))
+    return _fit(stages, _training_rows(_doubles(products, CLUSTER_COLUMNS)))
 
 
 def _stable_number(model: PipelineModel) -> Column:
@@ -216,7 +222,7 @@ def price_rows(cleaned: DataFrame, as_of: date, months: int = 3, scored_days: in
 
 
 def fit_price(rows: DataFrame) -> PipelineModel:
-    training = rows.where(~F.col("is_new")).persist()
+    training = _training_rows(rows.where(~F.col("is_new")).select(*PRICE_NUMBERS, *PRICE_CATEGORIES, "label"))
     trees = GBTRegressor(labelCol="label", maxIter=20, maxBins=_bins(training, PRICE_CATEGORIES), seed=42)
     return _fit([*_inputs(PRICE_NUMBERS, PRICE_CATEGORIES, one_hot=False), trees], training)
 
