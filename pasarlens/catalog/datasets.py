@@ -144,8 +144,8 @@ odd_snapshots AS (
 )"""
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_sales(snapshots(spark, sf_dir))
+def cleaned(spark: SparkSession, sf_dir: str, gather: tuple[str, ...] = ()) -> DataFrame:
+    return clean_sales(snapshots(spark, sf_dir), gather=gather)
 
 
 CLEANED_SQL = (

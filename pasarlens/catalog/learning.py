@@ -27,16 +27,22 @@ def _once(spark, sf, name: str, fit: Callable[[], object]):
 
 
 def forget() -> None:
-    """Drop the fitted models, so that the next query fits its own."""
+    """Drop the fitted models and their rows, so that the next query makes its own."""
     _fitted.clear()
 
 
+def _cleaned(spark, sf):
+    """Cleaned rows dealt out by product and day, by which the features group them."""
+    return d.cleaned(spark, sf, ("product_id", "sale_date"))
+
+
 def _features(spark, sf):
-    return f.ml_features(d.cleaned(spark, sf))
+    return f.ml_features(_cleaned(spark, sf))
 
 
 def _split(spark, sf):
-    return m.training_window(_features(spark, sf), AS_OF)
+    """Training and evaluation rows, stored once for the fits and everything that uses them."""
+    return _once(spark, sf, "split", lambda: m.training_window(_features(spark, sf), AS_OF))
 
 
 def _linear(spark, sf):
@@ -65,11 +71,11 @@ def _price(spark, sf):
 
 
 def _forecast(spark, sf):
-    return m.sales_forecast(_boosted(spark, sf), f.feature_history(d.cleaned(spark, sf)), AS_OF)
+    return m.sales_forecast(_boosted(spark, sf), f.feature_history(_cleaned(spark, sf)), AS_OF)
 
 
 def _average_forecast(spark, sf):
-    return m.average_forecast(f.feature_history(d.cleaned(spark, sf)), AS_OF)
+    return m.average_forecast(f.feature_history(_cleaned(spark, sf)), AS_OF)
 
 
 def _expected_prices(spark, sf):

@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from pasarlens.functions import discounted, is_finite, month_text, stock_status, strip, weekday_name
 
 
-def clean_sales(raw: DataFrame, day: date | None = None, keep: Sequence[str] = ()) -> DataFrame:
+def clean_sales(
+    raw: DataFrame, day: date | None = None, keep: Sequence[str] = (), gather: Sequence[str] = ()
+) -> DataFrame:
     """Cleaned, distinct snapshot rows with a positive, finite price; ``day`` restricts the run to one ingestion day.
 
-    ``keep`` columns stay beside the row and count towards its distinctness.
+    ``keep`` columns stay beside the row and count towards its distinctness. What follows from other columns is added to the
+    distinct rows. Rows are dealt out by ``gather``, if given, and not by the whole row: then grouping by more than these columns
+    needs no other shuffle, but equal rows are not merged before they are dealt out.
     """
     if day is not None:
         raw = raw.where(F.col("ingestion_date") == F.lit(day))
-    return (
+    rows = (
         raw.where((F.col("price") > 0) & is_finite("price") & F.col("product_id").isNotNull())
         .select(
             *keep,
@@ -26,7 +30,6 @@ def clean_sales(raw: DataFrame, day: date | None = None, keep: Sequence[str] = (
             strip(F.col("product_name")).alias("product_name"),
             F.upper(strip(F.col("category"))).alias("category"),
             "price",
-            discounted(F.col("price"), F.col("discount_percent")).alias("discount_price"),
             "discount_percent",
             F.coalesce("sales_count", F.lit(0)).alias("sales_count"),
             "rating",
@@ -37,8 +40,11 @@ def clean_sales(raw: DataFrame, day: date | None = None, keep: Sequence[str] = (
             F.to_date("timestamp").alias("sale_date"),
             F.col("timestamp").alias("sale_timestamp"),
         )
-        .distinct()
     )
+    distinct = (rows.repartition(*gather) if gather else rows).distinct()
+    price = discounted(F.col("price"), F.col("discount_percent")).alias("discount_price")
+    place = distinct.columns.index("discount_percent")
+    return distinct.select(*distinct.columns[:place], price, *distinct.columns[place:])
 
 
 def rebuild_sale_days(raw: DataFrame, day: date) -> DataFrame:

@@ -70,23 +70,33 @@ def calendar_features(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def _with_calendar(days: DataFrame) -> DataFrame:
+    """What follows from a row's own day and price, after the measures."""
+    added = {
+        "day_of_week": F.dayofweek("sale_date"),
+        "day_of_month": F.dayofmonth("sale_date"),
+        "month": F.month("sale_date"),
+        "year": F.year("sale_date"),
+        "is_weekend": is_weekend("sale_date"),
+        "price_category": price_category(F.col("avg_price")),
+    }
+    place = days.columns.index("review_count") + 1
+    return days.select(*days.columns[:place], *[c.alias(n) for n, c in added.items()], *days.columns[place:])
+
+
+def _measured_days(cleaned: DataFrame) -> DataFrame:
+    return _by_product_day(cleaned, F.max("review_count").alias("review_count"))
+
+
 def _feature_days(cleaned: DataFrame) -> DataFrame:
     """Feature rows without what depends on earlier ones."""
-    return _by_product_day(cleaned, F.max("review_count").alias("review_count")).withColumns(
-        {
-            "day_of_week": F.dayofweek("sale_date"),
-            "day_of_month": F.dayofmonth("sale_date"),
-            "month": F.month("sale_date"),
-            "year": F.year("sale_date"),
-            "is_weekend": is_weekend("sale_date"),
-            "price_category": price_category(F.col("avg_price")),
-        }
-    )
+    return _with_calendar(_measured_days(cleaned))
 
 
 def feature_history(cleaned: DataFrame) -> DataFrame:
-    """All feature rows, the first day of a product (which has no lag) included."""
-    return _feature_days(cleaned).withColumns({**_lag_columns(), **_average_columns()})
+    """All feature rows, the first day of a product (which has no lag) included. Calendar columns are added after the windows, so that
+    they are neither shuffled nor sorted."""
+    return _with_calendar(_measured_days(cleaned).withColumns({**_lag_columns(), **_average_columns()}))
 
 
 def ml_features(cleaned: DataFrame) -> DataFrame:
