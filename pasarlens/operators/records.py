@@ -96,6 +96,17 @@ def quarantine(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return typed.select(*records.columns, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
+def judged_records(records: DataFrame, *keep: str) -> DataFrame:
+    """``keep``, the typed fields, whether a record is ``accepted``, and of one that loading turns away the ``reason`` and the text: both
+    outcomes of ``validate_required`` with ``normalize_records`` and of ``quarantine`` in one pass. A null record has neither."""
+    typed = _typed(records, {**{key: "string" for key in TEXT_FIELDS}, **NUMBER_FIELDS}, *keep)
+    complete, malformed = has_keys(REQUIRED_KEYS), _any_malformed(NUMBER_FIELDS)
+    reason = F.when(~complete, "missing key").when(malformed, "malformed number")
+    judged = typed.select("*", F.inline(F.array(F.struct(reason.alias("reason"), F.coalesce(complete & ~malformed, F.lit(False)).alias("accepted")))))
+    text = F.when(F.col("reason").isNotNull(), F.to_json("record"))
+    return judged.withColumn("text", text).drop("record")
+
+
 def coerce_types(records: DataFrame) -> DataFrame:
     """Add typed ``price`` and ``sales_count`` (0 when absent); rows with unreadable numbers are dropped."""
     fields = {key: NUMBER_FIELDS[key] for key in ("price", "sales_count")}
@@ -106,7 +117,11 @@ def coerce_types(records: DataFrame) -> DataFrame:
 def normalize_records(records: DataFrame, as_of: date, *keep: str) -> DataFrame:
     """Typed, defaulted rows with revenue; both dates are the load day. Unreadable rows are left to quarantine."""
     fields = {**{key: "string" for key in TEXT_FIELDS}, **NUMBER_FIELDS}
-    rows = _typed(records, fields, *keep).where(~_any_malformed(NUMBER_FIELDS))
+    return defaulted(_typed(records, fields, *keep).where(~_any_malformed(NUMBER_FIELDS)), as_of, *keep)
+
+
+def defaulted(rows: DataFrame, as_of: date, *keep: str) -> DataFrame:
+    """Typed rows with defaults for what is missing, revenue and the load day."""
     price, quantity = F.coalesce("price", F.lit(0.0)), F.coalesce("sales_count", F.lit(0))
 
     def text(key: str) -> Column:

@@ -36,6 +36,18 @@ def envelope_records(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def numbered_records(envelopes: DataFrame) -> DataFrame:
+    """``file_path``, ``record`` and the file's fault, if any, as ``file_reason`` and ``file_text`` beside its first record; a file without
+    records gives one row without a record."""
+    broken = F.col(CORRUPT).isNotNull()
+    reason = F.when(broken, "unreadable file").when(F.col("data").isNull(), "no data")
+    rows = envelopes.select("file_path", F.col(CORRUPT).alias("_text"), reason.alias("_reason"), F.posexplode_outer("data").alias("_at", "record"))
+    first = F.coalesce("_at", F.lit(0)) == 0
+    return rows.select(
+        "file_path", "record", F.when(first, F.col("_reason")).alias("file_reason"), F.when(first, F.col("_text")).alias("file_text")
+    )
+
+
 def unreadable_files(envelopes: DataFrame) -> DataFrame:
     """Files that give no records, as ``file_path``, ``record`` (the text, where it is no JSON) and ``reason``."""
     broken = F.col(CORRUPT).isNotNull()
@@ -60,7 +72,7 @@ def write_envelopes(df: DataFrame, path: str, at: datetime, source: str, max_rec
 
     A document is built from rows of one partition only, cut by position, so neither a hot key nor many equal
     rows can make it grow. Sorting the partition first makes the cut the same on a retried task. The writer starts a
-    new file after each document.
+    new file after each document. Documents are compressed: as text they are many times the size of the rows.
     """
     numbered = df.sortWithinPartitions(*df.columns).select(
         F.expr(f"monotonically_increasing_id() div {max_records}").alias("_cut"),
@@ -80,7 +92,7 @@ def write_envelopes(df: DataFrame, path: str, at: datetime, source: str, max_rec
             )
         ).alias("value"),
     )
-    documents.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(f"{path}/{_batch_id(at)}")
+    documents.select("value").write.mode("append").option("maxRecordsPerFile", 1).option("compression", "gzip").text(f"{path}/{_batch_id(at)}")
 
 
 def write_landing(df: DataFrame, path: str, at: datetime, source: str) -> dict[str, object]:

@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from pasarlens.operators.quality import file_validation
-from pasarlens.operators.records import normalize_records, quarantine, validate_required
+from pasarlens.operators.records import defaulted, judged_records
 from pasarlens.plans.snapshot_reports import daily_totals
 from pasarlens.sources.key_index import BUCKET_KEYS, KeyIndex
-from pasarlens.sources.landing import CORRUPT, envelope_records, envelope_schema, unreadable_files
+from pasarlens.sources.landing import CORRUPT, envelope_schema, numbered_records
 
 
 #: Files of one micro-batch: a backlog is worked off in several, none is left out.
@@ -77,14 +77,17 @@ def ingest(envelopes: DataFrame, table: str, rejected: str, checkpoint: str, as_
     reason, so every record of every file is in one of the two tables."""
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # typed rows are kept, and the text of the few that are turned away; the documents are read once
+        judged = judged_records(numbered_records(batch), "file_path", "file_reason", "file_text").persist()
         try:
-            records = envelope_records(batch)
-            _replace_batch(normalize_records(validate_required(records), as_of), table, batch_id)
-            turned_away = quarantine(records).select("file_path", F.to_json("record").alias("record"), "reason")
-            _replace_batch(turned_away.unionByName(unreadable_files(batch)), rejected, batch_id)
+            _replace_batch(defaulted(judged.where("accepted"), as_of), table, batch_id)
+            turned_away = judged.where("reason IS NOT NULL").select("file_path", F.col("text").alias("record"), "reason")
+            files = judged.where("file_reason IS NOT NULL").select(
+                "file_path", F.col("file_text").alias("record"), F.col("file_reason").alias("reason")
+            )
+            _replace_batch(turned_away.unionByName(files), rejected, batch_id)
         finally:
-            batch.unpersist()
+            judged.unpersist()
 
     run_available(envelopes, checkpoint, one_batch)
 
