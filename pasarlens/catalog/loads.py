@@ -234,7 +234,7 @@ def expire_partitions(spark, sf):
 
 
 def backup_export(spark, sf):
-    cleaned = d.cleaned(spark, sf)
+    cleaned = tables.stored(d.cleaned(spark, sf), "cleaned")
     live = {
         "raw_sales_data": d.snapshots(spark, sf),
         "cleaned_sales_data": cleaned,
@@ -253,7 +253,7 @@ def _run_day(spark, sf, times=1, day=RUN_DAY):
     """The daily run over all landed snapshots, cleaning one ingestion day or all; returns the warehouse folder."""
     landed, warehouse, staging = (fresh_path(spark, n) for n in ("landed", "warehouse", "staging"))
     snapshots = d.snapshots(spark, sf)
-    snapshots.write.json(landed)
+    tables.write_json(snapshots, landed)
     for _ in range(times):
         daily_job.run_day(spark, landed, warehouse, staging, SNAPSHOTS, AS_OF, day)
     return warehouse

@@ -151,8 +151,10 @@ def upsert_table(
     """Merge a batch into a partitioned table, rewriting only the partitions it touches.
 
     A partition is touched if it holds a matched row or receives a row. Rows that move to another partition
-    leave the old one; a partition that ends up empty is removed. Partition values are texts, dates or whole numbers.
+    leave the old one; a partition that ends up empty is removed. Partition values are texts, dates or whole numbers. The batch is
+    stored first, because it is read several times.
     """
+    source = stored(source, "batch")
     table = spark.read.parquet(path)
     keys = source.where(F.col(key).isNotNull()).select(key).distinct()
     matched = table.join(keys, key, "left_semi").select(partition)
@@ -164,9 +166,9 @@ def upsert_table(
     merged = upsert(table.where(F.col(partition).isin(touched)), source, key, update_columns)
     write_table(merged.select(*table.columns), staging, "overwrite", partition)
     replace_partitions(spark.read.schema(table.schema).parquet(staging), path, partition)
-    filled, stored = _folders(spark, staging, partition), _folders(spark, path, partition)
+    filled, present = _folders(spark, staging, partition), _folders(spark, path, partition)
     emptied = {str(value) for value in touched} - set(filled)
-    _drop_folders(spark, path, [stored[value] for value in sorted(emptied) if value in stored])
+    _drop_folders(spark, path, [present[value] for value in sorted(emptied) if value in present])
     return touched
 
 
@@ -183,12 +185,21 @@ def expire_partitions(spark: SparkSession, path: str, day: str, keep_days: int,
     return len(old)
 
 
+#: Records of a file of compressed text, which one task reads.
+TEXT_RECORDS = 1_000_000
+
+
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Newline-delimited JSON, compressed, in files of bounded size: as plain text it is many times the size of the rows."""
+    df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", TEXT_RECORDS).json(path)
+
+
 def backup_tables(tables: dict[str, DataFrame], root: str, stamp: str) -> dict[str, int]:
-    """Export each table as newline-delimited JSON below ``root/stamp/table``; rows per table, counted while written."""
+    """Export each table as compressed newline-delimited JSON below ``root/stamp/table``; rows per table, counted while written."""
     rows = {}
     for name, df in tables.items():
         seen = Observation()
-        df.observe(seen, F.count("*").alias("rows")).write.mode("errorifexists").json(f"{root}/{stamp}/{name}")
+        write_json(df.observe(seen, F.count("*").alias("rows")), f"{root}/{stamp}/{name}")
         rows[name] = seen.get["rows"]
     return rows
 
