@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 from pasarlens.llm.quality_gam import remainder
 from pasarlens.llm.scratch import bounded_batches, stored
 from pasarlens.llm.text_arrays import pieces
+from pasarlens.operators.selection import nth_smallest
 
 WINDOW = 64
 UNITS = 8
 TRAIN_DOCS = 400
 TRAIN_ROWS = 80_000
 TRAIN_PIECES = 16
-LIMIT_ROWS = 4000
 STEPS = 240
 BATCH = 512
 TRAIN_WINDOW = 32
@@ -199,9 +200,9 @@ def probabilities(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.nda
     return total / np.maximum(np.diff(offsets), 1)[:, None]
 
 
-def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _rows(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     bounded_batches(df.sparkSession)
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
 
 
 def _labelled(df: DataFrame, id_col: str, lang_col: str) -> DataFrame:
@@ -233,17 +234,24 @@ def training_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def score_limit(
     df: DataFrame, net: Network, wrong: float = 0.002, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> float:
-    """The score that all but a share of ``wrong`` of rightly labelled texts reach, from about ``LIMIT_ROWS`` labelled texts that were held
-    out of the training. So it follows the number of languages; without any held-out text it is the score of a guess."""
-    held_out = _labelled(df, id_col, lang_col).where(remainder("doc_id", 4) == 2)
-    share = float(LIMIT_ROWS << 30) / max(1, held_out.count())
-    chosen = held_out.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
-    # about LIMIT_ROWS pairs
-    chosen = F.broadcast(stored(chosen.distinct(), "chosen"))
-    texts = df.select(id_col, text_col).join(chosen.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
-    found = label_languages(texts, net, id_col, text_col).join(chosen, "doc_id").where("lang_pred = lang")
-    limit = found.agg(F.percentile_approx("score", wrong, 10000)).first()[0]
-    return limit if limit is not None else 1.0 / max(1, len(net.languages))
+    """The score that all but a share of ``wrong`` of rightly labelled texts reach, exactly, over all labelled texts that were held out of
+    the training. So it follows the number of languages; without any such text it is the score of a guess."""
+    rows = _rows(df.withColumn("_lang", F.col(lang_col).cast("string")), id_col, text_col, "_lang")
+    held_out = rows.where((remainder("doc_id", 4) == 2) & F.col("_lang").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, languages, score in _labels(net, batch.column(0)):
+                own = batch.column(1).slice(a, len(score)).to_pylist()
+                right = [s for s, found, lang in zip(score, languages, own, strict=True) if found == lang]
+                yield pa.RecordBatch.from_arrays([pa.array(right, pa.float64())], ["score"])
+
+    # one number per text, stored: its rank is found by counting
+    scores = stored(held_out.select("text", "_lang").mapInArrow(run, "score double"), "held_out_scores")
+    n = scores.count()
+    if not n:
+        return 1.0 / max(1, len(net.languages))
+    return nth_smallest(scores, F.col("score"), [max(1, ceil(wrong * n)) - 1], 0.0, 1.0)[0]
 
 
 def fit_languages(df: DataFrame, **names: str) -> Network:
