@@ -98,7 +98,7 @@ def quarantine(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def judged_records(records: DataFrame, *keep: str) -> DataFrame:
     """``keep``, the typed fields, whether a record is ``accepted``, and of one that loading turns away the ``reason`` and the text: both
-    outcomes of ``validate_required`` with ``normalize_records`` and of ``quarantine`` in one pass. A null record has neither."""
+    outcomes of ``validate_required`` with ``normalize_records`` and of ``quarantine`` in one pass."""
     typed = _typed(records, {**{key: "string" for key in TEXT_FIELDS}, **NUMBER_FIELDS}, *keep)
     complete, malformed = has_keys(REQUIRED_KEYS), _any_malformed(NUMBER_FIELDS)
     reason = F.when(~complete, "missing key").when(malformed, "malformed number")

@@ -38,13 +38,13 @@ def envelope_records(envelopes: DataFrame) -> DataFrame:
 
 def numbered_records(envelopes: DataFrame) -> DataFrame:
     """``file_path``, ``record`` and the file's fault, if any, as ``file_reason`` and ``file_text`` beside its first record; a file without
-    records gives one row without a record."""
+    records gives one row that is no record (``has_record``)."""
     broken = F.col(CORRUPT).isNotNull()
     reason = F.when(broken, "unreadable file").when(F.col("data").isNull(), "no data")
     rows = envelopes.select("file_path", F.col(CORRUPT).alias("_text"), reason.alias("_reason"), F.posexplode_outer("data").alias("_at", "record"))
     first = F.coalesce("_at", F.lit(0)) == 0
     return rows.select(
-        "file_path", "record", F.when(first, F.col("_reason")).alias("file_reason"), F.when(first, F.col("_text")).alias("file_text")
+        "file_path", "record", F.col("_at").isNotNull().alias("has_record"), F.when(first, F.col("_reason")).alias("file_reason"), F.when(first, F.col("_text")).alias("file_text")
     )
 
 

@@ -78,10 +78,10 @@ def ingest(envelopes: DataFrame, table: str, rejected: str, checkpoint: str, as_
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         # typed rows are kept, and the text of the few that are turned away; the documents are read once
-        judged = judged_records(numbered_records(batch), "file_path", "file_reason", "file_text").persist()
+        judged = judged_records(numbered_records(batch), "file_path", "has_record", "file_reason", "file_text").persist()
         try:
-            _replace_batch(defaulted(judged.where("accepted"), as_of), table, batch_id)
-            turned_away = judged.where("reason IS NOT NULL").select("file_path", F.col("text").alias("record"), "reason")
+            _replace_batch(defaulted(judged.where("has_record AND accepted"), as_of), table, batch_id)
+            turned_away = judged.where("has_record AND reason IS NOT NULL").select("file_path", F.col("text").alias("record"), "reason")
             files = judged.where("file_reason IS NOT NULL").select(
                 "file_path", F.col("file_text").alias("record"), F.col("file_reason").alias("reason")
             )
