@@ -16,9 +16,9 @@ def clean_sales(
 ) -> DataFrame:
     """Cleaned, distinct snapshot rows with a positive, finite price; ``day`` restricts the run to one ingestion day.
 
-    ``keep`` columns stay beside the row and count towards its distinctness. What follows from other columns is added to the
-    distinct rows. Rows are dealt out by ``gather``, if given, and not by the whole row: then grouping by more than these columns
-    needs no other shuffle, but equal rows are not merged before they are dealt out.
+    ``keep`` columns stay beside the row and count towards its distinctness. Rows are dealt out by
+    ``gather``, if given, and not by the whole row: then grouping by more than these columns needs no other shuffle, but equal rows are
+    not merged before they are dealt out. The discounted price, which follows from other columns, is then added to the distinct rows.
     """
     if day is not None:
         raw = raw.where(F.col("ingestion_date") == F.lit(day))
@@ -41,10 +41,12 @@ def clean_sales(
             F.col("timestamp").alias("sale_timestamp"),
         )
     )
-    distinct = (rows.repartition(*gather) if gather else rows).distinct()
     price = discounted(F.col("price"), F.col("discount_percent")).alias("discount_price")
-    place = distinct.columns.index("discount_percent")
-    return distinct.select(*distinct.columns[:place], price, *distinct.columns[place:])
+    place = rows.columns.index("discount_percent")
+    columns = [*rows.columns[:place], price, *rows.columns[place:]]
+    if gather:
+        return rows.repartition(*gather).distinct().select(*columns)
+    return rows.select(*columns).distinct()
 
 
 def rebuild_sale_days(raw: DataFrame, day: date) -> DataFrame:
