@@ -16,7 +16,6 @@ from pasarlens.plans import features as f
 from pasarlens.plans import models as m
 from pasarlens.plans import snapshot_reports as r
 from pasarlens.session import fresh_path
-from pasarlens.sources.tables import stored
 
 Z_LIMIT = 1.7  # the given prices are spread evenly, so none lies three deviations from its category's mean
 
@@ -60,11 +59,13 @@ FEATURE_STEPS = (date(1997, 1, 1), date(2001, 6, 1), date(2001, 6, 8), date(2100
 
 
 def incremental_features(spark, sf):
-    """Features brought forward in steps, each from the step before and its own days."""
+    """Features brought forward in steps, each from the step before and its own days. A step cleans its own snapshots only; their day is
+    tested first, before prices are reckoned, and rows are dealt out by product and day, by which the features group them."""
     root, since = fresh_path(spark, "features"), None
-    cleaned = stored(d.cleaned(spark, sf), "cleaned")
+    raw, day = d.snapshots(spark, sf), F.to_date("timestamp")
     for until in FEATURE_STEPS:
-        f.advance_features(cleaned, root, since, until)
+        own = raw.where(day <= F.lit(until)) if since is None else raw.where((day <= F.lit(until)) & (day > F.lit(since)))
+        f.advance_features(clean_sales(own, gather=("product_id", "sale_date")), root, since, until)
         since = until
     return f.advanced_features(spark, root).where("sales_lag_1 IS NOT NULL")
 

@@ -88,11 +88,6 @@ def _measured_days(cleaned: DataFrame) -> DataFrame:
     return _by_product_day(cleaned, F.max("review_count").alias("review_count"))
 
 
-def _feature_days(cleaned: DataFrame) -> DataFrame:
-    """Feature rows without what depends on earlier ones."""
-    return _with_calendar(_measured_days(cleaned))
-
-
 def feature_history(cleaned: DataFrame) -> DataFrame:
     """All feature rows, the first day of a product (which has no lag) included. Calendar columns are added after the windows, so that
     they are neither shuffled nor sorted."""
@@ -131,24 +126,24 @@ def advance_features(cleaned: DataFrame, root: str, since: date | None, until: d
     Beside the features a tail is kept, the last ``TAIL_ROWS`` rows of each product; lags and averages of the new days need nothing older,
     so that a step reads the tail and its own days, however long the history is. The first step has no ``since``. A step
     replaces what an earlier run of the same step has written. Days must be complete when their step runs.
+
+    The tail and the new days are gathered by product and sorted once, without joins: the windows that make the features also tell which rows
+    are the next tail. Features and tail are copied from what this pass stores; calendar columns are added to the copy.
     """
     spark = cleaned.sparkSession
     day = F.col("sale_date")
     own = cleaned.where(day <= F.lit(until))
     own = own if since is None else own.where(day > F.lit(since))
-    days = stored(_feature_days(own), "feature_days").withColumn("_new", F.lit(True))
-    touched = days.select("product_id").distinct()
-    both, rest = days, None
+    days = _measured_days(own).withColumn("_new", F.lit(True))
     if since is not None:
-        tail = spark.read.parquet(f"{root}/tail/upto={since}")
-        both = days.unionByName(tail.join(touched, "product_id", "left_semi").withColumn("_new", F.lit(False)), allowMissingColumns=True)
-        rest = tail.join(touched, "product_id", "left_anti")
-    new = both.withColumns({**_lag_columns(), **_average_columns()}).where("_new").drop("_new")
+        tail = spark.read.parquet(f"{root}/tail/upto={since}").withColumn("_new", F.lit(False))
+        days = days.unionByName(tail, allowMissingColumns=True)
+    in_tail = F.lead("_new", TAIL_ROWS).over(_history()).isNull()
+    rows = days.withColumns({**_lag_columns(), **_average_columns(), "_in_tail": in_tail})
+    rows = stored(rows.where(F.col("_new") | F.col("_in_tail")), "feature_rows")
+    new = _with_calendar(rows.where("_new").drop("_new", "_in_tail"))
     new.write.mode("overwrite").parquet(f"{root}/features/upto={until}")
-    newest = W.partitionBy("product_id").orderBy(F.desc("sale_date"), F.desc("product_name"), F.desc("category"))
-    last = both.select(*_TAIL, F.row_number().over(newest).alias("_nth")).where(F.col("_nth") <= TAIL_ROWS).drop("_nth")
-    last = last if rest is None else last.unionByName(rest)
-    last.write.mode("overwrite").parquet(f"{root}/tail/upto={until}")
+    rows.where("_in_tail").select(*_TAIL).write.mode("overwrite").parquet(f"{root}/tail/upto={until}")
 
 
 def advanced_features(spark: SparkSession, root: str) -> DataFrame:

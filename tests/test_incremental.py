@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from pasarlens.catalog import datasets, snapshots
 from pasarlens.plans import features as f
 from pasarlens.plans import sales_reports, summary_states
 from pasarlens.sources import clustered
@@ -62,6 +63,50 @@ def test_a_step_reads_its_own_days_only(spark, cleaned, tmp_path):
     assert rows_of(f.advanced_features(spark, root)) == rows_of(f.feature_history(cleaned))
 
 
+def test_products_without_an_id_keep_their_history(spark, cleaned, tmp_path):
+    """Rows without a product are a product of their own, in steps as in one run."""
+    root, unknown = str(tmp_path / "f"), cleaned.withColumn("product_id", F.when(F.col("product_id") != "p1", F.col("product_id")))
+    f.advance_features(unknown, root, None, START + timedelta(days=30))
+    f.advance_features(unknown, root, START + timedelta(days=30), START + timedelta(days=100))
+    assert rows_of(f.advanced_features(spark, root)) == rows_of(f.feature_history(unknown))
+
+
+def test_a_step_gathers_tail_and_days_once(spark, cleaned, tmp_path, monkeypatch):
+    plans, keep = [], f.stored
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    root = str(tmp_path / "f")
+    f.advance_features(cleaned, root, None, START + timedelta(days=30))
+    monkeypatch.setattr(f, "stored", noted)
+    f.advance_features(cleaned, root, START + timedelta(days=30), START + timedelta(days=100))
+    assert len(plans) == 1 and "Join" not in plans[0]
+    assert plans[0].count("Exchange hashpartitioning(product_id") == 2  # rows by product and day, then with the tail by product
+    assert plans[0].count("+- Window ") == 1
+
+
+def test_a_step_cleans_its_own_snapshots_only(spark, tmp_path, monkeypatch):
+    steps = [*snapshots.FEATURE_STEPS]
+    shipped = [datetime(1996, 5, 1), datetime(1997, 1, 1, 23), datetime(1997, 1, 2), datetime(2001, 6, 8, 12), datetime(2001, 6, 9)]
+    lines = [(i, 1, 1, 1, 2.0, 100.0, 0.1, at) for i, at in enumerate(shipped)]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "n", "t", 5)], "p_partkey long, p_name string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    seen, keep = [], f.advance_features
+
+    def noted(cleaned, root, since, until):
+        seen.append(sorted(r["sale_date"] for r in cleaned.select("sale_date").collect()))
+        keep(cleaned, root, since, until)
+
+    monkeypatch.setattr(f, "advance_features", noted)
+    found = snapshots.incremental_features(spark, str(tmp_path))
+    assert seen == [[at.date() for at in shipped if (k == 0 or at.date() > steps[k - 1]) and at.date() <= steps[k]] for k in range(4)]
+    assert rows_of(found) == rows_of(f.ml_features(datasets.cleaned(spark, str(tmp_path))))
+
+
 SALES = "transaction_id string, product_id string, product_name string, category string, quantity bigint, total_amount double, seller_name string, sale_date date"
 
 
