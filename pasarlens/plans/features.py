@@ -127,23 +127,33 @@ def advance_features(cleaned: DataFrame, root: str, since: date | None, until: d
     so that a step reads the tail and its own days, however long the history is. The first step has no ``since``. A step
     replaces what an earlier run of the same step has written. Days must be complete when their step runs.
 
-    The tail and the new days are gathered by product and sorted once, without joins: the windows that make the features also tell which rows
-    are the next tail. Features and tail are copied from what this pass stores; calendar columns are added to the copy.
+    The tail and the new days are gathered by product and sorted once: the windows that make the features also tell which rows are the
+    next tail. Features and tail are copied from what this pass stores; calendar columns are added to the copy. A step of so few rows that
+    most products get none, as that of a day, leaves the tails of those out of the pass.
     """
     spark = cleaned.sparkSession
     day = F.col("sale_date")
     own = cleaned.where(day <= F.lit(until))
     own = own if since is None else own.where(day > F.lit(since))
-    days = _measured_days(own).withColumn("_new", F.lit(True))
+    days, rest = _measured_days(own), None
     if since is not None:
-        tail = spark.read.parquet(f"{root}/tail/upto={since}").withColumn("_new", F.lit(False))
-        days = days.unionByName(tail, allowMissingColumns=True)
+        days = stored(days, "feature_days")
+        tail = spark.read.parquet(f"{root}/tail/upto={since}")
+        if days.count() * 2 * TAIL_ROWS < tail.count():  # fewer rows than half of the products
+            touched = days.select(F.col("product_id").alias("_touched")).distinct()
+            same = F.col("product_id").eqNullSafe(F.col("_touched"))
+            tail, rest = tail.join(touched, same, "left_semi"), tail.join(touched, same, "left_anti")
+        days = days.withColumn("_new", F.lit(True)).unionByName(tail.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    else:
+        days = days.withColumn("_new", F.lit(True))
     in_tail = F.lead("_new", TAIL_ROWS).over(_history()).isNull()
     rows = days.withColumns({**_lag_columns(), **_average_columns(), "_in_tail": in_tail})
     rows = stored(rows.where(F.col("_new") | F.col("_in_tail")), "feature_rows")
     new = _with_calendar(rows.where("_new").drop("_new", "_in_tail"))
     new.write.mode("overwrite").parquet(f"{root}/features/upto={until}")
-    rows.where("_in_tail").select(*_TAIL).write.mode("overwrite").parquet(f"{root}/tail/upto={until}")
+    last = rows.where("_in_tail").select(*_TAIL)
+    last = last if rest is None else last.unionByName(rest)
+    last.write.mode("overwrite").parquet(f"{root}/tail/upto={until}")
 
 
 def advanced_features(spark: SparkSession, root: str) -> DataFrame:

@@ -82,9 +82,30 @@ def test_a_step_gathers_tail_and_days_once(spark, cleaned, tmp_path, monkeypatch
     f.advance_features(cleaned, root, None, START + timedelta(days=30))
     monkeypatch.setattr(f, "stored", noted)
     f.advance_features(cleaned, root, START + timedelta(days=30), START + timedelta(days=100))
-    assert len(plans) == 1 and "Join" not in plans[0]
-    assert plans[0].count("Exchange hashpartitioning(product_id") == 2  # rows by product and day, then with the tail by product
-    assert plans[0].count("+- Window ") == 1
+    gathered = plans[-1]
+    assert len(plans) == 2 and "Join" not in gathered
+    assert gathered.count("Exchange hashpartitioning(product_id") == gathered.count("+- Window ") == 1
+
+
+@pytest.mark.parametrize("product", ["p3", None])
+def test_a_step_of_few_rows_leaves_other_tails_alone(spark, cleaned, tmp_path, monkeypatch, product):
+    root, last = str(tmp_path / "f"), START + timedelta(days=100)
+    rows = cleaned.withColumn("product_id", F.when(F.col("product_id") != "p1", F.col("product_id")))
+    more = rows.limit(1).withColumns({"product_id": F.lit(product).cast("string"), "sale_date": F.lit(last)})
+    rows = spark.createDataFrame([*rows.collect(), *more.collect()], CLEANED)
+    plans, keep = [], f.stored
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    f.advance_features(rows, root, None, START + timedelta(days=90))
+    monkeypatch.setattr(f, "stored", noted)
+    f.advance_features(rows, root, START + timedelta(days=90), last)
+    assert "Join" in plans[-1]
+    assert rows_of(f.advanced_features(spark, root)) == rows_of(f.feature_history(rows))
+    tail = spark.read.parquet(f"{root}/tail/upto={last}").groupBy("product_id").count()
+    assert tail.agg(F.max("count")).first()[0] == f.TAIL_ROWS and tail.count() == 12
 
 
 def test_a_step_cleans_its_own_snapshots_only(spark, tmp_path, monkeypatch):
