@@ -1,7 +1,7 @@
 """The given tables seen as sales, snapshots, reviews, job log and executions, in Spark and in SQL.
 
-Both forms use the same expressions. No join carries a hint: the size-checked broadcast threshold decides, and
-skewed keys of a shuffled join are split at run time.
+Both forms use the same expressions. No join carries a hint but that of the sellers, which are counted first: the size-checked
+broadcast threshold decides, and skewed keys of a shuffled join are split at run time.
 """
 
 from __future__ import annotations
@@ -28,9 +28,18 @@ def _key(prefix: str, column: str):
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem, part, supplier, nation = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier", "nation"))
+#: Suppliers up to which sellers are broadcast, so that the sales, by then as wide as they get, need no shuffle for them.
+FEW_SUPPLIERS = 1 << 20
+
+
+def _sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     sellers = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return F.broadcast(sellers) if supplier.count() <= FEW_SUPPLIERS else sellers
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem, part, sellers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"), _sellers(spark, sf_dir)
     joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
         sellers, F.col("l_suppkey") == F.col("s_suppkey")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pasarlens.schemas import ENVELOPE
-from pasarlens.sources.tables import append_table
+from pasarlens.sources.tables import append_table, write_json
 
 CORRUPT = "_corrupt"
 
@@ -96,7 +96,7 @@ def write_envelopes(df: DataFrame, path: str, at: datetime, source: str, max_rec
 
 
 def write_landing(df: DataFrame, path: str, at: datetime, source: str) -> dict[str, object]:
-    """Append one batch as newline-delimited JSON and return its metadata.
+    """Append one batch as compressed newline-delimited JSON in files of bounded size and return its metadata.
 
     The count is observed in the stage that writes, where a repeated task is counted once.
     """
@@ -109,7 +109,7 @@ def write_landing(df: DataFrame, path: str, at: datetime, source: str) -> dict[s
             "source": F.lit(source),
         }
     )
-    stamped.write.mode("append").partitionBy("ingestion_id").json(path)
+    write_json(stamped, path, "append", "ingestion_id")
     return {
         "ingestion_id": batch,
         "ingestion_timestamp": at.isoformat(),

@@ -189,9 +189,10 @@ def expire_partitions(spark: SparkSession, path: str, day: str, keep_days: int,
 TEXT_RECORDS = 1_000_000
 
 
-def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists", partition: str | None = None) -> None:
     """Newline-delimited JSON, compressed, in files of bounded size: as plain text it is many times the size of the rows."""
-    df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", TEXT_RECORDS).json(path)
+    writer = df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", TEXT_RECORDS)
+    (writer.partitionBy(partition) if partition else writer).json(path)
 
 
 def backup_tables(tables: dict[str, DataFrame], root: str, stamp: str) -> dict[str, int]:
