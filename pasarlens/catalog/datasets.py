@@ -38,7 +38,19 @@ def _sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return F.broadcast(sellers) if supplier.count() <= FEW_SUPPLIERS else sellers
 
 
+def with_sale_calendar(rows: DataFrame) -> DataFrame:
+    """Month and weekday after the day they follow from."""
+    place = rows.columns.index("sale_date") + 1
+    added = [month_text("sale_date").alias("sale_month"), weekday_name("sale_date").alias("day_of_week")]
+    return rows.select(*rows.columns[:place], *added, *rows.columns[place:])
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_sale_calendar(sales_rows(spark, sf_dir))
+
+
+def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without month and weekday."""
     lineitem, part, sellers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"), _sellers(spark, sf_dir)
     joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
         sellers, F.col("l_suppkey") == F.col("s_suppkey")
@@ -57,8 +69,6 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("seller_name"),
         F.col("n_name").alias("seller_location"),
         day.alias("sale_date"),
-        month_text(day).alias("sale_month"),
-        weekday_name(day).alias("day_of_week"),
         day.alias("ingestion_date"),
     )
 

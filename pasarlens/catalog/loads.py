@@ -34,9 +34,10 @@ def _dedupe(keep):
 
 
 def _merge_sides(spark, sf):
-    """Stored rows and a newer batch, both with unique keys."""
-    sales = d.sales(spark, sf)
-    return tuple(k.remove_duplicates(side, KEY, "last", tie_break=TIES) for side in (d.history(sales), d.arriving(sales)))
+    """Stored rows and a newer batch, both with unique keys. Month and weekday, which the day decides, are added to the rows that stay."""
+    sales = d.sales_rows(spark, sf)
+    sides = (k.remove_duplicates(side, KEY, "last", tie_break=TIES) for side in (d.history(sales), d.arriving(sales)))
+    return tuple(map(d.with_sale_calendar, sides))
 
 
 def upsert(spark, sf):

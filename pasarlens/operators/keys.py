@@ -46,13 +46,15 @@ def append_new_stats(batch: DataFrame, target: DataFrame | None, key: str) -> Da
     )
 
 
-def _one_per_key(source: DataFrame, key: str) -> DataFrame:
-    """Source rows reduced to one per key with the number of rows behind it; null keys match nothing."""
-    payload = F.struct(*[c for c in source.columns if c != key])
+def _one_per_key(source: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Source rows reduced to one per key, with the number of rows behind it and those of the columns that are to be used; null keys match
+    nothing. Where a key has several rows, their number tells so, and the values are not used."""
+    payload = [c for c in source.columns if c in columns and c != key]
+    new = [F.max(F.struct(*payload)).alias("_new")] if payload else []
     return (
         source.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_source_key"))
-        .agg(F.count("*").alias("_copies"), F.max(payload).alias("_new"))
+        .agg(F.count("*").alias("_copies"), *new)
     )
 
 
@@ -68,7 +70,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_columns: Seque
     one row per key before the join, so the join cannot multiply rows; a hot target key is left to skew
     splitting, which works for the left and anti joins used here but would not for a full outer join.
     """
-    matches = _one_per_key(source, key)
+    matches = _one_per_key(source, key, update_columns)
     joined = target.join(matches, target[key] == matches["_source_key"], "left")
     ambiguous = F.raise_error(F.lit(f"several source rows match one target row on {key}")).cast("boolean")
     checked = joined.where(F.when(F.col("_copies") > 1, ambiguous).otherwise(True))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +47,21 @@ def work_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+#: Whether shuffle files go when the job that made them ends; else they stay until the driver happens to collect its garbage.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """For writes of a job of several steps: nothing reads their shuffles again, and the disk must not hold those of all steps at once."""
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{work_root(spark)}/pasarlens/{uuid.uuid4().hex}/{label}"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pasarlens.operators.keys import upsert
-from pasarlens.session import fresh_path
+from pasarlens.session import fresh_path, shuffles_dropped
 
 
 def stamp_ingestion(df: DataFrame, as_of: date) -> DataFrame:
@@ -51,7 +51,8 @@ def write_table(
     df: DataFrame, path: str, mode: str = "append", partition: str | None = None, cluster: Sequence[str] = ()
 ) -> None:
     writer = _laid_out(df, partition, cluster).write.mode(mode)
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()) -> None:
@@ -65,7 +66,8 @@ def replace_table(df: DataFrame, path: str, partition: str | None = None, cluste
 def replace_partitions(df: DataFrame, path: str, partition: str, cluster: Sequence[str] = ()) -> None:
     """Replace only the partitions the rows fall into; running it again gives the same table."""
     laid_out = _laid_out(df, partition, cluster)
-    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def rewrite_table(
@@ -106,7 +108,8 @@ def _folders(spark: SparkSession, path: str, partition: str) -> dict[str, object
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to a fresh folder and read back: cut lineage, and a size that the optimizer knows."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -139,6 +142,25 @@ def _touched_values(df: DataFrame, partition: str) -> list[object]:
     return [row[0] for row in df.select(partition).distinct().collect()]
 
 
+def _put_in_place(spark: SparkSession, staging: str, path: str, partition: str) -> set[str]:
+    """Move the folders of a staged table to where the table has them; returns their partition values.
+
+    The rows were gathered and sorted when they were staged, so that a copy would shuffle and write all of them once more. It is made
+    only where staging and table lie in different file systems, between which no folder can be moved.
+    """
+    staged, present = _folders(spark, staging, partition), _folders(spark, path, partition)
+    (_, _, from_fs), (path_class, root, fs) = _folder_api(spark, staging), _folder_api(spark, path)
+    if from_fs.getUri().toString() != fs.getUri().toString():
+        replace_partitions(spark.read.schema(spark.read.parquet(path).schema).parquet(staging), path, partition)
+        return set(staged)
+    for value, folder in staged.items():
+        _drop_folders(spark, path, [present[value]] if value in present else [])
+        if not fs.rename(folder, path_class(root, folder.getName())):
+            raise OSError(f"cannot move {folder} to {path}")
+    spark.catalog.refreshByPath(path)
+    return set(staged)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -152,7 +174,7 @@ def upsert_table(
 
     A partition is touched if it holds a matched row or receives a row. Rows that move to another partition
     leave the old one; a partition that ends up empty is removed. Partition values are texts, dates or whole numbers. The batch is
-    stored first, because it is read several times.
+    stored first, because it is read several times. The merged partitions are whole in ``staging`` before one of the table is touched.
     """
     source = stored(source, "batch")
     table = spark.read.parquet(path)
@@ -164,10 +186,10 @@ def upsert_table(
     if None in touched:
         raise ValueError(f"{partition} must not be null: it decides where a row is stored")
     merged = upsert(table.where(F.col(partition).isin(touched)), source, key, update_columns)
-    write_table(merged.select(*table.columns), staging, "overwrite", partition)
-    replace_partitions(spark.read.schema(table.schema).parquet(staging), path, partition)
-    filled, present = _folders(spark, staging, partition), _folders(spark, path, partition)
-    emptied = {str(value) for value in touched} - set(filled)
+    write_table(merged.select(*[F.col(f.name).cast(f.dataType) for f in table.schema]), staging, "overwrite", partition)
+    filled = _put_in_place(spark, staging, path, partition)
+    present = _folders(spark, path, partition)
+    emptied = {str(value) for value in touched} - filled
     _drop_folders(spark, path, [present[value] for value in sorted(emptied) if value in present])
     return touched
 
@@ -192,7 +214,8 @@ TEXT_RECORDS = 1_000_000
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists", partition: str | None = None) -> None:
     """Newline-delimited JSON, compressed, in files of bounded size: as plain text it is many times the size of the rows."""
     writer = df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", TEXT_RECORDS)
-    (writer.partitionBy(partition) if partition else writer).json(path)
+    with shuffles_dropped(df.sparkSession):
+        (writer.partitionBy(partition) if partition else writer).json(path)
 
 
 def backup_tables(tables: dict[str, DataFrame], root: str, stamp: str) -> dict[str, int]:

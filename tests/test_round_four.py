@@ -1,11 +1,15 @@
 """Loads, forecasts and the model refresh keep what they write and shuffle small."""
 
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from pasarlens.catalog import datasets as d
+from pasarlens.catalog import loads
+from pasarlens.operators import keys
+from pasarlens.session import shuffles_dropped
 from pasarlens.sources import landing, tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -43,3 +47,83 @@ def test_few_sellers_are_broadcast_and_many_are_not(spark, no_small_tables, monk
     many = d.sales(spark, SF_DIR)
     assert "Broadcast" not in plan(many)
     assert few.exceptAll(many).count() == 0 == many.exceptAll(few).count()
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").splitlines() if "/shuffle_" in f}
+
+
+def test_shuffles_of_a_stored_step_are_dropped(spark):
+    before = shuffle_files(spark)
+    kept = tables.stored(spark.range(10_000).repartition(4, "id"), "rows")
+    until = time.time() + 20  # files go in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and kept.count() == 10_000
+
+
+def test_setting_is_put_back(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with pytest.raises(ValueError), shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+        raise ValueError
+    assert spark.conf.get(name) == (before or "false")
+
+
+def test_merge_moves_what_was_staged(spark, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    rows = spark.range(40).select("id", F.col("id").cast("int").alias("v"), (F.col("id") % 4).cast("int").alias("p"))
+    tables.replace_table(rows, path, "p")
+    untouched = sorted(p.name for p in (tmp_path / "t" / "p=0").iterdir())
+
+    def copied(*_):
+        raise AssertionError("the staged rows are written once more")
+
+    monkeypatch.setattr(tables, "replace_partitions", copied)
+    batch = spark.createDataFrame([(1, 100, 2), (5, 101, 1), (99, 102, 9)], "id bigint, v bigint, p int")
+    assert sorted(tables.upsert_table(spark, path, staging, batch, "id", ["v", "p"], "p")) == [1, 2, 9]
+    expected = {r.id: (r.v, r.p) for r in rows.collect()} | {1: (100, 2), 5: (101, 1), 99: (102, 9)}
+    table = spark.read.parquet(path)
+    assert {r.id: (r.v, r.p) for r in table.collect()} == expected and table.count() == 41
+    assert table.schema["v"].dataType.simpleString() == "int"
+    assert not list((tmp_path / "s").glob("p=*"))
+    assert sorted(p.name for p in (tmp_path / "t" / "p=0").iterdir()) == untouched
+
+
+def test_merge_copies_what_was_staged_in_another_file_system(spark, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    tables.replace_table(spark.createDataFrame([(1, 1, 1), (2, 2, 2)], "id int, v int, p int"), path, "p")
+    own = tables._folder_api
+
+    class Elsewhere:
+        def __init__(self, fs):
+            self.listStatus = fs.listStatus
+
+        def getUri(self):
+            return spark.sparkContext._jvm.java.net.URI("elsewhere:///")
+
+    def folder_api(session, folder):
+        path_class, root, fs = own(session, folder)
+        return path_class, root, Elsewhere(fs) if folder == staging else fs
+
+    monkeypatch.setattr(tables, "_folder_api", folder_api)
+    batch = spark.createDataFrame([(1, 10, 2), (3, 3, 3)], "id int, v int, p int")
+    tables.upsert_table(spark, path, staging, batch, "id", ["v", "p"], "p")
+    assert sorted((r.id, r.v, r.p) for r in spark.read.parquet(path).collect()) == [(1, 10, 2), (2, 2, 2), (3, 3, 3)]
+    assert list((tmp_path / "s").glob("p=*"))
+
+
+def test_merge_ships_only_the_columns_it_updates(spark):
+    source = spark.createDataFrame([("a", 1, 2, "text")], "id string, v bigint, w bigint, name string")
+    assert keys._one_per_key(source, "id", ["v", "w"]).schema["_new"].dataType.names == ["v", "w"]
+    assert keys._one_per_key(source, "id", []).columns == ["_source_key", "_copies"]
+
+
+def test_duplicates_are_removed_before_month_and_weekday_are_added(spark):
+    target, source = loads._merge_sides(spark, SF_DIR)
+    assert target.columns == source.columns == d.sales(spark, SF_DIR).columns
+    for side, part in ((target, d.history), (source, d.arriving)):
+        whole = keys.remove_duplicates(part(d.sales(spark, SF_DIR)), loads.KEY, "last", tie_break=loads.TIES)
+        assert side.exceptAll(whole).count() == 0 == whole.exceptAll(side).count()
