@@ -85,7 +85,7 @@ def _expected_prices(spark, sf):
 def model_refresh(spark, sf):
     """The weekly refresh; rows of the tables whose size does not depend on what a model says."""
     warehouse = fresh_path(spark, "warehouse")
-    model_store.refresh_models(spark, d.cleaned(spark, sf), warehouse, AS_OF, Z_LIMIT)
+    model_store.refresh_models(spark, d.cleaned(spark, sf), warehouse, AS_OF, Z_LIMIT, by_product_day=_cleaned(spark, sf))
     return model_store.stored_rows(
         spark, warehouse, ("feature_history", "model_evaluation", "product_segments", "sales_predictions")
     )

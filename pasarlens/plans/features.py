@@ -94,9 +94,13 @@ def feature_history(cleaned: DataFrame) -> DataFrame:
     return _with_calendar(_measured_days(cleaned).withColumns({**_lag_columns(), **_average_columns()}))
 
 
+def with_earlier_day(history: DataFrame) -> DataFrame:
+    return history.where(F.col("sales_lag_1").isNotNull())
+
+
 def ml_features(cleaned: DataFrame) -> DataFrame:
     """Feature rows that have at least one earlier day."""
-    return feature_history(cleaned).where(F.col("sales_lag_1").isNotNull())
+    return with_earlier_day(feature_history(cleaned))
 
 
 def seq_split(rows: DataFrame, day: str = "sale_date", eval_fraction: float = 0.2) -> DataFrame:

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pasarlens.catalog import datasets as d
 from pasarlens.catalog import loads
 from pasarlens.operators import keys
+from pasarlens.plans import features, model_store
 from pasarlens.session import shuffles_dropped
 from pasarlens.sources import landing, tables
 
 SF_DIR = "/root/testdata/sf0.001"
+START = date(2024, 1, 1)
 
 
 def plan(df):
@@ -127,3 +129,35 @@ def test_duplicates_are_removed_before_month_and_weekday_are_added(spark):
     for side, part in ((target, d.history), (source, d.arriving)):
         whole = keys.remove_duplicates(part(d.sales(spark, SF_DIR)), loads.KEY, "last", tie_break=loads.TIES)
         assert side.exceptAll(whole).count() == 0 == whole.exceptAll(side).count()
+
+
+def test_the_refresh_forecasts_from_rows_that_lie_by_product(spark, tmp_path, monkeypatch):
+    rows = [(f"p{i % 3}", f"n{i % 3}", "c", START + timedelta(days=7 * i), 60000.0 + i, None, i, 4.0, i) for i in range(30)]
+    cleaned = spark.createDataFrame(
+        rows,
+        "product_id string, product_name string, category string, sale_date date, price double, discount_percent double, "
+        "sales_count bigint, rating double, review_count bigint",
+    )
+    used = []
+
+    class Seen(Exception):
+        pass
+
+    def forecast(model, history, as_of):
+        used.append(history)
+        raise Seen
+
+    for name in ("fit_linear", "fit_boosted"):
+        monkeypatch.setattr(model_store.m, name, lambda split: None)
+    monkeypatch.setattr(model_store, "_keep", lambda model, *_: model)
+    monkeypatch.setattr(model_store.m, "model_evaluation", lambda *_: spark.range(1))
+    monkeypatch.setattr(model_store.m, "sales_forecast", forecast)
+    dealt = cleaned.repartition("product_id", "sale_date")
+    with pytest.raises(Seen):
+        model_store.refresh_models(spark, cleaned, str(tmp_path / "w"), date(2024, 8, 1), by_product_day=dealt)
+    expected = features.feature_history(cleaned)
+    table = spark.read.parquet(str(tmp_path / "w" / "feature_history"))
+    assert len({f.split("sale_month=")[1][:10] for f in table.inputFiles()}) > 3
+    assert not [f for f in used[0].inputFiles() if "sale_month=" in f]
+    for found in (used[0], table.drop("sale_month").select(*expected.columns)):
+        assert found.exceptAll(expected).count() == 0 == expected.exceptAll(found).count()
