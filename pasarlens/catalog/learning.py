@@ -36,7 +36,15 @@ def _cleaned(spark, sf):
     return d.cleaned(spark, sf, ("product_id", "sale_date"))
 
 
+def _history(spark, sf):
+    """All feature rows, stored for what needs both the rows to learn from and the newest ones."""
+    return _once(spark, sf, "history", lambda: stored(f.feature_history(_cleaned(spark, sf)), "feature_history"))
+
+
 def _features(spark, sf):
+    """Feature rows with an earlier day, of the stored ones if there are any."""
+    if (spark.sparkContext.applicationId, sf, "history") in _fitted:
+        return f.with_earlier_day(_history(spark, sf))
     return f.ml_features(_cleaned(spark, sf))
 
 
@@ -71,7 +79,8 @@ def _price(spark, sf):
 
 
 def _forecast(spark, sf):
-    return m.sales_forecast(_boosted(spark, sf), f.feature_history(_cleaned(spark, sf)), AS_OF)
+    history = _history(spark, sf)
+    return m.sales_forecast(_boosted(spark, sf), history, AS_OF)
 
 
 def _average_forecast(spark, sf):

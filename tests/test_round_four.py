@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pasarlens.catalog import datasets as d
-from pasarlens.catalog import loads
+from pasarlens.catalog import learning, loads
 from pasarlens.operators import keys
 from pasarlens.plans import features, model_store
 from pasarlens.session import shuffles_dropped
@@ -131,6 +131,28 @@ def test_duplicates_are_removed_before_month_and_weekday_are_added(spark):
         assert side.exceptAll(whole).count() == 0 == whole.exceptAll(side).count()
 
 
+class Constant:
+    def transform(self, rows):
+        return rows.withColumn("prediction", F.lit(1.0))
+
+
+def test_a_forecast_makes_the_features_once(spark, monkeypatch):
+    made, own = [], features.feature_history
+    monkeypatch.setattr(learning, "_fitted", {})
+    monkeypatch.setattr(features, "feature_history", lambda cleaned: made.append(1) or own(cleaned))
+    monkeypatch.setattr(learning.m, "fit_boosted", lambda split: learning._split(spark, SF_DIR) and Constant())
+    alone = learning._split(spark, SF_DIR)
+    learning._fitted.clear()
+    made.clear()
+    forecast = learning._forecast(spark, SF_DIR)
+    split = learning._split(spark, SF_DIR)
+    assert len(made) == 1
+    assert not [f for df in (forecast, split) for f in df.inputFiles() if f.startswith(f"file://{SF_DIR}")]
+    assert split.exceptAll(alone).count() == 0 == alone.exceptAll(split).count()
+    whole = learning.m.sales_forecast(Constant(), own(d.cleaned(spark, SF_DIR)), d.AS_OF)
+    assert forecast.exceptAll(whole).count() == 0 == whole.exceptAll(forecast).count() and whole.count() > 0
+
+
 def test_the_refresh_forecasts_from_rows_that_lie_by_product(spark, tmp_path, monkeypatch):
     rows = [(f"p{i % 3}", f"n{i % 3}", "c", START + timedelta(days=7 * i), 60000.0 + i, None, i, 4.0, i) for i in range(30)]
     cleaned = spark.createDataFrame(
