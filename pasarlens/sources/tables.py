@@ -174,7 +174,8 @@ def upsert_table(
 
     A partition is touched if it holds a matched row or receives a row. Rows that move to another partition
     leave the old one; a partition that ends up empty is removed. Partition values are texts, dates or whole numbers. The batch is
-    stored first, because it is read several times. The merged partitions are whole in ``staging`` before one of the table is touched.
+    stored first, because it is read several times, and so are the merged rows, so that the shuffles by key are gone when those by
+    partition begin. The merged partitions are whole in ``staging`` before one of the table is touched.
     """
     source = stored(source, "batch")
     table = spark.read.parquet(path)
@@ -185,7 +186,7 @@ def upsert_table(
         return []
     if None in touched:
         raise ValueError(f"{partition} must not be null: it decides where a row is stored")
-    merged = upsert(table.where(F.col(partition).isin(touched)), source, key, update_columns)
+    merged = stored(upsert(table.where(F.col(partition).isin(touched)), source, key, update_columns), "merged")
     write_table(merged.select(*[F.col(f.name).cast(f.dataType) for f in table.schema]), staging, "overwrite", partition)
     filled = _put_in_place(spark, staging, path, partition)
     present = _folders(spark, path, partition)
